@@ -1,0 +1 @@
+"""No streaming operators: the criteria are defined over complete batch tables only."""
