@@ -8,8 +8,9 @@ from catalog.registry import listed, numbered, numbered_sql, query, table
 from catalog.relational import PART_WITH_GAPS, _part_with_gaps
 from targetlens import fixed_values as fixed
 from targetlens.operators import closure, criteria, quality
-from targetlens.operators.joins import fold_left
+from targetlens.operators.joins import fold_left, inner_join, left_join
 from targetlens.operators.reduce import value_map
+from targetlens.operators.shape import stack_by_name
 from targetlens.sources import ontology
 
 # ---------------------------------------------------------------- ontology made from part keys
@@ -136,15 +137,13 @@ def descendants(spark, sf_dir):
 
 
 def _annotations(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS gene", "l_partkey")
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS gene", "l_partkey AS part")
     parts = table(spark, sf_dir, "part").select(
-        "p_partkey",
+        F.col("p_partkey").alias("part"),
         numbered("IPR", F.col("p_partkey"), 6).alias("domain"),
         F.expr("nullif(p_name, 'red ring')").alias("description"),
     )
-    return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
-        "gene", "domain", "description"
-    )
+    return inner_join(lines, parts, "part").select("gene", "domain", "description")
 
 
 ANNOTATIONS = f"""
@@ -197,6 +196,27 @@ def annotation_regex(spark, sf_dir):
     )
 
 
+@query(f"""
+WITH {_below_sql(['GO:0000005'], 'p_partkey', 'part')},
+hits AS (SELECT DISTINCT domain FROM {DOMAIN_TERMS} AS mapped JOIN below ON go_id = term),
+counted AS (
+  SELECT gene, domain, domain || ' - ' || description AS annotation, count(*) AS copies
+  FROM ({ANNOTATIONS}) WHERE description IS NOT NULL GROUP BY ALL)
+SELECT gene, 'is_fifth' AS criterion, annotation, copies::INTEGER AS copies
+FROM counted JOIN hits USING (domain)
+UNION ALL SELECT gene, 'is_named', annotation, copies::INTEGER FROM counted
+WHERE regexp_matches(annotation, '{ANNOTATION_PATTERN}')
+""")
+def evidence_rows(spark, sf_dir):
+    root = "GO:0000005"
+    terms = ontology.domain_terms(_mapping_lines(spark, sf_dir), domain="domain")
+    below = closure.descendants(_steps(spark, sf_dir, "part", "p_partkey"), [root])
+    return criteria.evidence_rows(
+        _annotations(spark, sf_dir), {"is_fifth": root}, {"is_named": ANNOTATION_PATTERN},
+        terms, below, **COLUMNS,
+    )
+
+
 # ----------------------------------------------------------------------------- row criteria
 
 
@@ -380,18 +400,25 @@ def true_count(spark, sf_dir):
 
 
 def orthologue_rows(spark, sf_dir):
-    """Parts as genes; each line's supplier as a human orthologue, some without id or name."""
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity")
-    parts = table(spark, sf_dir, "part").select("p_partkey")
+    """Parts as genes; each line's supplier as a human orthologue, some without id or name.
+
+    Every part also has a bare row, so that a part without lines is a gene without orthologue.
+    """
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey", "l_suppkey AS s_suppkey", "l_quantity"
+    )
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    named = lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"], "left")
-    return parts.join(named, parts["p_partkey"] == named["l_partkey"], "left").select(
-        F.col("p_partkey").cast("string").alias(fixed.GENE),
-        F.when(F.col("s_nationkey") > 3, numbered("ENSG", F.col("l_suppkey"), 9))
+    known = left_join(lines, suppliers, "s_suppkey").select(
+        F.col("l_partkey").cast("string").alias(fixed.GENE),
+        F.when(F.col("s_nationkey") > 3, numbered("ENSG", F.col("s_suppkey"), 9))
         .alias(fixed.HUMAN_GENE),
         F.expr("nullif(s_name, 'Supplier#000000007')").alias(fixed.HUMAN_GENE_NAME),
         F.expr("nullif(l_quantity, 50)").alias(fixed.IDENTITY),
     )
+    bare = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias(fixed.GENE)
+    )
+    return stack_by_name([known, bare])
 
 
 ORTHOLOGUES = f"""

@@ -12,6 +12,7 @@ from targetlens.functions.text import gene_uri, sanitize_text, species_slug
 from targetlens.operators import filters, quality, shape
 from targetlens.operators import reduce as reducers
 from targetlens.operators.chunks import chunk_numbers
+from targetlens.operators.joins import inner_join
 from targetlens.plans.gene_list import gene_list
 from targetlens.sinks.tables import clean_records
 from targetlens.sources.mart import mart_select
@@ -215,7 +216,7 @@ def principal_isoform(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey AS gene", "o_orderkey AS transcript", "o_orderstatus"
     )
-    transcripts = orders.join(customers, "gene").select(
+    transcripts = inner_join(orders, customers, "gene").select(
         "genome", "gene", "transcript", "o_orderstatus"
     )
     cds = table(spark, sf_dir, "lineitem").selectExpr(

@@ -8,6 +8,8 @@ from catalog.criteria import ORTHOLOGUES, _below_sql, _over_part, _steps, orthol
 from catalog.registry import numbered, numbered_sql, query, table
 from targetlens import fixed_values as fixed
 from targetlens.operators.criteria import human_orthologue
+from targetlens.operators.joins import inner_join
+from targetlens.operators.shape import stack_by_name
 from targetlens.plans.gene_list import principal_transcripts
 from targetlens.plans.keyword_extract import keyword_extract as keyword_extract_plan
 from targetlens.plans.manual_table import manual_table as manual_table_plan
@@ -18,7 +20,6 @@ from targetlens.plans.target_table import (
     target_table,
 )
 from targetlens.plans.target_table import target_counts as target_counts_plan
-from targetlens.operators.shape import stack_by_name
 from targetlens.sinks.tables import clean_records
 from targetlens.sources.mart import mart_select
 from targetlens.sources.ontology import domain_terms
@@ -37,9 +38,8 @@ def _genes(spark, sf_dir):
         F.concat_ws(".", "l_partkey", "l_orderkey").alias(fixed.TRANSCRIPT),
         F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice")).alias(fixed.CDS_END),
     )
-    transcripts = part.join(
-        lines.select(fixed.GENE, fixed.TRANSCRIPT).distinct(), fixed.GENE, "left"
-    )
+    spliced = inner_join(lines.select(fixed.GENE, fixed.TRANSCRIPT).distinct(), part, fixed.GENE)
+    transcripts = stack_by_name([spliced, part])
     return principal_transcripts(transcripts, lines.select(fixed.TRANSCRIPT, fixed.CDS_END))
 
 
@@ -57,11 +57,9 @@ WHERE place = 1"""
 
 
 def _families(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
-    suppliers = table(spark, sf_dir, "supplier")
-    annotations = lines.join(
-        suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]
-    ).select(
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_partkey", "l_suppkey AS s_suppkey")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    annotations = inner_join(lines, suppliers, "s_suppkey").select(
         F.col("l_partkey").cast("string").alias(fixed.GENE),
         numbered("IPR", F.col("s_suppkey"), 6).alias(fixed.DOMAIN),
         F.expr("CASE WHEN s_nationkey <> 4 THEN s_name END").alias(fixed.DOMAIN_DESCRIPTION),

@@ -8,12 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from targetlens.operators.joins import (
-    broadcast_limit,
-    find_hot_keys,
-    measured_bytes,
-    spread_join,
-)
+from targetlens.operators.joins import find_hot_keys, fits_broadcast, spread_join
 from targetlens.storage import written
 
 
@@ -32,8 +27,8 @@ def descendants(
     spark = edges.sparkSession
     primary = {root: root for root in roots}
     if alternates is not None:
-        found = alternates.where(F.col("alt_id").isin(list(roots)))
-        primary.update({row["alt_id"]: row["go_id"] for row in found.distinct().collect()})
+        named = alternates.where(F.col("alt_id").isin(list(roots))).distinct().collect()
+        primary.update({row["alt_id"]: row["go_id"] for row in named})
     if terms is not None:
         asked = terms.where(F.col("go_id").isin(list(primary.values()))).select("go_id").distinct()
         known = {row["go_id"] for row in asked.collect()}
@@ -45,26 +40,26 @@ def descendants(
     starts = spark.createDataFrame(list(primary.items()), ["root", "term"]).select(
         F.col("root").cast(kind), F.col("term").cast(kind)
     )
-    steps = written(edges.select("parent", "child").distinct(), "edges")
+    steps = written(edges.select("parent", "child").distinct(), "edges").table
+    lookup = starts.withColumnRenamed("term", "parent")
+    below = steps.join(F.broadcast(lookup), "parent")
     hot = None
-    found_pairs = []
-    frontier = starts
+    found = []
     while True:
-        lookup = frontier.withColumnRenamed("term", "parent")
-        if not found_pairs or measured_bytes(frontier) <= broadcast_limit(frontier):
+        below = below.select("root", F.col("child").alias("term")).distinct()
+        if found:
+            below = below.join(reduce(DataFrame.unionByName, found), ["root", "term"], "left_anti")
+        frontier = written(below, "descendants")
+        if not frontier.rows:
+            break
+        found.append(frontier.table)
+        lookup = frontier.table.withColumnRenamed("term", "parent")
+        if fits_broadcast(frontier):
             below = steps.join(F.broadcast(lookup), "parent")
         else:
             hot = hot or find_hot_keys(steps, "parent")
             below = spread_join(steps, lookup, "parent", hot, "inner")
-        below = below.select("root", F.col("child").alias("term")).distinct()
-        if found_pairs:
-            seen = reduce(DataFrame.unionByName, found_pairs)
-            below = below.join(seen, ["root", "term"], "left_anti")
-        frontier = written(below, "descendants")
-        if frontier.isEmpty():
-            break
-        found_pairs.append(frontier)
     own = spark.createDataFrame([(root, root) for root in roots], ["root", "term"]).select(
         F.col("root").cast(kind), F.col("term").cast(kind)
     )
-    return reduce(DataFrame.unionByName, found_pairs, own)
+    return reduce(DataFrame.unionByName, found, own)

@@ -17,13 +17,15 @@ from targetlens.functions.flags import (
     true_names,
 )
 from targetlens.functions.text import contains_any, has_text, has_token, pattern_match
-from targetlens.operators.joins import lookup_join
+from targetlens.operators.joins import fits_broadcast, lookup_join
 from targetlens.operators.reduce import (
+    COPIES,
     argmax_row,
-    count_copies,
     groups_per_value,
     join_counted,
+    sum_copies,
 )
+from targetlens.storage import written
 
 _ANNOTATION = "_annotation"
 
@@ -90,7 +92,7 @@ def conserved_value(
     shared = groups_per_value(df, value, genome, genomes, found_in).where(
         F.size(quoted(found_in)) >= threshold
     )
-    joined = lookup_join(df, shared, value, keys=df.select(quoted(value)))
+    joined = lookup_join(df, written(shared, "shared"), value)
     listed = F.when(~is_missing(df, genome), quoted(found_in))
     return joined.select(
         *[quoted(name) for name in df.columns],
@@ -157,11 +159,14 @@ def domain_flags(
 
     ``domain_terms`` holds ``(domain, go_id)``, ``below`` the ``(root, term)`` pairs.
     """
-    pairs = domain_terms.select(quoted(domain), F.col("go_id").alias("term")).distinct()
+    term_flags = below.groupBy(F.col("term").alias("go_id")).agg(
+        *[F.bool_or(F.col("root") == F.lit(root)).alias(name) for name, root in roots.items()]
+    )
+    pairs = domain_terms.select(quoted(domain), "go_id")
     return (
-        pairs.join(below, "term")
+        lookup_join(pairs, written(term_flags, "terms"), "go_id", "inner")
         .groupBy(quoted(domain))
-        .agg(*[F.bool_or(F.col("root") == F.lit(root)).alias(n) for n, root in roots.items()])
+        .agg(*[F.bool_or(quoted(name)).alias(name) for name in roots])
     )
 
 
@@ -171,6 +176,60 @@ def _flag_and_evidence(name: str, match: Column, no_match: Column) -> list[Colum
     return [evidence.alias(f"{name}_evidence"), found.alias(name)]
 
 
+def _matched_rows(annotations, roots, patterns, domain_terms, below, names) -> DataFrame:
+    """Distinct annotation rows with ``_copies``, the annotation text, and a flag per criterion.
+
+    Rows that meet no criterion shrink to their gene before the shuffle.
+    """
+    gene, domain, description = names
+    rows = annotations.select(*[quoted(name) for name in names], F.lit(1).alias(COPIES))
+    if roots:
+        flags = written(domain_flags(domain_terms, below, roots, domain), "domains")
+        if not fits_broadcast(flags):
+            rows = sum_copies(rows, names)
+        rows = lookup_join(rows, flags, domain, keys=annotations)
+    rows = rows.withColumn(
+        _ANNOTATION, F.concat(quoted(domain), F.lit(" - "), quoted(description))
+    )
+    annotation = quoted(_ANNOTATION)
+    tests = {name: annotation.isNotNull() & F.coalesce(quoted(name), F.lit(False)) for name in roots}
+    tests |= {name: pattern_match(annotation, pattern) for name, pattern in patterns.items()}
+    rows = rows.withColumns(tests)
+    met = any_true(list(tests))
+    kept = rows.select(
+        quoted(gene),
+        *[F.when(met, quoted(name)).alias(name) for name in (domain, description, _ANNOTATION)],
+        *[quoted(name) for name in tests],
+        COPIES,
+    )
+    return sum_copies(kept, [gene, domain, description, _ANNOTATION, *tests])
+
+
+def evidence_rows(
+    annotations: DataFrame,
+    roots: dict[str, str] | None = None,
+    patterns: dict[str, str] | None = None,
+    domain_terms: DataFrame | None = None,
+    below: DataFrame | None = None,
+    gene: str = fixed.GENE,
+    domain: str = fixed.DOMAIN,
+    description: str = fixed.DOMAIN_DESCRIPTION,
+) -> DataFrame:
+    """The matches behind :func:`domain_criteria`, one row each: gene, criterion, annotation and
+    number of copies. Unlike a joined text, no gene is ever gathered in one place."""
+    roots, patterns = roots or {}, patterns or {}
+    matched = _matched_rows(
+        annotations, roots, patterns, domain_terms, below, (gene, domain, description)
+    )
+    met = F.array(*[F.when(quoted(name), F.lit(name)) for name in [*roots, *patterns]])
+    return matched.select(
+        quoted(gene),
+        F.explode(F.array_compact(met)).alias("criterion"),
+        quoted(_ANNOTATION).alias("annotation"),
+        quoted(COPIES).alias("copies"),
+    )
+
+
 def domain_criteria(
     annotations: DataFrame,
     roots: dict[str, str] | None = None,
@@ -191,20 +250,11 @@ def domain_criteria(
     without evidence the flag is false.
     """
     roots, patterns = roots or {}, patterns or {}
-    rows = count_copies(annotations, [gene, domain, description])
-    if roots:
-        flags = domain_flags(domain_terms, below, roots, domain)
-        rows = lookup_join(rows, flags, domain, keys=annotations)
-    rows = rows.withColumn(
-        _ANNOTATION, F.concat(quoted(domain), F.lit(" - "), quoted(description))
+    matched = _matched_rows(
+        annotations, roots, patterns, domain_terms, below, (gene, domain, description)
     )
-    annotation = quoted(_ANNOTATION)
-    texts = {name: F.when(quoted(name), annotation) for name in roots}
-    texts |= {
-        name: F.when(pattern_match(annotation, pattern), annotation)
-        for name, pattern in patterns.items()
-    }
-    evidence = join_counted(rows, gene, texts, copies=list(patterns))
+    texts = {name: F.when(quoted(name), quoted(_ANNOTATION)) for name in [*roots, *patterns]}
+    evidence = join_counted(matched, gene, texts, copies=list(patterns))
     columns = [quoted(gene)]
     for name, root in roots.items():
         match = F.lit(f"{fixed.TERM_MATCH_TEXT}{root}: ")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.functions.flags import has_column, is_missing, quoted
-from targetlens.functions.text import keyword_match
 
 
 def require_column(df: DataFrame, name: str) -> None:
@@ -20,7 +19,7 @@ def require_column(df: DataFrame, name: str) -> None:
 def keyword_filter(df: DataFrame, column: str, keyword: str) -> DataFrame:
     """rows whose text holds the pattern in any letter case."""
     require_column(df, column)
-    return df.where(keyword_match(quoted(column), keyword))
+    return df.where(quoted(column).rlike(f"(?iu){keyword}"))
 
 
 def null_lookup(df: DataFrame, column: str, id_column: str | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from targetlens.functions.flags import quoted
-from targetlens.storage import written
+from targetlens.storage import Written
 
 # A key is hot when it alone fills more than one of the join's partitions.
 MOST_HOT_KEYS = 1_000
@@ -105,42 +105,37 @@ def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return spread_join(left, right, on, find_hot_keys(left, on), "left")
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of a written table, from the lengths of their values as text."""
-    width = reduce(
-        lambda total, name: total
-        + F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0))
-        + F.lit(16),
-        df.columns,
-        F.lit(0),
-    )
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+def inner_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Inner equi-join of many rows with one row per key; only ``left`` may have hot keys."""
+    return spread_join(left, right, on, find_hot_keys(left, on), "inner")
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's own limit on broadcast tables, in bytes; negative when switched off."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
+def fits_broadcast(side: Written) -> bool:
+    """Whether the measured table is within the session's own limit on broadcast tables."""
+    limit = side.table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = limit.lower().rstrip("b")
     units = {"k": 2**10, "m": 2**20, "g": 2**30}
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
+    most = int(limit[:-1]) * units[limit[-1]] if limit[-1] in units else int(limit)
+    return side.bytes <= most
 
 
 def lookup_join(
     left: DataFrame,
-    right: DataFrame,
+    side: Written,
     on: str,
     how: str = "left",
     keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Join a derived lookup table back onto the rows of ``left``.
+    """Join a derived, measured lookup table back onto the rows of ``left``.
 
-    The lookup is written once and measured. Within the session's broadcast limit it is
-    broadcast, so ``left`` is not shuffled at all; beyond it the join shuffles, with the hot keys
-    cut into pieces. ``keys`` may name a cheaper table with the same distribution of the key.
+    Within the broadcast limit ``left`` is not shuffled at all; beyond it the join shuffles, with
+    the hot keys cut into pieces. ``keys`` may name a cheaper table in which the key is
+    distributed the same way.
     """
-    table = written(right, "lookup")
-    if measured_bytes(table) <= broadcast_limit(table):
-        return left.join(F.broadcast(table), on, how)
-    return spread_join(left, table, on, find_hot_keys(left if keys is None else keys, on), how)
+    if fits_broadcast(side):
+        return left.join(F.broadcast(side.table), on, how)
+    hot = find_hot_keys(left if keys is None else keys, on)
+    return spread_join(left, side.table, on, hot, how)
 
 
 def fold_left(base: DataFrame, sides: Sequence[DataFrame], on: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from targetlens.functions.flags import is_missing, quoted
 
 _RANK = "_rank"
-_COPIES = "_copies"
+COPIES = "_copies"
 
 
 def max_per_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -68,11 +68,10 @@ def joined_texts(
     shuffle, so what is gathered per key is its distinct texts, and repeats are written out only
     in the finished text.
     """
-    counted = (
-        df.select(quoted(key), *[text.alias(name) for name, text in texts.items()])
-        .groupBy(quoted(key), *[quoted(name) for name in texts])
-        .agg(F.count(F.lit(1)).cast("int").alias(_COPIES))
+    named = df.select(
+        quoted(key), *[text.alias(name) for name, text in texts.items()], F.lit(1).alias(COPIES)
     )
+    counted = sum_copies(named, [key, *texts])
     return join_counted(counted, key, {name: quoted(name) for name in texts}, separator)
 
 
@@ -91,7 +90,7 @@ def join_counted(
     repeated = list(texts) if copies is None else copies
 
     def gathered(name: str, text: Column) -> Column:
-        times = F.col(_COPIES) if name in repeated else F.lit(1)
+        times = F.col(COPIES) if name in repeated else F.lit(1)
         entry = F.struct(text.alias("text"), times.alias("times"))
         return F.sort_array(F.collect_list(F.when(text.isNotNull(), entry)))
 
@@ -112,10 +111,10 @@ def join_counted(
     )
 
 
-def count_copies(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Distinct rows of the named columns with the number of copies of each, as ``_copies``."""
+def sum_copies(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Distinct rows of the named columns with the sum of their ``_copies``."""
     return df.groupBy(*[quoted(name) for name in names]).agg(
-        F.count(F.lit(1)).cast("int").alias(_COPIES)
+        F.sum(COPIES).cast("int").alias(COPIES)
     )
 
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from targetlens.functions.flags import quoted
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -27,8 +32,30 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/targetlens/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, lineage cut, size known."""
+@dataclass(frozen=True)
+class Written:
+    """A table in the shared folder with its number of rows and the size of its values."""
+
+    table: DataFrame
+    rows: int
+    bytes: int
+
+
+def written(df: DataFrame, label: str) -> Written:
+    """``df`` as a Parquet table: computed once, lineage cut, measured while it is written."""
+    width = reduce(
+        lambda total, name: total
+        + F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0))
+        + F.lit(16),
+        df.columns,
+        F.lit(0),
+    )
+    size = Observation()
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.observe(
+        size,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+    ).write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return Written(table, size.get["rows"], size.get["bytes"])
