@@ -202,9 +202,9 @@ hits AS (SELECT DISTINCT domain FROM {DOMAIN_TERMS} AS mapped JOIN below ON go_i
 counted AS (
   SELECT gene, domain, domain || ' - ' || description AS annotation, count(*) AS copies
   FROM ({ANNOTATIONS}) WHERE description IS NOT NULL GROUP BY ALL)
-SELECT gene, 'is_fifth' AS criterion, annotation, copies::INTEGER AS copies
+SELECT gene, 'is_fifth' AS criterion, annotation, copies
 FROM counted JOIN hits USING (domain)
-UNION ALL SELECT gene, 'is_named', annotation, copies::INTEGER FROM counted
+UNION ALL SELECT gene, 'is_named', annotation, copies FROM counted
 WHERE regexp_matches(annotation, '{ANNOTATION_PATTERN}')
 """)
 def evidence_rows(spark, sf_dir):

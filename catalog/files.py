@@ -106,9 +106,8 @@ def scan_array_chunks(spark, sf_dir):
     sinks.write_array_chunks(rows, path, ["o_orderkey"], 9000)
     return records.read_json_array(
         spark, path,
-        "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderstatus string, "
-        "chunk bigint",
-    )
+        "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderstatus string",
+    ).withColumn("chunk", F.col("chunk").cast("bigint"))
 
 
 @query("""

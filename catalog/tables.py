@@ -8,7 +8,7 @@ from catalog.criteria import ORTHOLOGUES, _below_sql, _over_part, _steps, orthol
 from catalog.registry import numbered, numbered_sql, query, table
 from targetlens import fixed_values as fixed
 from targetlens.operators.criteria import human_orthologue
-from targetlens.operators.joins import inner_join
+from targetlens.operators.joins import fold_left, inner_join
 from targetlens.operators.shape import stack_by_name
 from targetlens.plans.gene_list import principal_transcripts
 from targetlens.plans.keyword_extract import keyword_extract as keyword_extract_plan
@@ -29,8 +29,8 @@ from targetlens.sources.ontology import domain_terms
 
 def _genes(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(
-        F.col("p_brand").alias(fixed.GENOME),
         F.col("p_partkey").cast("string").alias(fixed.GENE),
+        F.col("p_brand").alias(fixed.GENOME),
         F.col("p_name").alias(fixed.GENE_DESCRIPTION),
     )
     lines = table(spark, sf_dir, "lineitem").select(
@@ -38,9 +38,9 @@ def _genes(spark, sf_dir):
         F.concat_ws(".", "l_partkey", "l_orderkey").alias(fixed.TRANSCRIPT),
         F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice")).alias(fixed.CDS_END),
     )
-    spliced = inner_join(lines.select(fixed.GENE, fixed.TRANSCRIPT).distinct(), part, fixed.GENE)
-    transcripts = stack_by_name([spliced, part])
-    return principal_transcripts(transcripts, lines.select(fixed.TRANSCRIPT, fixed.CDS_END))
+    transcripts = stack_by_name([lines.select(fixed.GENE, fixed.TRANSCRIPT), part.select(fixed.GENE)])
+    chosen = principal_transcripts(transcripts, lines.select(fixed.TRANSCRIPT, fixed.CDS_END))
+    return fold_left(part, [chosen], fixed.GENE)
 
 
 GENES = """

@@ -90,12 +90,13 @@ def join_counted(
     repeated = list(texts) if copies is None else copies
 
     def gathered(name: str, text: Column) -> Column:
-        times = F.col(COPIES) if name in repeated else F.lit(1)
+        times = F.col(COPIES) if name in repeated else F.lit(1).cast("bigint")
         entry = F.struct(text.alias("text"), times.alias("times"))
         return F.sort_array(F.collect_list(F.when(text.isNotNull(), entry)))
 
     def spelled(entry: Column) -> Column:
-        again = F.repeat(F.concat(entry["text"], F.lit(separator)), entry["times"] - 1)
+        times = entry["times"].cast("int")
+        again = F.repeat(F.concat(entry["text"], F.lit(separator)), times - 1)
         return F.concat(again, entry["text"])
 
     return (
@@ -114,7 +115,7 @@ def join_counted(
 def sum_copies(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Distinct rows of the named columns with the sum of their ``_copies``."""
     return df.groupBy(*[quoted(name) for name in names]).agg(
-        F.sum(COPIES).cast("int").alias(COPIES)
+        F.sum(COPIES).alias(COPIES)
     )
 
 
@@ -133,7 +134,10 @@ def groups_per_value(
 
 
 def value_map(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Long key/value rows as one sorted distinct list per key."""
+    """Long key/value rows as one sorted distinct list per key.
+
+    For keys whose sets are small by nature; joins use the long rows themselves.
+    """
     return df.groupBy(quoted(key)).agg(F.array_sort(F.collect_set(quoted(value))).alias(name))
 
 

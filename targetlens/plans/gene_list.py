@@ -37,16 +37,21 @@ def gene_list(
     )
 
 
-def gene_list_from_mart(mart: DataFrame, genomes: str, cds_mart: DataFrame) -> DataFrame:
-    """The gene list of the protein-coding genes of ``genomes`` (names separated by commas)."""
-    wanted = {fixed.SPECIES_FILTER: genomes, fixed.BIOTYPE_FILTER: fixed.PROTEIN_CODING}
-    transcripts = mart_select(
-        mart,
-        wanted,
-        [
-            "display_name_1010", "wbps_gene_id", "wbps_transcript_id",
-            "transcript_biotype", "description",
-        ],
-    )
+def protein_coding(genomes: str) -> dict[str, object]:
+    """Mart filter for the protein-coding genes of ``genomes``, names separated by commas."""
+    return {
+        fixed.SPECIES_FILTER: [name.strip() for name in genomes.split(",")],
+        fixed.BIOTYPE_FILTER: fixed.PROTEIN_CODING,
+    }
+
+
+def gene_list_from_mart(transcript_mart: DataFrame, cds_mart: DataFrame, genomes: str) -> DataFrame:
+    """The gene list of ``genomes`` from tables with mart attribute columns."""
+    wanted = protein_coding(genomes)
+    attributes = [
+        "display_name_1010", "wbps_gene_id", "wbps_transcript_id", "transcript_biotype",
+        "description",
+    ]
+    transcripts = mart_select(transcript_mart, wanted, attributes)
     cds = mart_select(cds_mart, wanted, ["wbps_transcript_id", "cds_end"])
     return gene_list(transcripts, cds)

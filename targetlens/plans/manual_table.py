@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from targetlens import fixed_values as fixed
 from targetlens.operators.criteria import assigned_lenient, conserved_value, token_match
 from targetlens.operators.filters import required_columns
 from targetlens.operators.reduce import keep_first
 from targetlens.operators.shape import with_row_id
-from targetlens.sources.delimited import ORDER_COLUMNS
+from targetlens.sinks.tables import write_clean_json
+from targetlens.sources.delimited import ORDER_COLUMNS, read_stacked
+from targetlens.sources.schemas import WIDE_EXPORT
 
 
 def manual_table(
@@ -41,3 +43,10 @@ def manual_table(
         rows = assigned_lenient(rows, columns, flag, null_is_true=False)
     rows = token_match(rows, token_columns, token_flag, tokens)
     return conserved_value(rows, identity, genome, genomes, threshold)
+
+
+def write_manual_table(spark: SparkSession, paths: Sequence[str], out: str, **options) -> None:
+    """The criteria over the tab-separated files at ``paths``, as clean JSON lines with id and
+    gene page address."""
+    stacked = read_stacked(spark, paths, WIDE_EXPORT)
+    write_clean_json(manual_table(stacked, **options), out, keep_id=True, with_uri=True)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from targetlens import fixed_values as fixed
 from targetlens.operators.criteria import assigned_strict
 from targetlens.operators.shape import with_row_id
+from targetlens.sinks.tables import write_clean_json
 
 
 def mart_table(
@@ -22,3 +23,10 @@ def mart_table(
     for flag, columns in criteria.items():
         flagged = assigned_strict(flagged, columns, flag, null_is_true=False)
     return flagged
+
+
+def write_mart_table(
+    rows: DataFrame, out: str, criteria: Mapping[str, Sequence[str]] = fixed.MART_CRITERIA
+) -> None:
+    """The flagged mart rows as clean JSON lines without id."""
+    write_clean_json(mart_table(rows, criteria), out, keep_id=False)

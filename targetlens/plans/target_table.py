@@ -11,8 +11,18 @@ from targetlens.functions.flags import quoted
 from targetlens.operators.closure import descendants
 from targetlens.operators.criteria import domain_criteria, family_rollup, human_orthologue
 from targetlens.operators.joins import fold_left
-from targetlens.operators.quality import summary_counts
+from targetlens.operators.quality import quality_report, require, summary_counts
 from targetlens.operators.shape import stack_tables
+from targetlens.plans.gene_list import gene_list_from_mart, protein_coding
+from targetlens.sinks.tables import write_csv, write_json
+from targetlens.sources.mart import mart_select
+from targetlens.sources.ontology import (
+    domain_terms,
+    ontology_alternates,
+    ontology_edges,
+    ontology_terms,
+)
+from targetlens.storage import written
 
 
 def family_criteria(
@@ -46,7 +56,9 @@ def target_table(
     return family_rollup(folded, flags)
 
 
-def export_table(overall: DataFrame, columns: Sequence[str] = tuple(fixed.EXPORT_COLUMNS)):
+def export_table(
+    overall: DataFrame, columns: Sequence[str] = tuple(fixed.EXPORT_COLUMNS)
+) -> DataFrame:
     """The published columns, in their order."""
     return overall.select(*[quoted(name) for name in columns])
 
@@ -64,3 +76,67 @@ def target_counts(
         counted = summary_counts(table, names)
         counts.append(counted.where(counted["measure"] != "rows"))
     return stack_tables(counts)
+
+
+def tables_from_mart(
+    mart: Mapping[str, DataFrame],
+    genomes: str,
+    stanzas: DataFrame,
+    mapping_lines: DataFrame,
+    identity_attribute: str = "hsapiens_homolog_perc_id",
+    least_genes: int = fixed.LEAST_GENES,
+) -> dict[str, DataFrame]:
+    """Every table of a full run, from landed tables with mart attribute columns.
+
+    ``mart`` holds ``transcripts``, ``cds``, ``orthologues`` and ``domains``. Tables that several
+    results are made from are written to the shared folder once. The gene list and the orthologue
+    table must pass the quality checks.
+    """
+    wanted = protein_coding(genomes)
+    headers = {**fixed.MART_HEADERS, identity_attribute: fixed.IDENTITY}
+    genes = written(
+        gene_list_from_mart(mart["transcripts"], mart["cds"], genomes), "genes"
+    ).table
+    raw_orthologues = mart_select(
+        mart["orthologues"],
+        wanted,
+        ["wbps_gene_id", "hsapiens_gene", "hsapiens_gene_name", "hsapiens_orthology_type",
+         identity_attribute],
+        headers=headers,
+    )
+    orthologues = written(human_orthologue(raw_orthologues), "orthologues").table
+    for table in (genes, orthologues):
+        require(quality_report(table, fixed.GENE, least_genes))
+    annotations = mart_select(
+        mart["domains"], wanted, ["wbps_gene_id", "interpro_id", "interpro_description"]
+    )
+    families = written(
+        family_criteria(
+            annotations,
+            domain_terms(mapping_lines),
+            ontology_edges(stanzas),
+            ontology_terms(stanzas),
+            ontology_alternates(stanzas),
+        ),
+        "families",
+    ).table
+    overall = family_rollup(fold_left(genes, [orthologues, families], fixed.GENE))
+    by_flag = {
+        flag: families.select(fixed.GENE, f"{flag}_evidence", flag).orderBy(fixed.GENE)
+        for flag in fixed.FAMILY_FLAGS
+    }
+    return {
+        "geneList": genes,
+        "wbpHumanOrthologues": orthologues,
+        **by_flag,
+        "overall": overall,
+        "export": export_table(overall),
+        "counts": target_counts(genes, orthologues, families),
+    }
+
+
+def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """K1, K2: every table as CSV under its name, the export also as JSON lines."""
+    for name, table in tables.items():
+        write_csv(table, f"{folder}/{name}_csv")
+    write_json(tables["export"], f"{folder}/export_json")

@@ -6,10 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from targetlens import fixed_values as fixed
 from targetlens.functions.flags import quoted
 from targetlens.operators.shape import clean_missing, stack_by_name
+from targetlens.sources.schemas import column_types
 
 # Place of a row in its input: file, block of the file, row order within the block.
 ORDER_COLUMNS = ["_file_number", "_block", "_row"]
@@ -18,15 +20,15 @@ ORDER_COLUMNS = ["_file_number", "_block", "_row"]
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
-    types: Mapping[str, str] | None = None,
+    types: StructType | Mapping[str, str] | None = None,
     separator: str = "\t",
     missing: Sequence[str] = fixed.MISSING_CELLS,
     file_number: int | None = None,
 ) -> DataFrame:
     """Columns by the names of the header line, missing cells null.
 
-    ``types`` gives the type of the columns that are not text; a cell that does not fit its type
-    becomes null. With ``file_number`` the :data:`ORDER_COLUMNS` are added, so that "first in the
+    ``types`` (a schema or type names) types the columns that are not text; a cell that does not
+    fit its type becomes null. Several paths must share one header; see :func:`read_stacked`. With ``file_number`` the :data:`ORDER_COLUMNS` are added, so that "first in the
     file" has a meaning after a shuffle.
     """
     raw = (
@@ -44,7 +46,7 @@ def read_delimited(
             F.monotonically_increasing_id().alias(ORDER_COLUMNS[2]),
         )
     cleaned = clean_missing(rows, missing)
-    types = types or {}
+    types = column_types(types)
     typed = cleaned.select(
         *[
             quoted(name).try_cast(types[name]).alias(name) if name in types else quoted(name)
@@ -54,7 +56,7 @@ def read_delimited(
     return clean_missing(typed, [])
 
 
-def read_csv(spark: SparkSession, path: str, types: Mapping[str, str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, types: StructType | Mapping[str, str] | None = None) -> DataFrame:
     """Comma-separated, otherwise as :func:`read_delimited`."""
     return read_delimited(spark, path, types, separator=",")
 
@@ -62,7 +64,7 @@ def read_csv(spark: SparkSession, path: str, types: Mapping[str, str] | None = N
 def read_stacked(
     spark: SparkSession,
     paths: Sequence[str],
-    types: Mapping[str, str] | None = None,
+    types: StructType | Mapping[str, str] | None = None,
     separator: str = "\t",
 ) -> DataFrame:
     """S3: several files by column name, with :data:`ORDER_COLUMNS` in the order of ``paths``.

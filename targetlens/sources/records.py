@@ -2,58 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_NO_ARRAY = "no JSON array at the root of the file"
+_STRICT = {"mode": "FAILFAST"}
 
-def _require_array(spark: SparkSession, path: str) -> None:
-    """Raise when the first character that is not blank in some file is not ``[``."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(
-            F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")
-        ).alias("place"),
-        F.trim("value").alias("line"),
-    )
-    firsts = (
-        lines.where(F.col("line").rlike(r"\S"))
-        .groupBy("file")
-        .agg(F.min_by(F.left("line", F.lit(1)), "place").alias("opening"))
-    )
-    wrong = firsts.where(F.col("opening") != "[").select("file").take(1)
-    if wrong:
-        raise ValueError(f"no JSON array at the root of {wrong[0]['file']}")
+
+def _checked(text: Column, good: Column) -> Column:
+    return F.when(good, text).otherwise(F.raise_error(F.lit(_NO_ARRAY)).cast("string"))
 
 
 def read_json_array(
     spark: SparkSession, path: str, schema: T.StructType | str, indent: int | None = None
 ) -> DataFrame:
-    """Records of files that each hold one JSON array.
+    """Records of files that each hold one JSON array of flat records.
 
     Given the ``indent`` the files were written with, they are cut at the line that closes a
     record, so one large file is read by many tasks; a raw line break cannot occur inside a JSON
-    text, so the cut is exact. Without it, a file is one task.
+    text, so the cut is exact. Without it, a file is one task. Reading a file with another root
+    fails. Partition columns of the path stay.
     """
-    _require_array(spark, path)
     if indent is None:
-        return (
-            spark.read.schema(schema)
-            .option("multiLine", True)
-            .option("mode", "FAILFAST")
-            .json(path)
-        )
-    close = "\n" + " " * indent + "},\n"
-    pieces = spark.read.option("lineSep", close).text(path)
-    body = F.regexp_replace("value", r"^\s*\[", "")
-    last = F.col("value").rlike(r"\]\s*$") & body.rlike(r"\}\s*\]\s*$")
-    text = F.when(last, F.regexp_replace(body, r"\]\s*$", "")).otherwise(
-        F.concat(body, F.lit("}"))
-    )
-    parsed = pieces.where(body.rlike(r"\{")).select(
-        F.from_json(text, schema, {"mode": "FAILFAST"}).alias("record")
-    )
-    return parsed.select("record.*")
+        return _read_whole(spark, path, schema)
+    margin = " " * indent
+    pieces = spark.read.option("lineSep", f"\n{margin}}},\n").text(path)
+    value = F.col("value")
+    opening, closing = r"^\s*\[\s*\n", rf"\n{margin}\}}\s*\]\s*$"
+    empty = value.rlike(r"^\s*\[\s*\]\s*$")
+    record = F.regexp_replace(value, opening, "")
+    whole = F.when(
+        value.rlike(closing), F.regexp_replace(record, r"\]\s*$", "")
+    ).otherwise(F.concat(record, F.lit("}")))
+    text = _checked(whole, record.rlike(rf"^{margin}\{{"))
+    return _parsed(pieces.where(~empty & (value != "")), F.from_json(text, schema, _STRICT))
+
+
+def _read_whole(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    files = spark.read.text(path, wholetext=True)
+    text = _checked(F.col("value"), F.col("value").rlike(r"^\s*\["))
+    kind = schema.simpleString() if isinstance(schema, T.StructType) else f"struct<{schema}>"
+    records = F.from_json(text, f"array<{kind}>", _STRICT)
+    return _parsed(files, F.explode(records))
+
+
+def _parsed(pieces: DataFrame, record: Column) -> DataFrame:
+    partitions = [name for name in pieces.columns if name != "value"]
+    return pieces.select(record.alias("_record"), *partitions).select("_record.*", *partitions)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

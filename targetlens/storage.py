@@ -17,14 +17,13 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; one of our own only in unset local mode."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="run-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
