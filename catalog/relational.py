@@ -161,7 +161,7 @@ def union_vertical(spark, sf_dir):
 
 
 @query("""
-SELECT owner, o_orderkey, o_orderdate, o_totalprice FROM (
+SELECT owner, o_orderkey, o_totalprice FROM (
   SELECT *, row_number() OVER (
       PARTITION BY owner ORDER BY o_orderdate NULLS LAST, o_orderkey NULLS LAST) AS place
   FROM (SELECT nullif(o_custkey, 10) AS owner, o_orderkey, o_orderdate, o_totalprice FROM orders))
@@ -171,7 +171,7 @@ def dedup_keep_first(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").selectExpr(
         "nullif(o_custkey, 10) AS owner", "o_orderkey", "o_orderdate", "o_totalprice"
     )
-    return reducers.keep_first(orders, "owner", ["o_orderdate", "o_orderkey"])
+    return reducers.keep_first(orders, "owner", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query("""

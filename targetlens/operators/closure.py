@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.operators.joins import find_hot_keys, fits_broadcast, spread_join
-from targetlens.storage import written
+from targetlens.storage import Written, read_together, written
 
 
 def descendants(
@@ -44,15 +43,13 @@ def descendants(
     lookup = starts.withColumnRenamed("term", "parent")
     below = steps.join(F.broadcast(lookup), "parent")
     hot = None
-    found = []
+    found: list[Written] = []
     while True:
-        below = below.select("root", F.col("child").alias("term")).distinct()
-        if found:
-            below = below.join(reduce(DataFrame.unionByName, found), ["root", "term"], "left_anti")
-        frontier = written(below, "descendants")
+        below = below.select("root", F.col("child").alias("term"))
+        frontier = written(_new_pairs(below, found), "descendants")
         if not frontier.rows:
             break
-        found.append(frontier.table)
+        found.append(frontier)
         lookup = frontier.table.withColumnRenamed("term", "parent")
         if fits_broadcast(frontier):
             below = steps.join(F.broadcast(lookup), "parent")
@@ -62,4 +59,18 @@ def descendants(
     own = spark.createDataFrame([(root, root) for root in roots], ["root", "term"]).select(
         F.col("root").cast(kind), F.col("term").cast(kind)
     )
-    return reduce(DataFrame.unionByName, found, own)
+    return own.unionByName(read_together(found)) if found else own
+
+
+def _new_pairs(pairs: DataFrame, found: list[Written]) -> DataFrame:
+    """Distinct pairs that no earlier step found.
+
+    While the earlier pairs can be broadcast, they are taken out before the shuffle; later both
+    sides meet on the partitioning the distinct rows already have.
+    """
+    if not found:
+        return pairs.distinct()
+    seen = read_together(found)
+    if fits_broadcast(*found):
+        return pairs.join(F.broadcast(seen), ["root", "term"], "left_anti").distinct()
+    return pairs.distinct().join(seen, ["root", "term"], "left_anti")

@@ -110,13 +110,13 @@ def inner_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return spread_join(left, right, on, find_hot_keys(left, on), "inner")
 
 
-def fits_broadcast(side: Written) -> bool:
-    """Whether the measured table is within the session's own limit on broadcast tables."""
-    limit = side.table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+def fits_broadcast(*sides: Written) -> bool:
+    """Whether the measured tables together are within the session's limit on broadcasts."""
+    limit = sides[0].table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     limit = limit.lower().rstrip("b")
     units = {"k": 2**10, "m": 2**20, "g": 2**30}
     most = int(limit[:-1]) * units[limit[-1]] if limit[-1] in units else int(limit)
-    return side.bytes <= most
+    return sum(side.bytes for side in sides) <= most
 
 
 def lookup_join(

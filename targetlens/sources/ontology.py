@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from targetlens import fixed_values as fixed
+from targetlens.operators.joins import left_join
 
 
 def read_stanzas(spark: SparkSession, path: str, blank_line: str = "\n\n") -> DataFrame:
@@ -38,7 +39,7 @@ def ontology_edges(stanzas: DataFrame) -> DataFrame:
     edges = _live_terms(stanzas).select(
         F.col("go_id").alias("child"), F.explode(parents).alias("alt_id")
     )
-    return edges.join(ontology_alternates(stanzas), "alt_id", "left").select(
+    return left_join(edges, ontology_alternates(stanzas), "alt_id").select(
         "child", F.coalesce("go_id", "alt_id").alias("parent")
     )
 

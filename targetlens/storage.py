@@ -36,6 +36,7 @@ class Written:
     """A table in the shared folder with its number of rows and the size of its values."""
 
     table: DataFrame
+    path: str
     rows: int
     bytes: int
 
@@ -57,4 +58,10 @@ def written(df: DataFrame, label: str) -> Written:
         F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
     ).write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
-    return Written(table, size.get["rows"], size.get["bytes"])
+    return Written(table, path, size.get["rows"], size.get["bytes"])
+
+
+def read_together(parts: list[Written]) -> DataFrame:
+    """Written tables of one schema as one scan."""
+    first = parts[0].table
+    return first.sparkSession.read.schema(first.schema).parquet(*[part.path for part in parts])
