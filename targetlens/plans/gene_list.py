@@ -45,13 +45,14 @@ def protein_coding(genomes: str) -> dict[str, object]:
     }
 
 
-def gene_list_from_mart(transcript_mart: DataFrame, cds_mart: DataFrame, genomes: str) -> DataFrame:
-    """The gene list of ``genomes`` from tables with mart attribute columns."""
+def transcripts_from_mart(
+    transcript_mart: DataFrame, cds_mart: DataFrame, genomes: str
+) -> tuple[DataFrame, DataFrame]:
+    """Transcript and coding-sequence rows of ``genomes`` from mart attribute columns."""
     wanted = protein_coding(genomes)
     attributes = [
         "display_name_1010", "wbps_gene_id", "wbps_transcript_id", "transcript_biotype",
         "description",
     ]
     transcripts = mart_select(transcript_mart, wanted, attributes)
-    cds = mart_select(cds_mart, wanted, ["wbps_transcript_id", "cds_end"])
-    return gene_list(transcripts, cds)
+    return transcripts, mart_select(cds_mart, wanted, ["wbps_transcript_id", "cds_end"])

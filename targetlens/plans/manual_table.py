@@ -11,7 +11,7 @@ from targetlens.operators.criteria import assigned_lenient, conserved_value, tok
 from targetlens.operators.filters import required_columns
 from targetlens.operators.reduce import keep_first
 from targetlens.operators.shape import with_row_id
-from targetlens.sinks.tables import write_clean_json
+from targetlens.sinks.tables import clean_records, write_array_chunks, write_clean_json
 from targetlens.sources.delimited import ORDER_COLUMNS, read_stacked
 from targetlens.sources.schemas import WIDE_EXPORT
 
@@ -29,15 +29,16 @@ def manual_table(
     genome: str = fixed.GENOME,
     genomes: Sequence[str] = tuple(fixed.COMPARED_GENOMES),
     threshold: int = 2,
+    keep_order: bool = False,
 ) -> DataFrame:
     """First row per gene with an id, then the "assigned", token and conserved-value criteria.
 
-    Only rows with all ``required`` columns take part. Export with
-    ``clean_records(..., keep_id=True, with_uri=True)``.
+    Only rows with all ``required`` columns take part. The ``order`` columns go unless
+    ``keep_order``. Export with ``clean_records(..., keep_id=True, with_uri=True)``.
     """
     rows = keep_first(stacked, gene, order)
-    rows = rows.drop(*order)
     rows = with_row_id(rows, [gene] if gene in rows.columns else rows.columns)
+    rows = rows if keep_order else rows.drop(*order)
     rows = required_columns(rows, required)
     for flag, columns in assigned.items():
         rows = assigned_lenient(rows, columns, flag, null_is_true=False)
@@ -45,8 +46,23 @@ def manual_table(
     return conserved_value(rows, identity, genome, genomes, threshold)
 
 
-def write_manual_table(spark: SparkSession, paths: Sequence[str], out: str, **options) -> None:
-    """The criteria over the tab-separated files at ``paths``, as clean JSON lines with id and
-    gene page address."""
+def write_manual_table(
+    spark: SparkSession,
+    paths: Sequence[str],
+    out: str,
+    chunk_size: int | None = None,
+    **options,
+) -> None:
+    """The criteria over the tab-separated files at ``paths``, with id and gene page address.
+
+    Clean JSON lines, or with ``chunk_size`` JSON array files of that many records, in the order
+    of the files.
+    """
     stacked = read_stacked(spark, paths, WIDE_EXPORT)
-    write_clean_json(manual_table(stacked, **options), out, keep_id=True, with_uri=True)
+    if chunk_size is None:
+        flagged = manual_table(stacked, **options)
+        write_clean_json(flagged, out, keep_id=True, with_uri=True)
+        return
+    flagged = manual_table(stacked, keep_order=True, **options)
+    records = clean_records(flagged, keep_id=True, with_uri=True, typed=True, carry=ORDER_COLUMNS)
+    write_array_chunks(records, out, ORDER_COLUMNS, chunk_size, leave_out=ORDER_COLUMNS)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from targetlens import fixed_values as fixed
 from targetlens.operators.criteria import assigned_strict
 from targetlens.operators.shape import with_row_id
-from targetlens.sinks.tables import write_clean_json
+from targetlens.sinks.tables import clean_records, write_array_chunks, write_clean_json
 
 
 def mart_table(
@@ -26,7 +26,21 @@ def mart_table(
 
 
 def write_mart_table(
-    rows: DataFrame, out: str, criteria: Mapping[str, Sequence[str]] = fixed.MART_CRITERIA
+    rows: DataFrame,
+    out: str,
+    criteria: Mapping[str, Sequence[str]] = fixed.MART_CRITERIA,
+    order: Sequence[str] = (),
+    chunk_size: int = fixed.CHUNK_RECORDS,
 ) -> None:
-    """The flagged mart rows as clean JSON lines without id."""
-    write_clean_json(mart_table(rows, criteria), out, keep_id=False)
+    """The flagged mart rows without id.
+
+    Clean JSON lines, or given the ``order`` columns of the rows (see
+    :func:`targetlens.sources.delimited.read_delimited`) JSON array files of ``chunk_size``
+    records in that order.
+    """
+    flagged = mart_table(rows, criteria)
+    if not order:
+        write_clean_json(flagged, out, keep_id=False)
+        return
+    records = clean_records(flagged, keep_id=False, typed=True, carry=order)
+    write_array_chunks(records, out, order, chunk_size, leave_out=order)

@@ -13,7 +13,11 @@ from targetlens.operators.criteria import domain_criteria, family_rollup, human_
 from targetlens.operators.joins import fold_left
 from targetlens.operators.quality import quality_report, require, summary_counts
 from targetlens.operators.shape import stack_tables
-from targetlens.plans.gene_list import gene_list_from_mart, protein_coding
+from targetlens.plans.gene_list import (
+    principal_transcripts,
+    protein_coding,
+    transcripts_from_mart,
+)
 from targetlens.sinks.tables import write_csv, write_json
 from targetlens.sources.mart import mart_select
 from targetlens.sources.ontology import (
@@ -90,13 +94,13 @@ def tables_from_mart(
 
     ``mart`` holds ``transcripts``, ``cds``, ``orthologues`` and ``domains``. Tables that several
     results are made from are written to the shared folder once. The gene list and the orthologue
-    table must pass the quality checks.
+    table must pass the quality checks. Results are sorted, the gene list and what is folded onto
+    it by genome and gene, the others by gene.
     """
     wanted = protein_coding(genomes)
     headers = {**fixed.MART_HEADERS, identity_attribute: fixed.IDENTITY}
-    genes = written(
-        gene_list_from_mart(mart["transcripts"], mart["cds"], genomes), "genes"
-    ).table
+    transcripts, cds = transcripts_from_mart(mart["transcripts"], mart["cds"], genomes)
+    genes = written(principal_transcripts(transcripts, cds), "genes").table
     raw_orthologues = mart_select(
         mart["orthologues"],
         wanted,
@@ -121,13 +125,14 @@ def tables_from_mart(
         "families",
     ).table
     overall = family_rollup(fold_left(genes, [orthologues, families], fixed.GENE))
+    overall = overall.orderBy(fixed.GENOME, fixed.GENE)
     by_flag = {
         flag: families.select(fixed.GENE, f"{flag}_evidence", flag).orderBy(fixed.GENE)
         for flag in fixed.FAMILY_FLAGS
     }
     return {
-        "geneList": genes,
-        "wbpHumanOrthologues": orthologues,
+        "geneList": genes.orderBy(fixed.GENOME, fixed.GENE),
+        "wbpHumanOrthologues": orthologues.orderBy(fixed.GENE),
         **by_flag,
         "overall": overall,
         "export": export_table(overall),

@@ -45,12 +45,14 @@ def clean_records(
     base_url: str = fixed.GENE_PAGE_BASE,
     project_prefixes: Sequence[str] = fixed.PROJECT_PREFIXES,
     missing_slug: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """K3: rows ready for export: export keys as names, ``NaN`` for every missing value.
 
     A list with a gap counts as missing. The id is dropped or stands first; the page address
     stands last. A column that may be missing becomes text, or with ``typed`` a variant, in which
-    present numbers, flags and lists keep their type.
+    present numbers, flags and lists keep their type. The ``carry`` columns, such as a row's place
+    in its file, follow unchanged.
     """
 
     def cell(field: T.StructField) -> Column:
@@ -67,7 +69,7 @@ def clean_records(
             value = F.to_json(column) if listed else column.cast("string")
         return F.when(F.coalesce(gap, F.lit(True)), missing).otherwise(value).alias(field.name)
 
-    fields = [field for field in df.schema.fields if field.name != id_column]
+    fields = [field for field in df.schema.fields if field.name not in (id_column, *carry)]
     names, columns = [field.name for field in fields], [cell(field) for field in fields]
     if keep_id:
         names.insert(0, id_column)
@@ -79,7 +81,8 @@ def clean_records(
             uri = gene_uri(quoted(genome), quoted(gene), base_url, project_prefixes, missing_slug)
         keys.append("URI")
         columns.append(F.coalesce(uri, F.lit(fixed.MISSING_TEXT)).alias("URI"))
-    return df.select(*columns).toDF(*keys)
+    carried = [quoted(name) for name in carry]
+    return df.select(*columns, *carried).toDF(*keys, *carry)
 
 
 def write_clean_json(df: DataFrame, path: str, keep_id: bool, **options) -> None:
@@ -92,34 +95,45 @@ def write_bounded(df: DataFrame, path: str, most_rows: int) -> None:
     df.write.option("maxRecordsPerFile", most_rows).option("ignoreNullFields", False).json(path)
 
 
+def _written_by_chunk(numbered: DataFrame) -> DataFrame:
+    """One task per chunk, its rows in order; a chunk is never larger than its size."""
+    return numbered.repartition("chunk").sortWithinPartitions("chunk", "position")
+
+
 def write_array_chunks(
-    df: DataFrame, path: str, order_by: Sequence[str], size: int = fixed.CHUNK_RECORDS
+    df: DataFrame,
+    path: str,
+    order_by: Sequence[str],
+    size: int = fixed.CHUNK_RECORDS,
+    leave_out: Sequence[str] = (),
 ) -> None:
-    """K4 with one JSON array per chunk file, one record per line inside it."""
+    """K4 with one JSON array per chunk file, one record per line inside it.
+
+    ``order_by`` must identify a row; the ``leave_out`` columns are not written.
+    """
     numbered = chunk_numbers(df, order_by, size)
     total = numbered.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
     place = F.col("position")
-    record = F.to_json(
-        F.struct(*[quoted(name) for name in df.columns]), {"ignoreNullFields": "false"}
-    )
+    shown = [quoted(name) for name in df.columns if name not in leave_out]
+    record = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})
     opens = F.when(place % size == 0, "[\n").otherwise("")
     ends = (place % size == size - 1) | (place == total - 1)
     line = F.concat(opens, record, F.when(ends, "\n]").otherwise(","))
-    numbered.select("chunk", "position", line.alias("value")).repartition(
-        "chunk"
-    ).sortWithinPartitions("chunk", "position").select("chunk", "value").write.partitionBy(
-        "chunk"
-    ).text(path)
+    lines = _written_by_chunk(numbered.select("chunk", "position", line.alias("value")))
+    lines.drop("position").write.partitionBy("chunk").text(path)
 
 
 def write_chunks(
-    df: DataFrame, path: str, order_by: Sequence[str], size: int = fixed.CHUNK_RECORDS
+    df: DataFrame,
+    path: str,
+    order_by: Sequence[str],
+    size: int = fixed.CHUNK_RECORDS,
+    leave_out: Sequence[str] = (),
 ) -> None:
     """K4: folders ``chunk=1`` to ``chunk=k`` with ``size`` rows each, the last one the rest.
 
-    Order is kept within and across chunks; ``order_by`` must identify a row.
+    Order is kept within and across chunks; ``order_by`` must identify a row. The ``leave_out``
+    columns are not written.
     """
-    numbered = chunk_numbers(df, order_by, size)
-    numbered.repartition("chunk").sortWithinPartitions("chunk", "position").drop(
-        "position"
-    ).write.partitionBy("chunk").option("ignoreNullFields", False).json(path)
+    rows = _written_by_chunk(chunk_numbers(df, order_by, size)).drop("position", *leave_out)
+    rows.write.partitionBy("chunk").option("ignoreNullFields", False).json(path)

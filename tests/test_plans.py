@@ -8,6 +8,7 @@ import pytest
 from targetlens import fixed_values as fixed
 from targetlens.plans import gene_list, keyword_extract, manual_table, mart_table, target_table
 from targetlens.sources import ontology
+from targetlens.sources.delimited import ORDER_COLUMNS, read_delimited
 
 GENOMES = "trtricprjeb535,wubancprjna275548"
 
@@ -88,7 +89,9 @@ MAPPING = (
 
 
 def test_gene_list(mart):
-    genes = gene_list.gene_list_from_mart(mart["transcripts"], mart["cds"], GENOMES)
+    genes = gene_list.gene_list(
+        *gene_list.transcripts_from_mart(mart["transcripts"], mart["cds"], GENOMES)
+    )
     assert [tuple(r) for r in genes.select(
         fixed.GENOME, fixed.GENE, fixed.TRANSCRIPT, fixed.CDS_MAX).collect()] == [
         ("Trichuris trichiura", "t1", "t1.1", 900),
@@ -135,6 +138,7 @@ def test_full_run(spark, mart, tmp_path):
         "best_WBP_human_orthologue_lt_40pct_identity": 2, "is_enzyme": 2, "is_kinase": 1,
         "is_ion_channel": 1, "is_gpcr": 1, "is_nuclear_receptor": 0,
     }
+    assert [r[fixed.GENE] for r in records(out / "export_json")] == ["t1", "t2", "w1"]
     written_names = {p.name for p in out.iterdir()}
     assert {"geneList_csv", "overall_csv", "is_gpcr_csv", "export_csv"} <= written_names
 
@@ -179,6 +183,16 @@ def test_manual_table(spark, tmp_path):
     )
     assert got["g1"]["URI"] == "NaN"
     assert list(got["g1"])[0] == "id" and len({r["id"] for r in got.values()}) == 4
+    chunks = tmp_path / "chunks"
+    manual_table.write_manual_table(spark, [str(first), str(second)], str(chunks), chunk_size=3)
+    arrays = [
+        json.loads(next((chunks / f"chunk={i}").glob("part-*")).read_text()) for i in (1, 2)
+    ]
+    assert [[r["gene_stable_id"] for r in array] for array in arrays] == [
+        ["g1", "g2", "g3"], ["g5"],
+    ]
+    assert arrays[0] + arrays[1] == [got[g] for g in ("g1", "g2", "g3", "g5")]
+    assert list(arrays[0][0]) == list(got["g1"])
 
 
 def test_mart_table(spark, tmp_path):
@@ -198,6 +212,26 @@ def test_mart_table(spark, tmp_path):
     assert not any(r["has_known_protein_domain"] for r in got)
 
 
+def test_mart_table_in_chunks(spark, tmp_path):
+    file = tmp_path / "mart.tsv"
+    header = "Gene stable ID\tParalogue gene stable ID\t% identity"
+    file.write_text(header + "\n" + "".join(f"g{i}\tp\t{i}.5\n" for i in range(25)))
+    rows = read_delimited(spark, str(file), {"% identity": "double"}, file_number=0)
+    mart_table.write_mart_table(rows, str(tmp_path / "out"), order=ORDER_COLUMNS, chunk_size=10)
+    found = [
+        json.loads(next((tmp_path / "out" / f"chunk={i}").glob("part-*")).read_text())
+        for i in (1, 2, 3)
+    ]
+    assert [len(records_) for records_ in found] == [10, 10, 5]
+    flat = [r for records_ in found for r in records_]
+    assert [r["gene_stable_id"] for r in flat] == [f"g{i}" for i in range(25)]
+    assert flat[3] == {
+        "gene_stable_id": "g3", "paralogue_gene_stable_id": "p", "identity": 3.5,
+        "similar_protein_in_humans": False, "has_known_protein_domain": False,
+        "has_gene_ontology_functional_annotation": True,
+    }
+
+
 def test_keyword_extract(spark, tmp_path):
     file = tmp_path / "simplemine.tsv"
     file.write_text(
