@@ -9,7 +9,7 @@ from catalog.registry import query, table
 from catalog.relational import PART_WITH_GAPS, _part_with_gaps
 from targetlens.operators.reduce import keep_first
 from targetlens.sinks import tables as sinks
-from targetlens.sources import delimited, ontology, records
+from targetlens.sources import delimited, mart, ontology, records
 from targetlens.storage import fresh_path
 
 PART_TYPES = {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"}
@@ -140,3 +140,15 @@ def scan_domain_map(spark, sf_dir):
     path = fresh_path(spark, "mapping")
     _mapping_lines(spark, sf_dir).write.text(path)
     return ontology.domain_terms(ontology.read_mapping_lines(spark, path))
+
+
+@query("""
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey = 5
+""")
+def mart_landed(spark, sf_dir):
+    landed = mart.land_mart(
+        table(spark, sf_dir, "customer"), fresh_path(spark, "mart"), "c_mktsegment"
+    )
+    wanted = {"c_mktsegment": "BUILDING,MACHINERY", "c_nationkey": 5}
+    return mart.mart_select(landed, wanted, ["c_custkey", "c_name", "c_mktsegment"])

@@ -12,8 +12,7 @@ from targetlens.functions.text import gene_uri, sanitize_text, species_slug
 from targetlens.operators import filters, quality, shape
 from targetlens.operators import reduce as reducers
 from targetlens.operators.chunks import chunk_numbers
-from targetlens.operators.joins import inner_join
-from targetlens.plans.gene_list import gene_list
+from targetlens.plans.gene_list import in_gene_order, principal_transcripts
 from targetlens.sinks.tables import clean_records
 from targetlens.sources.mart import mart_select
 
@@ -213,16 +212,14 @@ def principal_isoform(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS gene", "c_mktsegment AS genome"
     )
-    orders = table(spark, sf_dir, "orders").selectExpr(
+    transcripts = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey AS gene", "o_orderkey AS transcript", "o_orderstatus"
     )
-    transcripts = inner_join(orders, customers, "gene").select(
-        "genome", "gene", "transcript", "o_orderstatus"
-    )
     cds = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS transcript", "l_extendedprice AS end"
     )
-    return gene_list(transcripts, cds, "genome", "gene", "transcript", "end")
+    chosen = principal_transcripts(transcripts, cds, "gene", "transcript", "end")
+    return in_gene_order(chosen.join(customers, "gene"), "genome", "gene")
 
 
 @query("""

@@ -23,6 +23,13 @@ def principal_transcripts(
     return top_row(left_join(transcripts, longest, transcript), gene, fixed.CDS_MAX)
 
 
+def in_gene_order(
+    genes: DataFrame, genome: str = fixed.GENOME, gene: str = fixed.GENE
+) -> DataFrame:
+    """O2: sorted by genome, then gene."""
+    return genes.orderBy(quoted(genome).asc_nulls_first(), quoted(gene).asc_nulls_first())
+
+
 def gene_list(
     transcripts: DataFrame,
     cds: DataFrame,
@@ -32,9 +39,8 @@ def gene_list(
     cds_end: str = fixed.CDS_END,
 ) -> DataFrame:
     """:func:`principal_transcripts` sorted by genome and gene."""
-    return principal_transcripts(transcripts, cds, gene, transcript, cds_end).orderBy(
-        quoted(genome).asc_nulls_first(), quoted(gene).asc_nulls_first()
-    )
+    chosen = principal_transcripts(transcripts, cds, gene, transcript, cds_end)
+    return in_gene_order(chosen, genome, gene)
 
 
 def protein_coding(genomes: str) -> dict[str, object]:

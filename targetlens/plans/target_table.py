@@ -14,6 +14,7 @@ from targetlens.operators.joins import fold_left
 from targetlens.operators.quality import quality_report, require, summary_counts
 from targetlens.operators.shape import stack_tables
 from targetlens.plans.gene_list import (
+    in_gene_order,
     principal_transcripts,
     protein_coding,
     transcripts_from_mart,
@@ -124,14 +125,15 @@ def tables_from_mart(
         ),
         "families",
     ).table
-    overall = family_rollup(fold_left(genes, [orthologues, families], fixed.GENE))
-    overall = overall.orderBy(fixed.GENOME, fixed.GENE)
+    overall = in_gene_order(
+        family_rollup(fold_left(genes, [orthologues, families], fixed.GENE))
+    )
     by_flag = {
         flag: families.select(fixed.GENE, f"{flag}_evidence", flag).orderBy(fixed.GENE)
         for flag in fixed.FAMILY_FLAGS
     }
     return {
-        "geneList": genes.orderBy(fixed.GENOME, fixed.GENE),
+        "geneList": in_gene_order(genes),
         "wbpHumanOrthologues": orthologues.orderBy(fixed.GENE),
         **by_flag,
         "overall": overall,

@@ -1,4 +1,4 @@
-"""Filter and attribute selection over landed annotation tables."""
+"""Landing annotation tables, and filter and attribute selection over them."""
 
 from __future__ import annotations
 
@@ -37,3 +37,13 @@ def mart_select(
         df = df.where(_accepts(name, wanted))
     selected = df.select(*[quoted(name).alias(headers.get(name, name)) for name in attributes])
     return selected.distinct() if unique_rows else selected
+
+
+def land_mart(df: DataFrame, path: str, genome: str = fixed.SPECIES_FILTER) -> DataFrame:
+    """The table as Parquet, one folder per genome, so that a genome filter reads only its own.
+
+    Files are evened out on the way: a genome with many rows gets many files, and small ones are
+    not scattered over all tasks.
+    """
+    df.hint("rebalance", genome).write.partitionBy(genome).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

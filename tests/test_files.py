@@ -278,3 +278,18 @@ def test_pushdown(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "In(species_id_1010, [1,2])" in plan
     assert "other" not in plan
+
+
+def test_landed_mart_reads_only_the_wanted_genomes(spark, tmp_path):
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 's0' ELSE concat('s', id % 7) END AS species_id_1010",
+        "CAST(id AS STRING) AS wbps_gene_id",
+    )
+    landed = mart.land_mart(df, str(tmp_path / "mart"))
+    got = mart.mart_select(landed, {"species_id_1010": "s1,s2"}, ["wbps_gene_id"])
+    wanted = df.where("species_id_1010 IN ('s1', 's2')").select("wbps_gene_id")
+    assert rows(got) == rows(wanted)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [species_id_1010" in plan
+    files = list((tmp_path / "mart").glob("*/*.parquet"))
+    assert len(files) == len({file.parent for file in files}) == 7
