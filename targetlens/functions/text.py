@@ -63,6 +63,16 @@ def missing_as_text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(fixed.MISSING_TEXT))
 
 
+def number_text(number: Column) -> Column:
+    """The number in plain digits wherever it has at most four leading decimal zeros or
+    sixteen whole digits; Spark's own text turns to exponents sooner."""
+    digits = number.cast("decimal(38,21)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
+    size = F.abs(number)
+    small, large = (size >= 1e-4) & (size < 1e-3), (size >= 1e7) & (size < 1e16)
+    return F.when(small | large, plain).otherwise(number.cast("string"))
+
+
 def species_slug(
     genome_name: Column, project_prefixes: Sequence[str] = fixed.PROJECT_PREFIXES
 ) -> Column:

@@ -16,7 +16,13 @@ from targetlens.functions.flags import (
     quoted,
     true_names,
 )
-from targetlens.functions.text import contains_any, has_text, has_token, pattern_match
+from targetlens.functions.text import (
+    contains_any,
+    has_text,
+    has_token,
+    number_text,
+    pattern_match,
+)
 from targetlens.operators.joins import fits_broadcast, lookup_join
 from targetlens.operators.reduce import (
     COPIES,
@@ -137,7 +143,7 @@ def human_orthologue(
     best = argmax_row(df, gene, identity, tie_breakers)
     name, percent = quoted(human_name), quoted(identity)
     lacks, low = quoted(human_gene).isNull(), percent < F.lit(limit)
-    shown = F.concat(name, F.lit(" "), percent.cast("string"), F.lit("%"))
+    shown = F.concat(name, F.lit(" "), number_text(percent), F.lit("%"))
     found = F.concat(F.lit(fixed.HAS_ORTHOLOGUE_TEXT), name)
     ranked = F.concat(
         F.when(low, F.lit(fixed.BELOW_LIMIT_TEXT)).otherwise(F.lit(fixed.ABOVE_LIMIT_TEXT)), shown

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +89,14 @@ def test_exact_column_names(spark):
     df = spark.createDataFrame([(1,)], "`Genome name` int")
     assert flags.has_column(df, "Genome name")
     assert not flags.has_column(df, "Genome Name")
+
+
+def test_number_text_equals_the_usual_spelling(spark):
+    picks = random.Random(4)
+    numbers = [0.0, 1.0, 45.5, 100.0, 0.001, 0.0001, 0.00025, 1e7, 12345678.9, 9.5e15, -0.0005]
+    numbers += [round(picks.uniform(0, 100), picks.randrange(1, 8)) for _ in range(300)]
+    numbers += [round(picks.uniform(0, 0.002), 6) + 0.0001 for _ in range(100)]
+    numbers = [number for number in numbers if number == 0 or abs(number) >= 1e-4]
+    df = spark.createDataFrame(list(enumerate(numbers)), "i int, n double")
+    got = [r[0] for r in df.orderBy("i").select(text.number_text(F.col("n"))).collect()]
+    assert got == [str(number) for number in numbers]
