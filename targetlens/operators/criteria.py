@@ -28,12 +28,13 @@ from targetlens.operators.reduce import (
     COPIES,
     argmax_row,
     groups_per_value,
-    join_counted,
+    spelled_out,
     sum_copies,
 )
 from targetlens.storage import written
 
 _ANNOTATION = "_annotation"
+_MATCHES = "_matches"
 
 
 def assigned_strict(
@@ -204,11 +205,13 @@ def _matched_rows(annotations, roots, patterns, domain_terms, below, names) -> D
     met = any_true(list(tests))
     kept = rows.select(
         quoted(gene),
-        *[F.when(met, quoted(name)).alias(name) for name in (domain, description, _ANNOTATION)],
+        *[F.when(met, quoted(name)).alias(name) for name in (domain, description)],
         *[quoted(name) for name in tests],
         COPIES,
     )
-    return sum_copies(kept, [gene, domain, description, _ANNOTATION, *tests])
+    return sum_copies(kept, [gene, domain, description, *tests]).withColumn(
+        _ANNOTATION, F.concat(quoted(domain), F.lit(" - "), quoted(description))
+    )
 
 
 def evidence_rows(
@@ -259,8 +262,22 @@ def domain_criteria(
     matched = _matched_rows(
         annotations, roots, patterns, domain_terms, below, (gene, domain, description)
     )
-    texts = {name: F.when(quoted(name), quoted(_ANNOTATION)) for name in [*roots, *patterns]}
-    evidence = join_counted(matched, gene, texts, copies=list(patterns))
+    entry = F.struct(
+        quoted(_ANNOTATION).alias("text"),
+        quoted(COPIES).alias("copies"),
+        F.struct(*[quoted(name) for name in [*roots, *patterns]]).alias("met"),
+    )
+    matches = matched.groupBy(quoted(gene)).agg(
+        F.sort_array(
+            F.collect_list(F.when(quoted(_ANNOTATION).isNotNull(), entry))
+        ).alias(_MATCHES)
+    )
+
+    def found(name: str) -> Column:
+        met = F.filter(quoted(_MATCHES), lambda match: match["met"][name])
+        return spelled_out(met, repeat=name in patterns).alias(name)
+
+    evidence = matches.select(quoted(gene), *[found(name) for name in [*roots, *patterns]])
     columns = [quoted(gene)]
     for name, root in roots.items():
         match = F.lit(f"{fixed.TERM_MATCH_TEXT}{root}: ")

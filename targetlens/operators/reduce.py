@@ -72,44 +72,27 @@ def joined_texts(
         quoted(key), *[text.alias(name) for name, text in texts.items()], F.lit(1).alias(COPIES)
     )
     counted = sum_copies(named, [key, *texts])
-    return join_counted(counted, key, {name: quoted(name) for name in texts}, separator)
 
+    def gathered(name: str) -> Column:
+        entry = F.struct(quoted(name).alias("text"), F.col(COPIES).alias("copies"))
+        return F.sort_array(F.collect_list(F.when(quoted(name).isNotNull(), entry)))
 
-def join_counted(
-    counted: DataFrame,
-    key: str,
-    texts: dict[str, Column],
-    separator: str = ", ",
-    copies: Sequence[str] | None = None,
-) -> DataFrame:
-    """Second half of :func:`joined_texts`, over rows with a ``_copies`` count.
+    lists = counted.groupBy(quoted(key)).agg(*[gathered(name).alias(name) for name in texts])
+    return lists.select(
+        quoted(key), *[spelled_out(quoted(name), separator).alias(name) for name in texts]
+    )
 
-    ``copies`` names the texts that are repeated per copy (default: all); the others are written
-    once per counted row.
-    """
-    repeated = list(texts) if copies is None else copies
 
-    def gathered(name: str, text: Column) -> Column:
-        times = F.col(COPIES) if name in repeated else F.lit(1).cast("bigint")
-        entry = F.struct(text.alias("text"), times.alias("times"))
-        return F.sort_array(F.collect_list(F.when(text.isNotNull(), entry)))
+def spelled_out(entries: Column, separator: str = ", ", repeat: bool = True) -> Column:
+    """Joined ``text`` of a list of entries, each ``copies`` times, or once without ``repeat``."""
 
     def spelled(entry: Column) -> Column:
-        times = entry["times"].cast("int")
-        again = F.repeat(F.concat(entry["text"], F.lit(separator)), times - 1)
+        if not repeat:
+            return entry["text"]
+        again = F.repeat(F.concat(entry["text"], F.lit(separator)), entry["copies"].cast("int") - 1)
         return F.concat(again, entry["text"])
 
-    return (
-        counted.groupBy(quoted(key))
-        .agg(*[gathered(name, text).alias(name) for name, text in texts.items()])
-        .select(
-            quoted(key),
-            *[
-                F.array_join(F.transform(quoted(name), spelled), separator).alias(name)
-                for name in texts
-            ],
-        )
-    )
+    return F.array_join(F.transform(entries, spelled), separator)
 
 
 def sum_copies(df: DataFrame, names: Sequence[str]) -> DataFrame:
