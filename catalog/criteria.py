@@ -377,7 +377,8 @@ def criteria_fold(spark, sf_dir):
         .select("c_custkey", F.lit(True).alias("in_asia"))
     )
     rich = customers.where("c_acctbal > 0").selectExpr("c_custkey", "c_acctbal AS balance")
-    return fold_left(customers.select("c_custkey", "c_name"), [counts, best, asia, rich], "c_custkey")
+    base = customers.select("c_custkey", "c_name")
+    return fold_left(base, [counts, best, asia, rich], "c_custkey")
 
 
 @query(f"""

@@ -38,7 +38,8 @@ def _genes(spark, sf_dir):
         F.concat_ws(".", "l_partkey", "l_orderkey").alias(fixed.TRANSCRIPT),
         F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice")).alias(fixed.CDS_END),
     )
-    transcripts = stack_by_name([lines.select(fixed.GENE, fixed.TRANSCRIPT), part.select(fixed.GENE)])
+    spliced = lines.select(fixed.GENE, fixed.TRANSCRIPT)
+    transcripts = stack_by_name([spliced, part.select(fixed.GENE)])
     chosen = principal_transcripts(transcripts, lines.select(fixed.TRANSCRIPT, fixed.CDS_END))
     return fold_left(part, [chosen], fixed.GENE)
 
@@ -212,6 +213,7 @@ def _stacked(spark, sf_dir):
         F.col("terms").alias("GO term accession"),
         F.col("pct").alias(fixed.IDENTITY),
         F.lit(0).alias("_file_number"),
+        F.lit("parts").alias("_file"),
         F.lit(0).alias("_block"),
         F.col("line").alias("_row"),
     )
@@ -222,6 +224,7 @@ def _stacked(spark, sf_dir):
         F.col("c_name").alias("Paralogue gene stable ID"),
         (F.lit(900.0) + F.col("c_nationkey") / 10).alias(fixed.IDENTITY),
         F.lit(1).alias("_file_number"),
+        F.lit("customers").alias("_file"),
         F.lit(0).alias("_block"),
         F.col("c_custkey").alias("_row"),
     )
@@ -246,7 +249,8 @@ shared AS (
                    'Trichuris suis (PRJNA179528)')
   GROUP BY pct HAVING count(DISTINCT genome) >= 2)
 SELECT sha256(coalesce(gene, chr(0))) AS id, coalesce(gene, 'NaN') AS gene_stable_id,
-  genome AS genome_name, biotype AS gene_biotype, coalesce(protein, 'NaN') AS human_protein_stable_id,
+  genome AS genome_name, biotype AS gene_biotype,
+  coalesce(protein, 'NaN') AS human_protein_stable_id,
   coalesce(terms, 'NaN') AS go_term_accession, kept.pct::VARCHAR AS identity,
   coalesce(paralogue, 'NaN') AS paralogue_gene_stable_id,
   protein IS NOT NULL AS similar_protein_in_humans,
@@ -271,7 +275,8 @@ def manual_table(spark, sf_dir):
 
 
 @query("""
-SELECT p_brand AS genome, p_partkey::VARCHAR AS gene_stable_id, coalesce(name, 'NaN') AS interpro_id,
+SELECT p_brand AS genome, p_partkey::VARCHAR AS gene_stable_id,
+  coalesce(name, 'NaN') AS interpro_id,
   coalesce(kind, 'NaN') AS paralogue_gene_stable_id,
   FALSE AS similar_protein_in_humans,
   name IS NOT NULL AS has_known_protein_domain,
@@ -281,7 +286,10 @@ FROM (SELECT p_brand, p_partkey, nullif(p_name, 'red ring') AS name, nullif(p_ty
 """)
 def mart_table(spark, sf_dir):
     part = table(spark, sf_dir, "part").withColumns(
-        {"p_name": F.expr("nullif(p_name, 'red ring')"), "p_type": F.expr("nullif(p_type, 'PROMO')")}
+        {
+            "p_name": F.expr("nullif(p_name, 'red ring')"),
+            "p_type": F.expr("nullif(p_type, 'PROMO')"),
+        }
     )
     rows = mart_select(
         part,

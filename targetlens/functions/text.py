@@ -81,7 +81,8 @@ def species_slug(
     shape = rf"^(.+?)\s*\(((?:{projects})\d+)\)"
     species = F.regexp_extract(genome_name, shape, 1)
     project = F.regexp_extract(genome_name, shape, 2)
-    slug = F.concat(F.replace(F.trim(species), F.lit(" "), F.lit("_")), F.lit("_"), F.lower(project))
+    joined = F.replace(F.trim(species), F.lit(" "), F.lit("_"))
+    slug = F.concat(joined, F.lit("_"), F.lower(project))
     return F.when(project != "", slug)
 
 

@@ -28,20 +28,20 @@ def row_positions(df: DataFrame, order_by: Sequence[str], name: str = "position"
     rows = spark.read.schema(df.schema).parquet(path)
     placed = rows.select(
         "*",
-        file.cast("int").alias("_file"),
-        piece.cast("int").alias("_file_piece"),
-        F.col("_metadata.row_index").alias("_index"),
+        file.cast("int").alias("_part"),
+        piece.cast("int").alias("_part_piece"),
+        F.col("_metadata.row_index").alias("_part_row"),
     )
-    sizes = placed.groupBy("_file", "_file_piece").count().collect()
-    sizes.sort(key=lambda size: (size["_file"], size["_file_piece"]))
+    sizes = placed.groupBy("_part", "_part_piece").count().collect()
+    sizes.sort(key=lambda size: (size["_part"], size["_part_piece"]))
     before = accumulate((size["count"] for size in sizes), initial=0)
     starts = spark.createDataFrame(
-        [(s["_file"], s["_file_piece"], start) for s, start in zip(sizes, before, strict=False)],
-        "_file int, _file_piece int, _start bigint",
+        [(s["_part"], s["_part_piece"], start) for s, start in zip(sizes, before, strict=False)],
+        "_part int, _part_piece int, _part_start bigint",
     )
-    return placed.join(F.broadcast(starts), ["_file", "_file_piece"]).select(
+    return placed.join(F.broadcast(starts), ["_part", "_part_piece"]).select(
         *[quoted(column) for column in df.columns],
-        (F.col("_start") + F.col("_index")).alias(name),
+        (F.col("_part_start") + F.col("_part_row")).alias(name),
     )
 
 

@@ -183,7 +183,14 @@ def _flag_and_evidence(name: str, match: Column, no_match: Column) -> list[Colum
     return [evidence.alias(f"{name}_evidence"), found.alias(name)]
 
 
-def _matched_rows(annotations, roots, patterns, domain_terms, below, names) -> DataFrame:
+def _matched_rows(
+    annotations: DataFrame,
+    roots: dict[str, str],
+    patterns: dict[str, str],
+    domain_terms: DataFrame | None,
+    below: DataFrame | None,
+    names: tuple[str, str, str],
+) -> DataFrame:
     """Distinct annotation rows with ``_copies``, the annotation text, and a flag per criterion.
 
     Rows that meet no criterion shrink to their gene before the shuffle.
@@ -199,7 +206,9 @@ def _matched_rows(annotations, roots, patterns, domain_terms, below, names) -> D
         _ANNOTATION, F.concat(quoted(domain), F.lit(" - "), quoted(description))
     )
     annotation = quoted(_ANNOTATION)
-    tests = {name: annotation.isNotNull() & F.coalesce(quoted(name), F.lit(False)) for name in roots}
+    tests = {
+        name: annotation.isNotNull() & F.coalesce(quoted(name), F.lit(False)) for name in roots
+    }
     tests |= {name: pattern_match(annotation, pattern) for name, pattern in patterns.items()}
     rows = rows.withColumns(tests)
     met = any_true(list(tests))

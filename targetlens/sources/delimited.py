@@ -13,8 +13,8 @@ from targetlens.functions.flags import quoted
 from targetlens.operators.shape import clean_missing, stack_by_name
 from targetlens.sources.schemas import column_types
 
-# Place of a row in its input: file, block of the file, row order within the block.
-ORDER_COLUMNS = ["_file_number", "_block", "_row"]
+# Place of a row in its input: number of the path, file, block of the file, order in the block.
+ORDER_COLUMNS = ["_file_number", "_file", "_block", "_row"]
 
 
 def read_delimited(
@@ -28,8 +28,9 @@ def read_delimited(
     """Columns by the names of the header line, missing cells null.
 
     ``types`` (a schema or type names) types the columns that are not text; a cell that does not
-    fit its type becomes null. Several paths must share one header; see :func:`read_stacked`. With ``file_number`` the :data:`ORDER_COLUMNS` are added, so that "first in the
-    file" has a meaning after a shuffle.
+    fit its type becomes null. Several paths must share one header; see :func:`read_stacked`.
+    With ``file_number`` the :data:`ORDER_COLUMNS` are added, so that "first in the file" has a
+    meaning after a shuffle.
     """
     raw = (
         spark.read.option("sep", separator)
@@ -41,9 +42,10 @@ def read_delimited(
     if file_number is not None:
         rows = raw.select(
             "*",
-            F.lit(file_number).alias(ORDER_COLUMNS[0]),
-            F.col("_metadata.file_block_start").alias(ORDER_COLUMNS[1]),
-            F.monotonically_increasing_id().alias(ORDER_COLUMNS[2]),
+            F.lit(file_number).alias("_file_number"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
         )
     cleaned = clean_missing(rows, missing)
     types = column_types(types)
@@ -56,7 +58,9 @@ def read_delimited(
     return clean_missing(typed, [])
 
 
-def read_csv(spark: SparkSession, path: str, types: StructType | Mapping[str, str] | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, types: StructType | Mapping[str, str] | None = None
+) -> DataFrame:
     """Comma-separated, otherwise as :func:`read_delimited`."""
     return read_delimited(spark, path, types, separator=",")
 

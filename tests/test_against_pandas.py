@@ -193,7 +193,8 @@ def test_joined_texts(spark, seed):
     picks = random.Random(seed)
     data = [(f"k{picks.randrange(6)}", maybe(picks, f"v{picks.randrange(4)}")) for _ in range(80)]
     wanted = sorted(
-        (key, "|".join(sorted(v for k, v in data if k == key and v))) for key in {k for k, _ in data}
+        (key, "|".join(sorted(v for k, v in data if k == key and v)))
+        for key in {k for k, _ in data}
     )
     df = spark.createDataFrame(data, "k string, v string").repartition(4)
     assert rows(reduce.joined_texts(df, "k", {"all": F.col("v")}, "|")) == wanted

@@ -71,6 +71,18 @@ def test_file_order_holds_across_splits(spark, tmp_path):
         spark.conf.set(setting, before)
 
 
+def test_file_order_in_a_folder_is_by_file_then_row(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "part-0.tsv").write_text("k\tv\na\t1\nb\t2\n")
+    (folder / "part-1.tsv").write_text("k\tv\n" + "".join(f"k{i}\t{i}\n" for i in range(500)))
+    (folder / "part-2.tsv").write_text("k\tv\nb\t9\nk3\t9\na\t9\n")
+    stacked = delimited.read_stacked(spark, [str(folder)], {"v": "int"})
+    kept = keep_first(stacked, "k", delimited.ORDER_COLUMNS)
+    got = {r["k"]: r["v"] for r in kept.collect()}
+    assert got == {"a": 1, "b": 2, **{f"k{i}": i for i in range(500)}}
+
+
 def test_write_csv(spark, tmp_path):
     df = spark.createDataFrame(
         [("a, b", True, None), ('q"q', False, 2), ("", None, 3)],

@@ -67,7 +67,10 @@ def test_joined_texts_repeat_and_ignore_nulls(spark):
 
 def test_keep_first(spark):
     df = spark.createDataFrame(
-        [("g1", 1, "later"), ("g1", 0, "first"), ("g2", 5, "only"), (None, 3, "n3"), (None, 2, "n2")],
+        [
+            ("g1", 1, "later"), ("g1", 0, "first"), ("g2", 5, "only"), (None, 3, "n3"),
+            (None, 2, "n2"),
+        ],
         "gene string, line int, note string",
     )
     kept = reduce.keep_first(df, "gene", ["line"])
