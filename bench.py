@@ -11,7 +11,7 @@ from catalog import QUERIES
 from targetlens.session import local_session
 
 HEADLINE = [
-    "mart_select_rows",
+    "mart_select",
     "keyword_filter",
     "keyword_extract",
     "token_match",
@@ -28,7 +28,7 @@ HEADLINE = [
     "ontology_criterion",
     "family_criteria_table",
     "criteria_fold",
-    "chunk_rows",
+    "chunk_numbers",
     "quality_report",
     "manual_table",
     "full_target_table",

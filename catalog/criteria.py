@@ -36,7 +36,7 @@ GO_ID = numbered_sql("GO:", "p_partkey", 7)
 
 
 @query(f"SELECT {GO_ID} AS go_id, p_name AS name FROM part WHERE p_size NOT IN (13, 14)")
-def ontology_terms(spark, sf_dir):
+def obo_terms(spark, sf_dir):
     return ontology.ontology_terms(_stanzas(spark, sf_dir))
 
 
@@ -44,7 +44,7 @@ def ontology_terms(spark, sf_dir):
 SELECT {numbered_sql('GO:9', 'p_partkey', 9)} AS alt_id, {GO_ID} AS go_id
 FROM part WHERE p_size NOT IN (13, 14)
 """)
-def ontology_alternates(spark, sf_dir):
+def obo_alternates(spark, sf_dir):
     return ontology.ontology_alternates(_stanzas(spark, sf_dir))
 
 
@@ -55,7 +55,7 @@ UNION ALL
 SELECT {GO_ID}, {numbered_sql('GO:', 'p_partkey // 3', 7)}
 FROM part WHERE p_partkey > 2 AND p_size NOT IN (13, 14)
 """)
-def ontology_edges(spark, sf_dir):
+def obo_edges(spark, sf_dir):
     return ontology.ontology_edges(_stanzas(spark, sf_dir))
 
 

@@ -16,7 +16,7 @@ PART_TYPES = {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"}
 
 
 @query(f"SELECT * FROM {PART_WITH_GAPS}")
-def scan_tsv(spark, sf_dir):
+def scan_roundtrip_tsv(spark, sf_dir):
     path = fresh_path(spark, "tsv")
     sinks.write_csv(_part_with_gaps(spark, sf_dir), path, separator="\t")
     return delimited.read_delimited(spark, path, PART_TYPES)
@@ -26,7 +26,7 @@ def scan_tsv(spark, sf_dir):
 SELECT c_custkey, c_name || ', "' || c_mktsegment || '"' AS label, c_acctbal > 0 AS in_credit,
        CASE WHEN c_acctbal > 0 THEN c_acctbal END AS credit FROM customer
 """)
-def scan_csv(spark, sf_dir):
+def scan_roundtrip_csv(spark, sf_dir):
     path = fresh_path(spark, "csv")
     rows = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey", "c_name || ', \"' || c_mktsegment || '\"' AS label",
@@ -44,7 +44,7 @@ SELECT item, label, balance, file FROM (
     UNION ALL SELECT c_custkey, c_name, NULL, 1 FROM customer))
 WHERE place = 1
 """)
-def scan_stacked(spark, sf_dir):
+def scan_roundtrip_stacked(spark, sf_dir):
     first, second = fresh_path(spark, "stack"), fresh_path(spark, "stack")
     sinks.write_csv(
         table(spark, sf_dir, "supplier").selectExpr(
@@ -66,7 +66,7 @@ def scan_stacked(spark, sf_dir):
 
 
 @query(f"SELECT * FROM {PART_WITH_GAPS}")
-def scan_json_lines(spark, sf_dir):
+def scan_roundtrip_json_lines(spark, sf_dir):
     path = fresh_path(spark, "json")
     rows = _part_with_gaps(spark, sf_dir)
     sinks.write_json(rows, path)
@@ -79,7 +79,7 @@ SELECT p_partkey, CASE WHEN p_size = 10 THEN '"NaN"' ELSE p_size::VARCHAR END AS
        p_type = 'PROMO' AS promo
 FROM part
 """)
-def scan_clean_json(spark, sf_dir):
+def scan_roundtrip_clean_json(spark, sf_dir):
     path = fresh_path(spark, "clean")
     rows = _part_with_gaps(spark, sf_dir).select(
         "p_partkey", F.col("p_size").alias("[Size]"), F.col("p_name").alias("Name."),
@@ -98,7 +98,7 @@ def scan_clean_json(spark, sf_dir):
 SELECT o_orderkey, o_custkey, o_totalprice, nullif(o_orderstatus, 'P') AS o_orderstatus,
        (row_number() OVER (ORDER BY o_orderkey) - 1) // 9000 + 1 AS chunk FROM orders
 """)
-def scan_array_chunks(spark, sf_dir):
+def scan_roundtrip_array_chunks(spark, sf_dir):
     path = fresh_path(spark, "arrays")
     rows = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "o_custkey", "o_totalprice", "nullif(o_orderstatus, 'P') AS o_orderstatus"
@@ -113,7 +113,7 @@ def scan_array_chunks(spark, sf_dir):
 @query("""
 SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 2500 + 1 AS chunk FROM orders
 """)
-def scan_chunks(spark, sf_dir):
+def scan_roundtrip_chunks(spark, sf_dir):
     path = fresh_path(spark, "chunks")
     rows = table(spark, sf_dir, "orders").select("o_orderkey")
     sinks.write_chunks(rows, path, ["o_orderkey"], 2500)
@@ -121,7 +121,7 @@ def scan_chunks(spark, sf_dir):
 
 
 @query("SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
-def scan_bounded(spark, sf_dir):
+def scan_roundtrip_bounded(spark, sf_dir):
     path = fresh_path(spark, "bounded")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     sinks.write_bounded(rows, path, 9000)
@@ -129,14 +129,14 @@ def scan_bounded(spark, sf_dir):
 
 
 @query(f"SELECT {GO_ID} AS go_id, p_name AS name FROM part WHERE p_size NOT IN (13, 14)")
-def scan_ontology(spark, sf_dir):
+def scan_roundtrip_ontology(spark, sf_dir):
     path = fresh_path(spark, "ontology")
     _stanzas(spark, sf_dir).write.option("lineSep", "\n\n").text(path)
     return ontology.ontology_terms(ontology.read_stanzas(spark, path))
 
 
 @query(f'SELECT domain AS "InterPro ID", go_id FROM {DOMAIN_TERMS} AS mapped')
-def scan_domain_map(spark, sf_dir):
+def scan_roundtrip_domain_map(spark, sf_dir):
     path = fresh_path(spark, "mapping")
     _mapping_lines(spark, sf_dir).write.text(path)
     return ontology.domain_terms(ontology.read_mapping_lines(spark, path))

@@ -15,13 +15,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register the function under its name, with its SQL counterpart."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register the function under its name or the one given, with its SQL counterpart."""
 
     def register(function):
-        QUERIES[function.__name__] = function
+        QUERIES[name or function.__name__] = function
         if sql is not None:
-            ORACLES[function.__name__] = sql.strip()
+            ORACLES[name or function.__name__] = sql.strip()
         return function
 
     return register

@@ -22,7 +22,7 @@ PART_ATTRIBUTES = ["p_partkey", "p_name", "p_type", "p_size"]
 @query("""
 SELECT p_partkey, p_name, p_type, p_size FROM part
 WHERE p_brand IN ('Brand#1', 'Brand#12', 'Brand#23') AND p_type = 'ECONOMY'
-""")
+""", name="mart_select")
 def mart_select_rows(spark, sf_dir):
     wanted = {"p_brand": "Brand#1,Brand#12,Brand#23", "p_type": "ECONOMY"}
     return mart_select(table(spark, sf_dir, "part"), wanted, PART_ATTRIBUTES)
@@ -81,7 +81,7 @@ def null_lookup_ids(spark, sf_dir):
 @query("""
 SELECT c_custkey, 'c_acctbal' AS column_name FROM customer
 WHERE CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END > 2500
-""")
+""", name="threshold_lookup")
 def threshold_above(spark, sf_dir):
     kept = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal"))
     customers = table(spark, sf_dir, "customer").withColumn("c_acctbal", kept)
@@ -91,7 +91,7 @@ def threshold_above(spark, sf_dir):
 @query("""
 SELECT c_custkey, 'c_acctbal' AS column_name FROM customer
 WHERE CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END < 2500
-""")
+""", name="threshold_lookup_below")
 def threshold_below(spark, sf_dir):
     kept = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal"))
     customers = table(spark, sf_dir, "customer").withColumn("c_acctbal", kept)
@@ -295,7 +295,7 @@ SELECT p_partkey, genome, CASE WHEN regexp_matches(genome, '^.+?\s*\(PRJNA\d+\)'
   THEN replace(trim(regexp_extract(genome, '^(.+?)\s*\((PRJNA\d+)\)', 1)), ' ', '_') || '_'
        || lower(regexp_extract(genome, '^(.+?)\s*\((PRJNA\d+)\)', 2)) END AS slug
 FROM (SELECT p_partkey, {GENOME_NAMES} AS genome FROM part)
-""")
+""", name="species_slug")
 def species_slugs(spark, sf_dir):
     named = table(spark, sf_dir, "part").selectExpr("p_partkey", f"{GENOME_NAMES} AS genome")
     return named.withColumn("slug", species_slug(F.col("genome")))
@@ -314,7 +314,7 @@ SELECT p_partkey,
     || p_partkey || '/Gene/Summary?g=' || p_partkey
   ELSE 'https://genes.example.org/None/Gene/Summary?g=' || p_partkey END AS uri_or_none
 FROM part
-""")
+""", name="gene_uri")
 def gene_uris(spark, sf_dir):
     named = table(spark, sf_dir, "part").selectExpr("p_partkey", f"{GENOME_NAMES} AS genome")
     genome, gene = F.col("genome"), F.col("p_partkey").cast("string")
@@ -334,7 +334,7 @@ SELECT lower(p_partkey::VARCHAR) AS id, coalesce(p_name, 'NaN') AS gene_descript
        coalesce('https://genes.example.org/' || replace(p_name, ' ', '_') || '_prjna'
          || p_partkey || '/Gene/Summary?g=' || p_partkey, 'NaN') AS "URI"
 FROM (SELECT * REPLACE (p_name || ' (PRJNA' || p_partkey || ')' AS p_brand) FROM {PART_WITH_GAPS})
-""")
+""", name="clean_export_rows")
 def clean_export_keep_id(spark, sf_dir):
     part = _part_with_gaps(spark, sf_dir).select(
         F.col("p_name").alias("Gene description"),
@@ -366,7 +366,7 @@ def clean_export_drop_id(spark, sf_dir):
 @query("""
 SELECT o_orderkey, place AS position, place // 9000 + 1 AS chunk
 FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders)
-""")
+""", name="chunk_numbers")
 def chunk_rows(spark, sf_dir):
     return chunk_numbers(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 9000)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from targetlens.functions.flags import has_column, is_missing, quoted
+from targetlens.functions.flags import any_missing, has_column, is_missing, quoted
 
 
 def require_column(df: DataFrame, name: str) -> None:
@@ -45,4 +45,4 @@ def required_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """rows that have all the named columns; an absent column leaves no row."""
     if not all(has_column(df, name) for name in columns):
         return df.where(F.lit(False))
-    return df.dropna(subset=list(columns))
+    return df.where(~any_missing(df, columns))

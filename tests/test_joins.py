@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from targetlens.operators import joins
+from targetlens.operators import criteria, filters, joins, reduce
 from targetlens.storage import shared_folder, written
 
 
@@ -47,6 +47,23 @@ def test_hot_rows_are_spread_over_partitions(skewed, no_broadcast):
     assert spread["hot"] > 1 and spread[None] > 1
 
 
+def test_keys_with_awkward_names(spark, no_broadcast):
+    key, value = "a.b (c)", "v.w %"
+    left = spark.createDataFrame(
+        [("x", 1.0), ("x", 2.0), (None, 3.0), ("y", None)], f"`{key}` string, `{value}` double"
+    )
+    right = spark.createDataFrame([("x", 5)], f"`{key}` string, `q.r` int")
+    hot = joins.find_hot_keys(left, key, fewest_rows=1)
+    joined = joins.spread_join(left, right, key, hot, "left")
+    assert sorted(map(repr, joined.collect())) == sorted(
+        map(repr, left.join(right, key, "left").collect())
+    )
+    assert reduce.top_row(left, key, value).count() == 3
+    assert filters.required_columns(left, [key, value]).count() == 2
+    shared = criteria.conserved_value(left, value, key, ["x"], 1)
+    assert shared.where("has_similar_identity").count() == 2
+
+
 def test_no_hot_keys_gives_the_plain_join(skewed):
     left, right = skewed
     assert joins.find_hot_keys(left, "k").pieces == ()
