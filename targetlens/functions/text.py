@@ -18,7 +18,7 @@ def sanitize_name(name: str) -> str:
 
 def sanitize_text(text: Column) -> Column:
     """The export-key rule applied to values."""
-    return F.btrim(F.regexp_replace(F.lower(text), fixed.KEY_BREAKS, "_"), F.lit("_"))
+    return F.btrim(F.regexp_replace(F.lower(text), f"(?U){fixed.KEY_BREAKS}", "_"), F.lit("_"))
 
 
 def keyword_match(text: Column, keyword: str) -> Column:
@@ -78,7 +78,7 @@ def species_slug(
 ) -> Column:
     """``Genus species (PRJNA1)`` -> ``Genus_species_prjna1``; null for any other shape."""
     projects = "|".join(re.escape(prefix) for prefix in project_prefixes)
-    shape = rf"^(.+?)\s*\(((?:{projects})\d+)\)"
+    shape = rf"(?U)^\s*(.+?)\s*\(((?:{projects})\d+)\)"
     species = F.regexp_extract(genome_name, shape, 1)
     project = F.regexp_extract(genome_name, shape, 2)
     joined = F.replace(F.trim(species), F.lit(" "), F.lit("_"))

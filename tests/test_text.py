@@ -21,6 +21,7 @@ def values(spark, items, expression):
         ("a.b#c$d/e[f]", "a_b_c_d_e_f"),
         ("__x__", "x"),
         ("tab\tand  blank", "tab_and_blank"),
+        ("no\u00a0break", "no_break"),
     ],
 )
 def test_sanitize(spark, name, key):
@@ -68,7 +69,7 @@ def test_has_text(spark):
 def test_slug_and_uri(spark):
     items = [
         "Wuchereria bancrofti (PRJNA275548)", "Trichuris muris (PRJEB126)", "Ascaris suum",
-        "Loa loa(PRJNA37757) extra", None,
+        "\tLoa loa(PRJNA37757) extra", None,
     ]
     assert values(spark, items, text.species_slug) == [
         "Wuchereria_bancrofti_prjna275548", None, None, "Loa_loa_prjna37757", None,
