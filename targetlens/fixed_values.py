@@ -41,6 +41,40 @@ SPECIES_FILTER = "species_id_1010"
 BIOTYPE_FILTER = "biotype"
 PROTEIN_CODING = "protein_coding"
 
+# Attributes of the mart queries in use. The first four are for protein-coding genes only.
+PROTEIN_CODING_QUERIES = ["transcripts", "cds", "orthologues", "domains"]
+MART_QUERIES = {
+    "transcripts": [
+        "display_name_1010", "wbps_gene_id", "wbps_transcript_id", "transcript_biotype",
+        "description",
+    ],
+    "cds": [
+        "display_name_1010", "wbps_gene_id", "wbps_transcript_id", "cds_start", "cds_end",
+    ],
+    "orthologues": [
+        "wbps_gene_id", "hsapiens_gene", "hsapiens_gene_name", "hsapiens_orthology_type",
+        "hsapiens_homolog_perc_id", "hsapiens_homolog_perc_id_r1",
+    ],
+    "domains": ["wbps_gene_id", "interpro_id", "interpro_description"],
+    "paralogues": [
+        "production_name_1010", "wbps_gene_id", "wbps_paralog_gene",
+        "wbps_gene__paralog__dm_perc_id_4015", "wbps_gene__paralog__dm_perc_id_4015_r1",
+    ],
+    "homologues": [
+        "production_name_1010", "wbps_gene_id", "hsapiens_gene", "hsapiens_gene_name",
+        "hsapiens_homolog_ensembl_peptide", "hsapiens_orthology_type",
+        "hsapiens_homolog_perc_id", "hsapiens_homolog_perc_id_r1",
+    ],
+    "primary": [
+        "production_name_1010", "hsapiens_gene", "hsapiens_gene_name",
+        "hsapiens_homolog_ensembl_peptide", "hsapiens_orthology_type",
+        "hsapiens_homolog_perc_id", "hsapiens_homolog_perc_id_r1", "gene_biotype",
+        "wbps_gene_id", "interpro_id", "interpro_description", "go_accession", "go_name_1006",
+        "go_linkage_type", "wbps_paralog_gene", "wbps_gene__paralog__dm_perc_id_4015",
+        "wbps_gene__paralog__dm_perc_id_4015_r1",
+    ],
+}
+
 # Characters that may not stand in an exported key; a run of them becomes one underscore.
 KEY_BREAKS = r"[.#$/\[\]\s%()]+"
 

@@ -8,7 +8,6 @@ from targetlens import fixed_values as fixed
 from targetlens.functions.flags import quoted
 from targetlens.operators.joins import left_join
 from targetlens.operators.reduce import max_per_key, top_row
-from targetlens.sources.mart import mart_select
 
 
 def principal_transcripts(
@@ -41,24 +40,3 @@ def gene_list(
     """:func:`principal_transcripts` sorted by genome and gene."""
     chosen = principal_transcripts(transcripts, cds, gene, transcript, cds_end)
     return in_gene_order(chosen, genome, gene)
-
-
-def protein_coding(genomes: str) -> dict[str, object]:
-    """Mart filter for the protein-coding genes of ``genomes``, names separated by commas."""
-    return {
-        fixed.SPECIES_FILTER: [name.strip() for name in genomes.split(",")],
-        fixed.BIOTYPE_FILTER: fixed.PROTEIN_CODING,
-    }
-
-
-def transcripts_from_mart(
-    transcript_mart: DataFrame, cds_mart: DataFrame, genomes: str
-) -> tuple[DataFrame, DataFrame]:
-    """Transcript and coding-sequence rows of ``genomes`` from mart attribute columns."""
-    wanted = protein_coding(genomes)
-    attributes = [
-        "display_name_1010", "wbps_gene_id", "wbps_transcript_id", "transcript_biotype",
-        "description",
-    ]
-    transcripts = mart_select(transcript_mart, wanted, attributes)
-    return transcripts, mart_select(cds_mart, wanted, ["wbps_transcript_id", "cds_end"])

@@ -13,14 +13,9 @@ from targetlens.operators.criteria import domain_criteria, family_rollup, human_
 from targetlens.operators.joins import fold_left
 from targetlens.operators.quality import quality_report, require, summary_counts
 from targetlens.operators.shape import stack_tables
-from targetlens.plans.gene_list import (
-    in_gene_order,
-    principal_transcripts,
-    protein_coding,
-    transcripts_from_mart,
-)
+from targetlens.plans.gene_list import in_gene_order, principal_transcripts
 from targetlens.sinks.tables import write_csv, write_json
-from targetlens.sources.mart import mart_select
+from targetlens.sources.mart import mart_query
 from targetlens.sources.ontology import (
     domain_terms,
     ontology_alternates,
@@ -93,31 +88,23 @@ def tables_from_mart(
 ) -> dict[str, DataFrame]:
     """Every table of a full run, from landed tables with mart attribute columns.
 
-    ``mart`` holds ``transcripts``, ``cds``, ``orthologues`` and ``domains``. Tables that several
-    results are made from are written to the shared folder once. The gene list and the orthologue
+    ``mart`` holds the tables ``transcripts``, ``cds``, ``orthologues`` and ``domains``. Tables that
+    several results are made from are written to the shared folder once. The gene list and the orthologue
     table must pass the quality checks. Results are sorted, the gene list and what is folded onto
     it by genome and gene, the others by gene.
     """
-    wanted = protein_coding(genomes)
     headers = {**fixed.MART_HEADERS, identity_attribute: fixed.IDENTITY}
-    transcripts, cds = transcripts_from_mart(mart["transcripts"], mart["cds"], genomes)
-    genes = written(principal_transcripts(transcripts, cds), "genes").table
-    raw_orthologues = mart_select(
-        mart["orthologues"],
-        wanted,
-        ["wbps_gene_id", "hsapiens_gene", "hsapiens_gene_name", "hsapiens_orthology_type",
-         identity_attribute],
-        headers=headers,
-    )
-    orthologues = written(human_orthologue(raw_orthologues), "orthologues").table
+    rows = {
+        name: mart_query(mart[name], name, genomes, headers)
+        for name in fixed.PROTEIN_CODING_QUERIES
+    }
+    genes = written(principal_transcripts(rows["transcripts"], rows["cds"]), "genes").table
+    orthologues = written(human_orthologue(rows["orthologues"]), "orthologues").table
     for table in (genes, orthologues):
         require(quality_report(table, fixed.GENE, least_genes))
-    annotations = mart_select(
-        mart["domains"], wanted, ["wbps_gene_id", "interpro_id", "interpro_description"]
-    )
     families = written(
         family_criteria(
-            annotations,
+            rows["domains"],
             domain_terms(mapping_lines),
             ontology_edges(stanzas),
             ontology_terms(stanzas),

@@ -39,6 +39,20 @@ def mart_select(
     return selected.distinct() if unique_rows else selected
 
 
+def mart_query(
+    df: DataFrame,
+    name: str,
+    genomes: str | Sequence[str],
+    headers: Mapping[str, str] = fixed.MART_HEADERS,
+) -> DataFrame:
+    """One of the named queries for some genomes, given as a list or separated by commas."""
+    wanted = genomes.split(",") if isinstance(genomes, str) else genomes
+    filters: dict[str, object] = {fixed.SPECIES_FILTER: [genome.strip() for genome in wanted]}
+    if name in fixed.PROTEIN_CODING_QUERIES:
+        filters[fixed.BIOTYPE_FILTER] = fixed.PROTEIN_CODING
+    return mart_select(df, filters, fixed.MART_QUERIES[name], headers=headers)
+
+
 def land_mart(df: DataFrame, path: str, genome: str = fixed.SPECIES_FILTER) -> DataFrame:
     """The table as Parquet, one folder per genome, so that a genome filter reads only its own.
 

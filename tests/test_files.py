@@ -292,6 +292,22 @@ def test_pushdown(spark, tmp_path):
     assert "other" not in plan
 
 
+@pytest.mark.parametrize("name", sorted(fixed.MART_QUERIES))
+def test_named_mart_queries(spark, name):
+    attributes = fixed.MART_QUERIES[name]
+    columns = ["species_id_1010", "biotype", *attributes]
+    data = [
+        (genome, biotype, *[f"{genome}{i}" for i in range(len(attributes))])
+        for genome in ("s1", "s2", "s3")
+        for biotype in ("protein_coding", "ncRNA")
+    ]
+    df = spark.createDataFrame(data, columns)
+    got = mart.mart_query(df, name, "s1, s3")
+    assert got.columns == [fixed.MART_HEADERS.get(a, a) for a in attributes]
+    each = 1 if name in fixed.PROTEIN_CODING_QUERIES else 2
+    assert sorted(r[0] for r in got.collect()) == ["s10"] * each + ["s30"] * each
+
+
 def test_landed_mart_reads_only_the_wanted_genomes(spark, tmp_path):
     df = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 's0' ELSE concat('s', id % 7) END AS species_id_1010",

@@ -9,6 +9,7 @@ from targetlens import fixed_values as fixed
 from targetlens.plans import gene_list, keyword_extract, manual_table, mart_table, target_table
 from targetlens.sources import ontology
 from targetlens.sources.delimited import ORDER_COLUMNS, read_delimited
+from targetlens.sources.mart import mart_query
 
 GENOMES = "trtricprjeb535,wubancprjna275548"
 
@@ -32,15 +33,17 @@ def mart(spark):
         (other, *coding, "Loa loa", "l1", "l1.1", "protein_coding", "other genome"),
     ]
     cds = [
-        (t, *coding, "t1.1", 300), (t, *coding, "t1.1", 900), (t, *coding, "t1.2", 899),
-        (t, *coding, "t2.1", None), (w, *coding, "w1.1", 50), (w, *coding, "w1.2", 50),
-        (other, *coding, "l1.1", 5),
+        (genome, *coding, "any", name[:2], name, 1, end)
+        for genome, name, end in [
+            (t, "t1.1", 300), (t, "t1.1", 900), (t, "t1.2", 899), (t, "t2.1", None),
+            (w, "w1.1", 50), (w, "w1.2", 50), (other, "l1.1", 5),
+        ]
     ]
     orthologues = [
-        (t, *coding, "t1", "ENSG1", "ONE", "ortholog_one2many", 30.5),
-        (t, *coding, "t1", "ENSG2", "TWO", "ortholog_one2many", 61.0),
-        (t, *coding, "t2", None, None, None, None),
-        (w, *coding, "w1", "ENSG3", "THREE", "ortholog_one2one", 12.25),
+        (t, *coding, "t1", "ENSG1", "ONE", "ortholog_one2many", 30.5, 1.0),
+        (t, *coding, "t1", "ENSG2", "TWO", "ortholog_one2many", 61.0, 2.0),
+        (t, *coding, "t2", None, None, None, None, None),
+        (w, *coding, "w1", "ENSG3", "THREE", "ortholog_one2one", 12.25, 3.0),
     ]
     domains = [
         (t, *coding, "t1", "IPR000001", "Kinase"), (t, *coding, "t1", "IPR000001", "Kinase"),
@@ -53,9 +56,11 @@ def mart(spark):
     schemas = {
         "transcripts": "display_name_1010 string, wbps_gene_id string, wbps_transcript_id string, "
         "transcript_biotype string, description string",
-        "cds": "wbps_transcript_id string, cds_end bigint",
+        "cds": "display_name_1010 string, wbps_gene_id string, wbps_transcript_id string, "
+        "cds_start bigint, cds_end bigint",
         "orthologues": "wbps_gene_id string, hsapiens_gene string, hsapiens_gene_name string, "
-        "hsapiens_orthology_type string, hsapiens_homolog_perc_id double",
+        "hsapiens_orthology_type string, hsapiens_homolog_perc_id double, "
+        "hsapiens_homolog_perc_id_r1 double",
         "domains": "wbps_gene_id string, interpro_id string, interpro_description string",
     }
     data = {"transcripts": transcripts, "cds": cds, "orthologues": orthologues, "domains": domains}
@@ -90,7 +95,7 @@ MAPPING = (
 
 def test_gene_list(mart):
     genes = gene_list.gene_list(
-        *gene_list.transcripts_from_mart(mart["transcripts"], mart["cds"], GENOMES)
+        *[mart_query(mart[name], name, GENOMES) for name in ("transcripts", "cds")]
     )
     assert [tuple(r) for r in genes.select(
         fixed.GENOME, fixed.GENE, fixed.TRANSCRIPT, fixed.CDS_MAX).collect()] == [
