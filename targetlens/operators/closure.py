@@ -45,7 +45,7 @@ def descendants(
     hot = None
     found: list[Written] = []
     while True:
-        below = below.select("root", F.col("child").alias("term"))
+        below = below.where("root <> child").select("root", F.col("child").alias("term"))
         frontier = written(_new_pairs(below, found), "descendants")
         if not frontier.rows:
             break
@@ -56,7 +56,7 @@ def descendants(
         else:
             hot = hot or find_hot_keys(steps, "parent")
             below = spread_join(steps, lookup, "parent", hot, "inner")
-    own = spark.createDataFrame([(root, root) for root in roots], ["root", "term"]).select(
+    own = spark.createDataFrame([(root, root) for root in primary], ["root", "term"]).select(
         F.col("root").cast(kind), F.col("term").cast(kind)
     )
     return own.unionByName(read_together(found)) if found else own

@@ -88,10 +88,10 @@ def tables_from_mart(
 ) -> dict[str, DataFrame]:
     """Every table of a full run, from landed tables with mart attribute columns.
 
-    ``mart`` holds the tables ``transcripts``, ``cds``, ``orthologues`` and ``domains``. Tables that
-    several results are made from are written to the shared folder once. The gene list and the orthologue
-    table must pass the quality checks. Results are sorted, the gene list and what is folded onto
-    it by genome and gene, the others by gene.
+    ``mart`` holds the tables ``transcripts``, ``cds``, ``orthologues`` and ``domains``. Tables
+    that several results are made from are written to the shared folder once. The gene list and
+    the orthologue table must pass the quality checks. Results are sorted, the gene list and what
+    is folded onto it by genome and gene, the others by gene.
     """
     headers = {**fixed.MART_HEADERS, identity_attribute: fixed.IDENTITY}
     rows = {

@@ -187,6 +187,13 @@ def test_descendants_of_an_alternate_id(spark, edges):
     ]
 
 
+def test_descendants_of_repeated_roots_and_in_a_loop(spark):
+    loop = [("b", "a"), ("c", "b"), ("a", "c"), ("d", "c")]
+    edges = spark.createDataFrame(loop, "child string, parent string")
+    pairs = rows(descendants(edges, ["a", "c", "a"]))
+    assert pairs == [(root, term) for root in "ac" for term in "abcd"]
+
+
 def closure_by_hand(edges, root):
     below = {}
     for child, parent in edges:
