@@ -129,8 +129,10 @@ def tables_from_mart(
     }
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+def write_tables(
+    tables: Mapping[str, DataFrame], folder: str, mode: str = "errorifexists"
+) -> None:
     """K1, K2: every table as CSV under its name, the export also as JSON lines."""
     for name, table in tables.items():
-        write_csv(table, f"{folder}/{name}_csv")
-    write_json(tables["export"], f"{folder}/export_json")
+        write_csv(table, f"{folder}/{name}_csv", mode=mode)
+    write_json(tables["export"], f"{folder}/export_json", mode)

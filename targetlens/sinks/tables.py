@@ -1,4 +1,8 @@
-"""K1-K4: CSV, JSON records, clean export and chunked export."""
+"""K1-K4: CSV, JSON records, clean export and chunked export.
+
+``mode`` is what happens when the folder exists, as in Spark's writer; nothing is replaced unless
+asked for.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +19,9 @@ from targetlens.operators.chunks import chunk_numbers
 from targetlens.operators.shape import export_keys
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
+def write_csv(
+    df: DataFrame, path: str, separator: str = ",", mode: str = "errorifexists"
+) -> None:
     """K1: delimited text with a header; flags are spelled True and False, nulls are empty."""
 
     def cell(field: T.StructField) -> Column:
@@ -24,14 +30,13 @@ def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
             column = F.when(column, F.lit("True")).when(~column, F.lit("False"))
         return column.alias(field.name)
 
-    df.select(*[cell(field) for field in df.schema.fields]).write.option("header", True).option(
-        "sep", separator
-    ).option("escape", '"').option("emptyValue", "").csv(path)
+    cells = df.select(*[cell(field) for field in df.schema.fields])
+    cells.write.options(header=True, sep=separator, escape='"', emptyValue="").csv(path, mode)
 
 
-def write_json(df: DataFrame, path: str) -> None:
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """K2: one JSON object per line, nulls included."""
-    df.write.option("ignoreNullFields", False).json(path)
+    df.write.option("ignoreNullFields", False).json(path, mode)
 
 
 def clean_records(
@@ -85,14 +90,18 @@ def clean_records(
     return df.select(*columns, *carried).toDF(*keys, *carry)
 
 
-def write_clean_json(df: DataFrame, path: str, keep_id: bool, **options) -> None:
+def write_clean_json(
+    df: DataFrame, path: str, keep_id: bool, mode: str = "errorifexists", **options
+) -> None:
     """K3: clean records as JSON lines, present values keeping their JSON type."""
-    write_json(clean_records(df, keep_id, typed=True, **options), path)
+    write_json(clean_records(df, keep_id, typed=True, **options), path, mode)
 
 
-def write_bounded(df: DataFrame, path: str, most_rows: int) -> None:
+def write_bounded(
+    df: DataFrame, path: str, most_rows: int, mode: str = "errorifexists"
+) -> None:
     """K4: JSON lines in files of at most ``most_rows`` rows, without chunk numbers."""
-    df.write.option("maxRecordsPerFile", most_rows).option("ignoreNullFields", False).json(path)
+    df.write.options(maxRecordsPerFile=most_rows, ignoreNullFields=False).json(path, mode)
 
 
 def _written_by_chunk(numbered: DataFrame) -> DataFrame:
@@ -106,6 +115,7 @@ def write_array_chunks(
     order_by: Sequence[str],
     size: int = fixed.CHUNK_RECORDS,
     leave_out: Sequence[str] = (),
+    mode: str = "errorifexists",
 ) -> None:
     """K4 with one JSON array per chunk file, one record per line inside it.
 
@@ -120,7 +130,7 @@ def write_array_chunks(
     ends = (place % size == size - 1) | (place == total - 1)
     line = F.concat(opens, record, F.when(ends, "\n]").otherwise(","))
     lines = _written_by_chunk(numbered.select("chunk", "position", line.alias("value")))
-    lines.drop("position").write.partitionBy("chunk").text(path)
+    lines.drop("position").write.mode(mode).partitionBy("chunk").text(path)
 
 
 def write_chunks(
@@ -129,6 +139,7 @@ def write_chunks(
     order_by: Sequence[str],
     size: int = fixed.CHUNK_RECORDS,
     leave_out: Sequence[str] = (),
+    mode: str = "errorifexists",
 ) -> None:
     """K4: folders ``chunk=1`` to ``chunk=k`` with ``size`` rows each, the last one the rest.
 
@@ -136,4 +147,4 @@ def write_chunks(
     columns are not written.
     """
     rows = _written_by_chunk(chunk_numbers(df, order_by, size)).drop("position", *leave_out)
-    rows.write.partitionBy("chunk").option("ignoreNullFields", False).json(path)
+    rows.write.partitionBy("chunk").option("ignoreNullFields", False).json(path, mode)

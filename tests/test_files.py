@@ -92,6 +92,20 @@ def test_write_csv(spark, tmp_path):
     assert lines(tmp_path / "out") == ["t,flag,n", '"a, b",True,', '"q""q",False,2', ",,3"]
 
 
+def test_existing_results_are_replaced_only_when_asked(spark, tmp_path):
+    df = spark.range(3)
+    for write, args in [
+        (sinks.write_csv, []), (sinks.write_json, []), (sinks.write_bounded, [2]),
+        (sinks.write_chunks, [["id"], 2]), (sinks.write_array_chunks, [["id"], 2]),
+    ]:
+        path = str(tmp_path / write.__name__)
+        write(df, path, *args)
+        with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+            write(df, path, *args)
+        write(df, path, *args, mode="overwrite")
+        assert "0" in "".join(lines(path))
+
+
 def test_write_json_keeps_nulls(spark, tmp_path):
     df = spark.createDataFrame([("a", None)], "t string, n int")
     sinks.write_json(df, str(tmp_path / "out"))
