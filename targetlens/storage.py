@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import queue
 import tempfile
+import threading
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from targetlens.functions.flags import quoted
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+LONGEST_WAIT = 30.0
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,7 +45,11 @@ class Written:
 
 
 def written(df: DataFrame, label: str) -> Written:
-    """``df`` as a Parquet table: computed once, lineage cut, measured while it is written."""
+    """``df`` as a Parquet table: computed once, lineage cut, measured while it is written.
+
+    On a busy cluster Spark may drop the event that brings the measure; then the table is read
+    for it.
+    """
     width = reduce(
         lambda total, name: total
         + F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0))
@@ -50,15 +57,23 @@ def written(df: DataFrame, label: str) -> Written:
         df.columns,
         F.lit(0),
     )
-    size = Observation()
+    measures = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+    seen = Observation()
     path = fresh_path(df.sparkSession, label)
-    df.observe(
-        size,
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
-    ).write.parquet(path)
+    df.observe(seen, *measures).write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
-    return Written(table, path, size.get["rows"], size.get["bytes"])
+    size = _arrived(seen, LONGEST_WAIT) or table.agg(*measures).first().asDict()
+    return Written(table, path, size["rows"], size["bytes"])
+
+
+def _arrived(seen: Observation, seconds: float) -> dict | None:
+    """The observed measures, or None when they do not come in time."""
+    answers: queue.Queue = queue.Queue()
+    threading.Thread(target=lambda: answers.put(seen.get), daemon=True).start()
+    try:
+        return answers.get(timeout=seconds)
+    except queue.Empty:
+        return None
 
 
 def read_together(parts: list[Written]) -> DataFrame:

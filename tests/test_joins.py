@@ -1,8 +1,10 @@
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
+from targetlens import storage
 from targetlens.operators import criteria, filters, joins, reduce
 from targetlens.storage import shared_folder, written
 
@@ -111,6 +113,23 @@ def test_fold_left_shuffles_the_base_once(spark, no_broadcast):
     assert folded.where("g = 9").first().asDict() == {"g": 9, "v1": 9, "v2": 18, "v3": 27}
 
 
+def test_written_without_the_observed_measure(spark, skewed, monkeypatch):
+    _, right = skewed
+    observed = written(right, "test")
+    monkeypatch.setattr(storage, "_arrived", lambda seen, seconds: None)
+    read = written(right, "test")
+    assert (read.rows, read.bytes) == (observed.rows, observed.bytes)
+
+
+def test_a_measure_that_never_arrives():
+    class Lost:
+        @property
+        def get(self):
+            threading.Event().wait(5)
+
+    assert storage._arrived(Lost(), 0.05) is None
+
+
 def test_written_empty_table(spark):
     side = written(spark.createDataFrame([], "a string, b int"), "test")
     assert (side.rows, side.bytes) == (0, 0)
