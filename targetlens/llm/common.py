@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,11 @@ def lower_ascii(text: Column) -> Column:
     return F.when(only_ascii, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where a lambda inside uses it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def text_bytes(text: str | None) -> bytes:
     """UTF-8 of a text; null is empty."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

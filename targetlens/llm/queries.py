@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from targetlens.llm.decontaminate import WINDOW, contamination, is_contaminated
 from targetlens.llm.minhash import near_duplicates
+from targetlens.llm.secrets import BASE_RULES, RULES, Rule, joined_spans, secret_spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +68,105 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN lowest ON x
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates on four words, by min-max hashing."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
+def _rule_sql(rule: Rule, place: int) -> str:
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""
+    SELECT r, '{rule.kind}' AS kind, {place} AS place, {rule.least} AS least,
+        string_split_regex(x, {pattern}) AS g, regexp_extract_all(x, {pattern}, 0) AS f,
+        regexp_extract_all(x, {pattern}, {rule.group}) AS v
+    FROM t WHERE regexp_matches(x, {pattern})"""
+
+
+SECRETS_SQL = rf"""
+WITH t AS (
+    SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS x FROM documents
+), m AS ({" UNION ALL ".join(_rule_sql(rule, place) for place, rule in enumerate(RULES))}
+), z AS (
+    SELECT r, kind, place, least, unnest(list_transform(range(1, len(f) + 1), lambda i: {{
+        'e': list_sum(list_transform(g[1:i], lambda y: length(y)))
+            + list_sum(list_transform(f[1:i], lambda y: length(y))),
+        'l': length(f[i]), 'v': length(v[i])}})) AS a FROM m
+), s AS (
+    SELECT r, kind, place, (a.e - a.l)::BIGINT AS b, a.e::BIGINT AS e FROM z WHERE a.v >= least
+), d AS (
+    SELECT r, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, place) AS spans,
+        string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, place)
+            FILTER (WHERE place < 3) AS base,
+        count(*) FILTER (WHERE place = 0) AS n_assign,
+        count(*) FILTER (WHERE place = 1) AS n_access,
+        count(*) FILTER (WHERE place = 2) AS n_hex
+    FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+    coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans
+FROM t LEFT JOIN d ON d.r = t.r
+"""
+
+
+@query(SECRETS_SQL)
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of the base rules and of the further ones."""
+    found = secret_spans(table(spark, sf_dir, "documents"))
+
+    def number(place: int) -> Column:
+        return F.size(F.filter("spans", lambda x: x["place"] == place)).cast("long")
+
+    base = joined_spans(F.filter("spans", lambda x: x["place"] < len(BASE_RULES)))
+    return found.select(
+        "doc_id",
+        *[number(place).alias(f"n_{rule.kind}") for place, rule in enumerate(BASE_RULES)],
+        F.sha2(base, 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+DECONTAMINATION_SQL = rf"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+        {LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(
+        {LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS n, unnest(list_transform(
+        range(1, greatest(len(w) - {WINDOW} + 1, 1) + 1),
+        lambda i: array_to_string(w[i:i + {WINDOW} - 1], ' '))) AS x
+    FROM b WHERE len(w) > 0
+), lengths AS (
+    SELECT DISTINCT n FROM windows
+), places AS (
+    SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, lengths WHERE len(w) >= n
+), hits AS (
+    SELECT r, i, p.n, item_id FROM places p
+    JOIN windows v ON v.n = p.n AND v.x = array_to_string(w[i:i + p.n - 1], ' ')
+), words AS (
+    SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM hits)
+    GROUP BY r
+), items AS (
+    SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN items ON items.r = d.r
+"""
+
+
+@query(DECONTAMINATION_SQL)
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words in each document, and whether it is contaminated."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = contamination(docs.select("doc_id", "text"), benchmark)
+    hits = F.col("_hits")
+    return found.select(
+        "doc_id",
+        hits["n_words"].alias("n_words"),
+        hits["n_hit"].alias("n_hit"),
+        F.size(hits["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(hits["items"], ","), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
