@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from targetlens.llm.decontaminate import WINDOW, contamination, is_contaminated
 from targetlens.llm.minhash import near_duplicates
+from targetlens.llm.packing import packed
 from targetlens.llm.secrets import BASE_RULES, RULES, Rule, joined_spans, secret_spans
+from targetlens.llm.tokens import token_counts
+
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +175,26 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join(hits["items"], ","), 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
     )
+
+
+@query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in sequences of 4096 tokens, one row per piece."""
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    found = packed(table(spark, sf_dir, "documents"), path)
+    return found.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each document."""
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    return token_counts(table(spark, sf_dir, "documents"), path)
