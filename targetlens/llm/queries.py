@@ -8,6 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from targetlens.llm import language
+from targetlens.llm import toxicity as toxic_texts
+from targetlens.llm.common import fold
 from targetlens.llm.decontaminate import WINDOW, contamination, is_contaminated
 from targetlens.llm.minhash import near_duplicates
 from targetlens.llm.packing import packed
@@ -198,3 +201,22 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of each document."""
     path = public_tokenizers.path(WORD_VOCABULARY)
     return token_counts(table(spark, sf_dir, "documents"), path)
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learnt from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    found = language.identified(docs, language.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, learnt from the labels of three quarters of them."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxic_texts.fit(docs, labels, fold(F.col("id"), 4) != 2)
+    held_out = fold(F.col("doc_id"), 4) == 2
+    found = toxic_texts.toxicity(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
