@@ -16,6 +16,8 @@ from targetlens.llm.minhash import near_duplicates
 from targetlens.llm.packing import packed
 from targetlens.llm.secrets import BASE_RULES, RULES, Rule, joined_spans, secret_spans
 from targetlens.llm.tokens import token_counts
+from targetlens.llm.topk import exact_top_k
+from targetlens.llm.warc import archived
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
@@ -220,3 +222,47 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 4) == 2
     found = toxic_texts.toxicity(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+ARCHIVES_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), k AS (
+    SELECT html, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY html
+)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+    CASE WHEN page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON k.html = p.html AND n >= 1000
+"""
+
+
+@query(ARCHIVES_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives, normalised and read back."""
+    return archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(
+        embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query(TOP_K_SQL)
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
