@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from targetlens.llm import language
+from targetlens.llm import kneser_ney, language
 from targetlens.llm import toxicity as toxic_texts
 from targetlens.llm.common import fold
 from targetlens.llm.decontaminate import WINDOW, contamination, is_contaminated
@@ -266,3 +266,20 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth."""
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@query()
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document, learnt from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    found = kneser_ney.scored(docs, kneser_ney.fit(docs, ~held_out))
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
