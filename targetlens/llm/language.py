@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from targetlens.functions.flags import quoted
 from targetlens.llm.common import MOST_CACHED, columns, pieces, saved
@@ -188,15 +189,14 @@ def _scores(table: pa.Table, languages: list[str], by_size: bool = False):
     return {item: row for row, item in enumerate(items)}, scores
 
 
-def identified(
-    docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """Id, text, ``lang_pred``, ``score`` for every row of ``docs``, from the text alone.
+def identified(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """``row`` (all columns of ``docs``), ``lang_pred``, ``score``, from the text alone.
 
     ``lang_pred`` is one of the model's languages; null texts, texts without letters, and all texts
     where the model has no language are ``und`` with score 0. ``score`` is the share of the best
-    language among all, from 0 to 1. Ties go to the first language by name. Null and repeated ids
-    and equal rows are rows like others; extra columns are left out.
+    language among all, from 0 to 1. Ties go to the first language by name. One row in, one row
+    out, whatever ids they have and whether they are equal; further columns stay in ``row``, so
+    that no name can clash.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -205,17 +205,16 @@ def identified(
         for piece, texts in pieces(batches, PIECE_BYTES):
             languages, scores = scorer.predict([text or "" for text in texts])
             yield columns(
-                id=piece["id"],
-                text=piece["text"],
+                row=piece["row"],
                 lang_pred=pa.array(languages, pa.string()),
                 score=pa.array(scores, pa.float64()),
             )
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    narrow = docs.select(
-        quoted(id_column).alias("id"), quoted(text_column).cast("string").alias("text")
-    )
-    found = narrow.mapInArrow(identify, f"id {kind}, text string, lang_pred string, score double")
-    return found.select(
-        F.col("id").alias(id_column), F.col("text").alias(text_column), "lang_pred", "score"
-    )
+    every = F.struct(*[quoted(name) for name in docs.columns]).alias("row")
+    narrow = docs.select(every, quoted(text_column).cast("string").alias("text"))
+    fields = [
+        T.StructField("row", docs.schema, True),
+        T.StructField("lang_pred", T.StringType(), True),
+        T.StructField("score", T.DoubleType(), True),
+    ]
+    return narrow.mapInArrow(identify, T.StructType(fields))

@@ -1,15 +1,18 @@
 """Near-duplicate documents by min-max hashing, with every link confirmed on the full sets.
 
-Each permutation of the shingle hashes gives two signature values, its minimum and its maximum, so
-half as many are evaluated as there are values. ``bands`` bands of two permutations (four values)
-each put documents that share a band into one bucket. A pair of similarity 0.8 shares no band of
-32 with a probability of about 5e-8.
-
-Buckets are never expanded into all pairs. In each round, every bucket compares its most central
-members (those with most bucket mates) with its other members of a different component; what they
-link becomes one component, compared members leave, and a bucket whose members are all in one
-component is done. The number of compared members grows fourfold each round, so a bucket that links
-badly is still compared in full, and a large group of copies ends after one or two rounds.
+Each of ``PERMUTATIONS`` permutations of the shingle hashes gives two signature values, its minimum
+and its maximum, so half as many are evaluated as there are values. A band hashes ``ROWS`` of them;
+bands share values, which costs no further evaluation. Documents that agree in a band are one
+bucket. A pair of similarity 0.8 shares no band of 80 with a probability below 1e-4, one of 0.85
+below 1e-6; documents that only share a passage (similarity 0.25) meet with less than 0.2 %.
+
+Buckets are never expanded into all pairs. In each round, every bucket compares some members with
+its others of a different component: first the one with most bucket mates, then those of small
+components. What they link becomes one component, compared members leave, and a bucket whose members
+are all in one component is done. The number of compared members grows each round, so a bucket that
+links badly is still compared in full, and a large group of copies ends after one or two rounds.
+After the first round, pairs are compared by what they do not share with their bucket's first
+member, which is little among copies; only those that can be linked are compared in full.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ from targetlens.llm.common import WordHashes, ascii_words, columns, lists, piece
 from targetlens.llm.components import components
 
 SHINGLE = 5
-BANDS = 32
+PERMUTATIONS = 64
+ROWS = 8
+BANDS = 80
 ROWS_AT_ONCE = 8_192
 NONE = np.empty(0, np.int64)
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -52,25 +57,38 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(mixed(runs))
 
 
-def min_max_bands(shingles: np.ndarray, bands: int) -> np.ndarray:
-    """One hash per band, of the minima and maxima under the band's two permutations."""
-    seeds = mixed(np.arange(1, 4 * bands + 1, dtype=np.uint64) * ODD)
-    flips, factors = seeds[: 2 * bands], seeds[2 * bands :] | np.uint64(1)
-    low = np.full(2 * bands, np.iinfo(np.uint64).max, np.uint64)
-    high = np.zeros(2 * bands, np.uint64)
+def _picked(bands: int) -> np.ndarray:
+    """For each band, which of the signature values it hashes; each in about as many bands."""
+    order = np.random.default_rng(1)
+    values = 2 * PERMUTATIONS
+    rounds = -(-bands * ROWS // values)
+    picked = np.concatenate([order.permutation(values) for _ in range(rounds)])
+    return picked[: bands * ROWS].reshape(bands, ROWS)
+
+
+SEEDS = mixed(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * ODD)
+FLIPS, FACTORS = SEEDS[:PERMUTATIONS], SEEDS[PERMUTATIONS:] | np.uint64(1)
+
+
+def min_max_bands(shingles: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """One hash per band, of the minima and maxima that it picks."""
+    low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
+    high = np.zeros(PERMUTATIONS, np.uint64)
     for start in range(0, len(shingles), ROWS_AT_ONCE):
         part = shingles[start : start + ROWS_AT_ONCE, None]
-        permuted = (part ^ flips) * factors
+        permuted = (part ^ FLIPS) * FACTORS
         np.minimum(low, permuted.min(axis=0), out=low)
         np.maximum(high, permuted.max(axis=0), out=high)
-    values = np.stack([low[0::2], high[0::2], low[1::2], high[1::2]])
-    keys = np.arange(1, bands + 1, dtype=np.uint64)
-    for row in values:
-        keys = mixed(keys * ODD + row)
-    return keys
+    values = mixed(np.concatenate([low, high]))[picked]
+    keys = np.arange(1, len(picked) + 1, dtype=np.uint64)
+    for row in values.T:
+        keys = keys * ODD + row
+    return mixed(keys)
 
 
 def _signatures(shingle: int, bands: int):
+    picked = _picked(bands)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for piece, texts in pieces(batches):
@@ -81,7 +99,7 @@ def _signatures(shingle: int, bands: int):
                 sizes.append(len(found))
                 high.append((digest >> 64) - 2**63)
                 low.append((digest & (2**64 - 1)) - 2**63)
-                keys.append(min_max_bands(found, bands).view(np.int64) if len(found) else NONE)
+                keys.append(min_max_bands(found, picked).view(np.int64) if len(found) else NONE)
             keys = lists(keys, pa.int64())
             yield columns(id=piece["id"], n_shingles=sizes, high=high, low=low, bands=keys)
 
@@ -155,15 +173,19 @@ def _class_components(
     narrow: DataFrame, signed: DataFrame, shingle: int, percent: int, kind: str
 ) -> DataFrame:
     """``node``, ``component`` for the classes that have a link."""
-    classes = _classes(signed).withColumnRenamed("rep", "id")
-    reps = signed.join(classes, ["id", "high", "low"], "left_semi")
-    rows = reps.select(F.explode("bands").alias("key"), "id", "n_shingles").distinct()
-    rows = saved(rows, "bands")
+    usable = signed.where("n_shingles > 0 and id is not null")
+    reps = usable.groupBy("high", "low").agg(
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "bands")]
+    )
+    reps = saved(reps.drop("high", "low"), "classes")
+    rows = reps.select(F.explode("bands").alias("key"), "id")
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
     members = saved(rows.join(sizes, "key"), "members")
     central = members.groupBy("id").agg(F.sum("mates").alias("central"))
-    active = members.select("key", "id", "n_shingles").join(central, "id")
-    active = saved(active.withColumn("component", F.col("id")), "active")
+    known = central.join(reps.select("id", "n_shingles").distinct(), "id")
+    active = members.select("key", "id").distinct().join(known, "id")
+    active = active.withColumns({"component": F.col("id"), "many": F.lit(1).cast("long")})
+    active = saved(active, "active")
     wanted = central.select("id")
     sets = narrow.join(wanted, "id", "left_semi").mapInArrow(
         _sets(shingle), f"id {kind}, shingles array<long>"
@@ -174,54 +196,121 @@ def _class_components(
     labels = members.sparkSession.createDataFrame([], f"node {kind}, component {kind}")
     compared = 1
     while not active.isEmpty():
-        order = Window.partitionBy("key").orderBy(F.desc("central"), "id", "n_shingles")
+        order = Window.partitionBy("key").orderBy("many", F.desc("central"), "id", "n_shingles")
         ranked = active.withColumn("rank", F.row_number().over(order))
         pivots = saved(ranked.where(F.col("rank") <= compared).drop("rank"), "pivots")
-        pairs = saved(_candidates(active, pivots, tested, percent), "candidates")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = saved(_confirmed(pairs, sets, percent), "confirmed")
+        if tested is None:
+            pairs = saved(_first_pairs(active, pivots, percent), "candidates")
+            found = saved(_compared(pairs, sets, percent, keep=True), "compared")
+            rests = saved(_rests(pivots, found), "rests")
+            first = pivots.select("key", F.col("id").alias("first"))
+            active = active.join(first, "key")
+            pivots = pivots.join(first, "key")
+            tested = pairs
+        else:
+            pairs = saved(_pairs(active, pivots, rests, tested, percent), "candidates")
+            found = saved(_compared(pairs, sets, percent), "compared")
+            tested = tested.union(pairs)
+        found = found.where("linked").select("a", "b")
         links = found if links is None else links.union(found)
         if not found.isEmpty():
             labels = components(links)
         active = saved(_left_over(active, pivots, labels), "active")
-        compared *= 4
+        compared *= 16
     return labels
 
 
-def _candidates(
-    active: DataFrame, pivots: DataFrame, tested: DataFrame | None, percent: int
-) -> DataFrame:
-    """Pairs of a compared member and another of its bucket and not of its component, once."""
+def _first_pairs(active: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket's first member and another, unless their sizes are too different."""
     pivots = pivots.select(
-        "key",
-        F.col("id").alias("pivot"),
-        F.col("component").alias("pivot_component"),
-        F.col("n_shingles").alias("pivot_size"),
+        "key", F.col("id").alias("pivot_id"), F.col("n_shingles").alias("pivot_size")
     )
-    small, large = F.least("n_shingles", "pivot_size"), F.greatest("n_shingles", "pivot_size")
+    small, large = (f("n_shingles", "pivot_size") for f in (F.least, F.greatest))
     pairs = active.join(pivots, "key").where(
-        (F.col("component") != F.col("pivot_component")) & (100 * small >= percent * large)
+        (F.col("id") != F.col("pivot_id")) & (100 * small >= percent * large)
+    )
+    return _ordered(pairs).distinct()
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.least("id", "pivot_id").alias("a"), F.greatest("id", "pivot_id").alias("b")
     )
-    pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-    pairs = pairs.distinct()
-    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+def _rests(pivots: DataFrame, found: DataFrame) -> DataFrame:
+    """For a member and the first member it was compared with: how much they share, and the rest.
+
+    An id with several texts is left out: nothing is ruled out for it.
+    """
+    once = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).where("times = 1")
+    found = found.join(once, ["a", "b"], "left_semi")
+    firsts = pivots.select(F.col("id").alias("first")).distinct()
+    sides = [("a", "b", "only_a"), ("b", "a", "only_b")]
+    both = [
+        found.select(F.col(x).alias("id"), F.col(y).alias("first"), "shared", F.col(o).alias("rest"))
+        for x, y, o in sides
+    ]
+    return both[0].unionAll(both[1]).join(firsts, "first", "left_semi")
+
+
+def _pairs(
+    active: DataFrame, pivots: DataFrame, rests: DataFrame, tested: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of a compared member and another of its bucket that can be linked, not yet tested.
+
+    Not those of one component, or of too different sizes, or that share too little: at most what
+    either shares with the bucket's first member, and what their rests have in common. A pair
+    comes from one of its buckets.
+    """
+    active = active.join(_keys(active), "id").join(rests, ["id", "first"], "left")
+    pivots = pivots.join(_keys(pivots), "id").join(rests, ["id", "first"], "left")
+    names = [c for c in pivots.columns if c not in ("key", "first")]
+    pivots = pivots.select("key", *[F.col(c).alias(f"pivot_{c}") for c in names])
+    small, large = (f("n_shingles", "pivot_n_shingles") for f in (F.least, F.greatest))
+    most = F.least("shared", "pivot_shared") + F.size(F.array_intersect("rest", "pivot_rest"))
+    most = F.when(F.col("rest").isNotNull() & F.col("pivot_rest").isNotNull(), most)
+    most = F.coalesce(most, small)
+    pairs = active.join(pivots, "key").where(
+        (F.col("component") != F.col("pivot_component"))
+        & (100 * small >= percent * large)
+        & (F.col("key") == F.array_min(F.array_intersect("keys", "pivot_keys")))
+        & (100 * most >= percent * (small + large - most))
+    )
+    return _ordered(pairs).distinct().join(tested, ["a", "b"], "left_anti")
+
+
+def _keys(members: DataFrame) -> DataFrame:
+    """The buckets of each id, at most one per band."""
+    return members.groupBy("id").agg(F.collect_set("key").alias("keys"))
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, keep: bool = False) -> DataFrame:
+    """Whether the full sets of the pairs are similar enough; ``keep`` what they do not share."""
     first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
     both = pairs.join(first, "a").join(second, "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    either = F.size("of_a") + F.size("of_b") - shared
-    return both.where(100 * shared >= percent * either).select("a", "b")
+    rests = [
+        F.array_except("of_a", "of_b").alias("only_a"), F.array_except("of_b", "of_a").alias("only_b")
+    ]
+    both = both.select(
+        "a", "b", shared.alias("shared"), (F.size("of_a") + F.size("of_b")).alias("total"),
+        *(rests if keep else []),
+    )
+    either = F.col("total") - F.col("shared")
+    return both.withColumn("linked", 100 * F.col("shared") >= percent * either)
 
 
 def _left_over(active: DataFrame, pivots: DataFrame, labels: DataFrame) -> DataFrame:
     """Members not yet compared, of buckets that still hold more than one component."""
-    left = active.join(pivots.select("key", "id"), ["key", "id"], "left_anti").drop("component")
-    left = left.join(labels, left["id"] == labels["node"], "left")
-    left = left.withColumn("component", F.coalesce("component", "id")).select(active.columns)
+    many = labels.groupBy("component").agg(F.count(F.lit(1)).alias("many"))
+    labels = labels.join(many, "component")
+    left = active.join(pivots.select("key", "id"), ["key", "id"], "left_anti")
+    left = left.drop("component", "many").join(labels, F.col("id") == F.col("node"), "left")
+    left = left.withColumns(
+        {"component": F.coalesce("component", "id"), "many": F.coalesce("many", F.lit(1))}
+    ).select(active.columns)
     left = saved(left, "left")
     spread = left.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most")

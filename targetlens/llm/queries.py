@@ -210,8 +210,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of each document, learnt from four fifths of them."""
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 5) == 0
-    found = language.identified(docs, language.fit(docs, ~held_out))
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    model = language.fit(docs, ~held_out)
+    found = language.identified(docs.select("doc_id", "text"), model)
+    return found.select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
 
 
 @query()
