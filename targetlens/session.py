@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -10,6 +11,11 @@ from pyspark.sql import SparkSession
 def local_session(cores: str | int | None = None) -> SparkSession:
     """Spark on this machine with as many shuffle partitions as cores."""
     cores = cores or os.environ.get("BENCH_CPUS", "8")
+    # Python workers find the package wherever the session is started.
+    root = str(Path(__file__).resolve().parent.parent)
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("targetlens")
