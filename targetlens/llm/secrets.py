@@ -61,7 +61,8 @@ def running_sums(values: Column) -> Column:
         return F.aggregate(part, zero, lambda a, b: a + b)
 
     def of_blocks(values: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(values) - 1, F.lit(BLOCK))
+        last = F.greatest(F.size(values) - 1, F.lit(0))
+        starts = F.sequence(F.lit(0), last, F.lit(BLOCK))
         return F.transform(starts, lambda start: total(F.slice(values, start + 1, BLOCK)))
 
     def before_blocks(sums: Column) -> Column:

@@ -1,0 +1,96 @@
+"""Near duplicates against all pairs, and awkward rows."""
+
+import random
+
+import pytest
+
+from targetlens.llm.components import components
+from targetlens.llm.minhash import near_duplicates
+
+
+def brute_force(rows, size=5, percent=80):
+    """Components by comparing every pair of shingle sets."""
+    sets = {}
+    for key, text in rows:
+        words = (text or "").encode().lower().split()
+        runs = [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+        sets[key] = set(runs or ([tuple(words)] if words else []))
+    parent = {key: key for key in sets}
+
+    def root(key):
+        while parent[key] != key:
+            key = parent[key]
+        return key
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {key: (len(sets[key]), root(key)) for key in keys}
+
+
+def found(spark, rows, **options):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return {
+        r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(df, **options).collect()
+    }
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_agrees_with_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows, texts = [], []
+    for key in range(150):
+        words = rng.choices(vocabulary, k=rng.randint(1, 80))
+        if texts and rng.random() < 0.7:
+            words = list(rng.choice(texts))
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        texts.append(words)
+        rows.append((key * 3, " ".join(words)))
+    assert found(spark, rows, shingle=4) == brute_force(rows, 4)
+
+
+def test_chain_and_hub_of_copies(spark):
+    base = [f"a{i}" for i in range(60)]
+    rows = [(i, " ".join(base[:i] + ["x"] + base[i + 1 :])) for i in range(60)]
+    chain = [f"c{i}" for i in range(140)]
+    rows += [(100 + i, " ".join(chain[6 * i : 6 * i + 70])) for i in range(10)]
+    assert found(spark, rows) == brute_force(rows)
+
+
+def test_awkward_rows(spark):
+    long_text = " ".join(f"l{i}" for i in range(30_000))
+    rows = [
+        (1, None, "x"), (2, "", "x"), (3, " \n\t", "x"), (4, "One two", "x"), (5, "ONE TWO", "x"),
+        (None, "one two", "x"), (7, long_text, "x"), (8, long_text + " end", "x"),
+        (9, "same id", "x"), (9, "other text", "x"), (10, "ÄPFEL", "x"), (11, "äpfel", "x"),
+        (4, "One two", "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    result = near_duplicates(df.withColumnRenamed("component_id", "bands"))
+    rows = sorted(map(tuple, result.collect()), key=repr)
+    assert rows == sorted(
+        [
+            (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (4, 1, 4, True),
+            (5, 1, 4, False), (None, 1, None, True), (7, 29_996, 7, True), (8, 29_997, 7, False),
+            (9, 1, 9, True), (9, 1, 9, True), (10, 1, 10, True), (11, 1, 11, True),
+        ],
+        key=repr,
+    )
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert near_duplicates(df).collect() == []
+
+
+def test_components_of_a_path_and_a_star(spark):
+    links = [(i + 1, i) for i in range(40)] + [(100, 200 + i) for i in range(40)] + [(7, 7)]
+    df = spark.createDataFrame(links, "a long, b long")
+    result = {r.node: r.component for r in components(df).collect()}
+    assert result == {**{i: 0 for i in range(41)}, 100: 100, **{200 + i: 100 for i in range(40)}}
