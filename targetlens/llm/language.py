@@ -46,8 +46,9 @@ class Model:
             return self.scores[row]
         edged = EDGE + word + EDGE
         for size in range(LONGEST_GRAM, 0, -1):
-            starts = range(len(edged) - size + 1)
-            rows = [r for r in (self.grams.get(edged[i : i + size]) for i in starts) if r is not None]
+            text = edged if size > 1 else word
+            grams = (text[i : i + size] for i in range(len(text) - size + 1))
+            rows = [r for r in map(self.grams.get, grams) if r is not None]
             if rows:
                 return self.scores[rows].mean(axis=0)
         return np.zeros(len(self.languages), np.float32)

@@ -1,0 +1,107 @@
+"""The string kernel against its definition, held-out toxicity, awkward rows."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from targetlens.llm import toxicity as t
+from targetlens.llm.common import fold
+
+SCHEMA = "doc_id long, text string"
+
+
+def kernel(a, b):
+    """By definition: over all pairs of equal subsequences, decay to the sum of their spans."""
+
+    def weights(word):
+        found = {}
+        for places in combinations(range(len(word)), t.ORDER):
+            if places[-1] - places[0] < t.WIDEST:
+                key = "".join(word[p] for p in places)
+                weight = t.DECAY ** (places[-1] - places[0] + 1)
+                found[key] = found.get(key, 0.0) + weight
+        return found
+
+    x, y = weights(a), weights(b)
+    return sum(w * y.get(k, 0.0) for k, w in x.items()) / (t.NORMS[len(a)] * t.NORMS[len(b)])
+
+
+def test_kernel_and_machine_follow_the_definition():
+    landmarks = ["worthless", "idiot", "lowerer", "äöüß"]
+    words = ["worthlless", "idxiot", "abc", "", "wothrless", "zzzz", "lowerererer"]
+    held = t.Landmarks(landmarks)
+    wanted = [[kernel(w, mark) for mark in landmarks] for w in words]
+    assert np.allclose(held.kernel(words), wanted, atol=1e-5)
+    factors = np.array([1.0, -2.0, 0.5, 3.0])
+    model = t.Model(held.weights(factors), 0.25)
+    assert np.allclose(model.words(words), np.array(wanted) @ factors + 0.25, atol=1e-4)
+
+
+def test_letters_are_found_behind_signs_blanks_and_look_alikes():
+    assert [t.letters_of(c) for c in ["Idi*ot!", "1d10t", "2024", "", "|", "É"]] == [
+        "idiot", "idiot", "", "", "", "é",
+    ]
+    assert t.chunks_of("you i d i o t now")[-1] == "idiot"
+
+
+def corpus():
+    rng = random.Random(2)
+    clean = ["".join(rng.choices("ba re ti on ul ma se".split(), k=rng.randint(2, 4))) for _ in range(300)]
+    bad = ["grumpfic", "zwackel", "knurzig"]
+    docs, labels = [], []
+    for key in range(600):
+        sentences = [" ".join(rng.choices(clean, k=8)) for _ in range(rng.randint(1, 12))]
+        toxic = key % 5 == 0
+        if toxic:
+            for _ in range(3):
+                at = rng.randrange(len(sentences))
+                sentences[at] += " " + rng.choice(bad)
+        docs.append((key, ". ".join(sentences)))
+        labels.append((key, int(toxic)))
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    docs, labels = corpus()
+    docs = spark.createDataFrame(docs, SCHEMA)
+    marks = labels + [(None, 1), (5_000, None), (6_000, 1)]
+    marks = spark.createDataFrame(marks, "doc_id long, toxic int")
+    return t.fit(docs, marks, fold(F.col("id"), 4) != 2), docs, dict(labels)
+
+
+def test_held_out(fitted):
+    model, docs, labels = fitted
+    rows = t.toxicity(docs, model).where(fold(F.col("doc_id"), 4) == 2).collect()
+    assert len(rows) > 100
+    assert all(r.predicted == labels[r.doc_id] == int(r.score >= 0.3) for r in rows)
+
+
+def test_gapped_and_inserted_letters(spark, fitted):
+    model, *_ = fitted
+    texts = ["grumpfic grumpfic", "grum-pfic grump.fic", "g r u m p f i c knurzig", "bareti onul"]
+    texts += ["zwaxckel zwaxckel", "  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    found = {r.doc_id: r.predicted for r in t.toxicity(docs, model).collect()}
+    assert found == {0: 1, 1: 1, 2: 1, 3: 0, 4: 1, 5: 0}
+
+
+def test_awkward_rows(spark, fitted):
+    model, *_ = fitted
+    rows = [(1, None, "x"), (2, "", "x"), (None, "zwackel zwackel", "x"), (4, "ba", "x"), (4, "ba", "x")]
+    rows += [(5, "bareti " * 40_000 + "zwackel knurzig", "x"), (6, "a" * 100_000, "x")]
+    docs = spark.createDataFrame(rows, SCHEMA + ", score string")
+    found = [(r.doc_id, r.predicted) for r in t.toxicity(docs, model).collect()]
+    wanted = [(1, 0), (2, 0), (None, 1), (4, 0), (4, 0), (5, 1), (6, 0)]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+
+
+def test_without_labels_or_rows(spark):
+    docs = spark.createDataFrame([(1, "some text")], SCHEMA)
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    model = t.fit(docs, labels)
+    assert [(r.predicted, r.score < 1e-9) for r in t.toxicity(docs, model).collect()] == [(0, True)]
+    assert t.toxicity(docs.where("false"), model).collect() == []
