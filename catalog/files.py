@@ -37,6 +37,22 @@ def scan_roundtrip_csv(spark, sf_dir):
     return delimited.read_csv(spark, path, types)
 
 
+@query("""
+SELECT c_custkey, c_name || chr(10) || '"' || c_mktsegment || '",' || chr(10) AS label,
+       c_acctbal > 0 AS in_credit FROM customer
+""")
+def scan_roundtrip_line_breaks(spark, sf_dir):
+    path = fresh_path(spark, "breaks")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('",\n')).alias("label"),
+        (F.col("c_acctbal") > 0).alias("in_credit"),
+    )
+    sinks.write_csv(rows, path)
+    types = {"c_custkey": "bigint", "in_credit": "boolean"}
+    return delimited.read_csv(spark, path, types, multi_line=True)
+
+
 @query("""
 SELECT item, label, balance, file FROM (
   SELECT *, row_number() OVER (PARTITION BY item ORDER BY file) AS place FROM (
@@ -110,6 +126,21 @@ def scan_roundtrip_array_chunks(spark, sf_dir):
     ).withColumn("chunk", F.col("chunk").cast("bigint"))
 
 
+@query("SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders")
+def scan_roundtrip_json_array_split(spark, sf_dir):
+    path = fresh_path(spark, "array")
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "nullif(o_orderstatus, 'P') AS o_orderstatus"
+    )
+    record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false", "pretty": "true"})
+    rows = rows.select(F.regexp_replace(record, "(?m)^", "    ").alias("value"))
+    rows = rows.agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")))
+    rows.toDF("value").write.text(path)
+    return records.read_json_array(
+        spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+    )
+
+
 @query("""
 SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 2500 + 1 AS chunk FROM orders
 """)

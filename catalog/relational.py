@@ -12,6 +12,7 @@ from targetlens.functions.text import gene_uri, sanitize_text, species_slug
 from targetlens.operators import filters, quality, shape
 from targetlens.operators import reduce as reducers
 from targetlens.operators.chunks import chunk_numbers
+from targetlens.operators.joins import find_hot_keys, left_join
 from targetlens.plans.gene_list import in_gene_order, principal_transcripts
 from targetlens.sinks.tables import clean_records
 from targetlens.sources.mart import mart_select
@@ -408,3 +409,19 @@ def quality_report(spark, sf_dir):
         for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"))
     ]
     return reduce(DataFrame.unionByName, reports)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, s_name FROM lineitem
+LEFT JOIN supplier ON s_suppkey = CASE WHEN l_orderkey % 3 <> 0 THEN l_suppkey END
+""")
+def hot_key_join(spark, sf_dir):
+    """A third of the lines lack the key, and keys count as hot from a hundred rows on."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber",
+        "CASE WHEN l_orderkey % 3 <> 0 THEN l_suppkey END AS s_suppkey",
+    )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    hot = find_hot_keys(lines, "s_suppkey", fewest_rows=100)
+    joined = left_join(lines, suppliers, "s_suppkey", hot)
+    return joined.select("l_orderkey", "l_linenumber", "s_name")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from catalog.criteria import ORTHOLOGUES, _below_sql, _over_part, _steps, orthologue_rows
 from catalog.registry import numbered, numbered_sql, query, table
 from targetlens import fixed_values as fixed
-from targetlens.operators.criteria import human_orthologue
+from targetlens.operators.closure import descendants
+from targetlens.operators.criteria import domain_criteria, domain_flags_only, human_orthologue
 from targetlens.operators.joins import fold_left, inner_join
 from targetlens.operators.shape import stack_by_name
 from targetlens.plans.gene_list import principal_transcripts
@@ -16,7 +17,6 @@ from targetlens.plans.manual_table import manual_table as manual_table_plan
 from targetlens.plans.mart_table import mart_table as mart_table_plan
 from targetlens.plans.target_table import (
     export_table,
-    family_criteria,
     target_table,
 )
 from targetlens.plans.target_table import target_counts as target_counts_plan
@@ -57,36 +57,52 @@ SELECT gene, genome, description, transcript FROM (
 WHERE place = 1"""
 
 
-def _families(spark, sf_dir):
+def _family_inputs(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").selectExpr("l_partkey", "l_suppkey AS s_suppkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     annotations = inner_join(lines, suppliers, "s_suppkey").select(
         F.col("l_partkey").cast("string").alias(fixed.GENE),
         numbered("IPR", F.col("s_suppkey"), 6).alias(fixed.DOMAIN),
-        F.expr("CASE WHEN s_nationkey <> 4 THEN s_name END").alias(fixed.DOMAIN_DESCRIPTION),
-    )
-    mapping = suppliers.where("s_nationkey < 3").select(
-        F.concat(
-            F.lit("InterPro:"), numbered("IPR", F.col("s_suppkey"), 6),
-            F.lit(" name > GO:term"), numbered(" ; GO:", F.col("s_suppkey"), 7),
-        ).alias("value")
+        F.expr("CASE WHEN s_suppkey % 10 <> 9 THEN s_name END").alias(fixed.DOMAIN_DESCRIPTION),
     )
-    return family_criteria(
-        annotations,
-        domain_terms(mapping),
-        _steps(spark, sf_dir, "supplier", "s_suppkey"),
-        roots=FAMILY_ROOTS,
-        patterns={"is_gpcr": GPCR},
+    return {
+        "annotations": annotations,
+        "domain_terms": domain_terms(_supplier_lines(suppliers)),
+        "below": descendants(
+            _steps(spark, sf_dir, "supplier", "s_suppkey"), list(FAMILY_ROOTS.values())
+        ),
+        "roots": FAMILY_ROOTS,
+        "patterns": {"is_gpcr": GPCR},
+    }
+
+
+def _supplier_lines(suppliers):
+    """A mapping line for every supplier; those with another remainder are malformed in turn."""
+    good, turn = F.expr("s_suppkey % 30 BETWEEN 5 AND 9"), F.col("s_suppkey") % 3
+    text = F.concat(
+        F.when(~good & (turn == 0), "!").otherwise(""),
+        F.lit("InterPro:"),
+        F.when(~good & (turn == 1), "unknown").otherwise(numbered("IPR", F.col("s_suppkey"), 6)),
+        F.lit(" name"),
+        F.when(~good & (turn == 2), " > part").otherwise(""),
+        F.lit(" > GO:term"), numbered(" ; GO:", F.col("s_suppkey"), 7),
     )
+    return suppliers.select(text.alias("value"))
+
+
+def _families(spark, sf_dir):
+    return domain_criteria(**_family_inputs(spark, sf_dir))
 
 
+# Some genes meet each of these and some do not, at every scale; the domains whose number ends in 9
+# match the first root but have no description.
 FAMILY_ROOTS = {
-    "is_enzyme": "GO:0000002",
+    "is_enzyme": "GO:0000004",
     "is_kinase": "GO:0000005",
     "is_ion_channel": "GO:0000007",
-    "is_nuclear_receptor": "GO:0000011",
+    "is_nuclear_receptor": "GO:0000006",
 }
-GPCR = "Supplier#0000000[2-4][^0-8]"
+GPCR = "Supplier#[0-9]*3$"
 
 
 def _evidence_sql(name, found, match, no_match):
@@ -114,9 +130,9 @@ FAMILIES = f"""
 {_below_sql(list(FAMILY_ROOTS.values()), 's_suppkey', 'supplier')},
 hits AS (SELECT s_suppkey, {_HITS}
          FROM supplier JOIN below ON term = {numbered_sql('GO:', 's_suppkey', 7)}
-         WHERE s_nationkey < 3 GROUP BY s_suppkey),
+         WHERE s_suppkey % 30 BETWEEN 5 AND 9 GROUP BY s_suppkey),
 rows AS (SELECT l_partkey::VARCHAR AS gene, s_suppkey, {numbered_sql('IPR', 's_suppkey', 6)}
-           || ' - ' || CASE WHEN s_nationkey <> 4 THEN s_name END AS note
+           || ' - ' || CASE WHEN s_suppkey % 10 <> 9 THEN s_name END AS note
          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
 by_term AS (SELECT gene, {_FOUND}
             FROM (SELECT DISTINCT * FROM rows) LEFT JOIN hits USING (s_suppkey) GROUP BY gene),
@@ -142,6 +158,14 @@ def family_criteria_table(spark, sf_dir):
     return _families(spark, sf_dir)
 
 
+@query(f"""
+WITH {FAMILIES}
+SELECT gene AS "Gene stable ID", {', '.join([*FAMILY_ROOTS, 'is_gpcr'])} FROM families
+""")
+def family_flags(spark, sf_dir):
+    return domain_flags_only(**_family_inputs(spark, sf_dir))
+
+
 _NAMES = ", ".join(f"CASE WHEN {flag} THEN '{flag}' END" for flag in fixed.FAMILY_FLAGS)
 _ANY = " OR ".join(f"coalesce({flag}, FALSE)" for flag in fixed.FAMILY_FLAGS)
 

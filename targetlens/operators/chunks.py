@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from targetlens.functions.flags import quoted
+from targetlens.operators.joins import fits_broadcast
 from targetlens.operators.quality import expect_unique, require
-from targetlens.storage import fresh_path
+from targetlens.storage import fresh_path, written
 
 
 def row_positions(df: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
     """Rows with their 0-based place in the order of ``order_by``, which must identify a row.
 
-    The table is range-sorted into files once. A row's place is its index in its file plus the
-    rows of the files before; only the file sizes, one number per task, visit the driver.
+    The table is computed and written once, checked, and range-sorted into files. A row's place is
+    its index in its file plus the rows of the files before, which are summed in Spark: one row per
+    sorted file, and files are as large as the tasks that sort.
     """
-    require(expect_unique(df, *order_by))
     spark = df.sparkSession
+    df = written(df, "unsorted").table
+    require(expect_unique(df, *order_by))
     path = fresh_path(spark, "sorted")
     df.orderBy(*[quoted(column).asc_nulls_first() for column in order_by]).write.parquet(path)
     file = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-.*-c(\d+)\.", 1)
@@ -32,14 +34,12 @@ def row_positions(df: DataFrame, order_by: Sequence[str], name: str = "position"
         piece.cast("int").alias("_part_piece"),
         F.col("_metadata.row_index").alias("_part_row"),
     )
-    sizes = placed.groupBy("_part", "_part_piece").count().collect()
-    sizes.sort(key=lambda size: (size["_part"], size["_part_piece"]))
-    before = accumulate((size["count"] for size in sizes), initial=0)
-    starts = spark.createDataFrame(
-        [(s["_part"], s["_part_piece"], start) for s, start in zip(sizes, before, strict=False)],
-        "_part int, _part_piece int, _part_start bigint",
-    )
-    return placed.join(F.broadcast(starts), ["_part", "_part_piece"]).select(
+    sizes = placed.groupBy("_part", "_part_piece").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part", "_part_piece").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    starts = written(sizes.withColumn("_part_start", start).drop("_size"), "starts")
+    starts = F.broadcast(starts.table) if fits_broadcast(starts) else starts.table
+    return placed.join(starts, ["_part", "_part_piece"]).select(
         *[quoted(column) for column in df.columns],
         (F.col("_part_start") + F.col("_part_row")).alias(name),
     )

@@ -297,6 +297,28 @@ def domain_criteria(
     return evidence.select(*columns)
 
 
+def domain_flags_only(
+    annotations: DataFrame,
+    roots: dict[str, str] | None = None,
+    patterns: dict[str, str] | None = None,
+    domain_terms: DataFrame | None = None,
+    below: DataFrame | None = None,
+    gene: str = fixed.GENE,
+    domain: str = fixed.DOMAIN,
+    description: str = fixed.DOMAIN_DESCRIPTION,
+) -> DataFrame:
+    """The flags of :func:`domain_criteria` without the evidence, so that no gene's matches are
+    gathered: one boolean per gene and criterion is all that leaves a task."""
+    roots, patterns = roots or {}, patterns or {}
+    matched = _matched_rows(
+        annotations, roots, patterns, domain_terms, below, (gene, domain, description)
+    )
+    described = quoted(_ANNOTATION).isNotNull()
+    return matched.groupBy(quoted(gene)).agg(
+        *[F.bool_or(described & quoted(name)).alias(name) for name in [*roots, *patterns]]
+    )
+
+
 def ontology_criterion(
     annotations: DataFrame,
     root: str,

@@ -18,12 +18,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from targetlens.functions.flags import quoted
-from targetlens.storage import Written
-
-# A key is hot when it alone fills more than one of the join's partitions.
-MOST_HOT_KEYS = 1_000
+from targetlens.operators.quality import expect_unique, require
+from targetlens.storage import Written, plan_bytes
+
+# A key is hot when it alone fills more than one of the join's partitions, so there are at most as
+# many hot keys as partitions. Spark's sketch takes these bounds; joins with more partitions leave
+# what is beyond them to adaptive execution.
+MOST_SKETCH_KEYS = 100_000
+MOST_SKETCH_ITEMS = 1_000_000
+# Setting of the session: a key with fewer rows is never worth spreading.
+FEWEST_ROWS_SETTING = "targetlens.join.fewestHotRows"
 FEWEST_HOT_ROWS = 100_000
-_SKETCH_ITEMS = 16_384
 _SPREAD = "_spread"
 _PIECES = "_pieces"
 _HOT_KEY = "_hot_key"
@@ -33,7 +38,7 @@ _HOT_KEY = "_hot_key"
 class HotKeys:
     """Hot values of one key column, with the number of pieces each is cut into.
 
-    Holds at most ``MOST_HOT_KEYS`` values, whatever the size of the table.
+    Holds at most one value per shuffle partition, whatever the size of the table.
     """
 
     column: str
@@ -69,13 +74,19 @@ class HotKeys:
         )
 
 
-def find_hot_keys(df: DataFrame, column: str, fewest_rows: int = FEWEST_HOT_ROWS) -> HotKeys:
+def find_hot_keys(df: DataFrame, column: str, fewest_rows: int | None = None) -> HotKeys:
     """Hot values of ``column``, by one frequent-items sketch: a single scan, no key shuffle.
 
-    The counts are estimates; they steer the balance of a join, never its result.
+    ``fewest_rows`` is by default the session's ``targetlens.join.fewestHotRows``. The counts are
+    estimates; they steer the balance of a join, never its result.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = F.expr(f"approx_top_k({_HOT_KEY}, {MOST_HOT_KEYS}, {_SKETCH_ITEMS})")
+    conf = df.sparkSession.conf
+    partitions = int(conf.get("spark.sql.shuffle.partitions"))
+    if fewest_rows is None:
+        fewest_rows = int(conf.get(FEWEST_ROWS_SETTING, str(FEWEST_HOT_ROWS)))
+    most = min(max(partitions, 1), MOST_SKETCH_KEYS)
+    items = min(max(16_384, 8 * most), MOST_SKETCH_ITEMS)
+    top = F.expr(f"approx_top_k({_HOT_KEY}, {most}, {items})")
     found = (
         df.select(quoted(column).alias(_HOT_KEY))
         .agg(top.alias("top"), F.count(F.lit(1)).alias("rows"))
@@ -100,23 +111,37 @@ def spread_join(left: DataFrame, right: DataFrame, on: str, hot: HotKeys, how: s
     return hot.spread(left).join(hot.repeat(right), [on, _SPREAD], how).drop(_SPREAD)
 
 
-def left_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Left equi-join; ``right`` may be as large as ``left``."""
-    return spread_join(left, right, on, find_hot_keys(left, on), "left")
+def broadcast_limit(spark) -> int:
+    """The session's limit on broadcasts in bytes; negative when there are none."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
+    units = {"k": 2**10, "m": 2**20, "g": 2**30}
+    return int(limit[:-1]) * units[limit[-1]] if limit[-1] in units else int(limit)
+
 
+def _balanced(left, right, on: str, how: str, hot: HotKeys | None) -> DataFrame:
+    """The join; ``left`` is scanned for hot keys only where Spark will shuffle it."""
+    if hot is None and plan_bytes(right) <= broadcast_limit(left.sparkSession):
+        return left.join(right, on, how)
+    return spread_join(left, right, on, hot or find_hot_keys(left, on), how)
+
+
+def left_join(
+    left: DataFrame, right: DataFrame, on: str, hot: HotKeys | None = None
+) -> DataFrame:
+    """Left equi-join; ``right`` may be as large as ``left``. ``hot`` if already known."""
+    return _balanced(left, right, on, "left", hot)
 
-def inner_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+
+def inner_join(
+    left: DataFrame, right: DataFrame, on: str, hot: HotKeys | None = None
+) -> DataFrame:
     """Inner equi-join of many rows with one row per key; only ``left`` may have hot keys."""
-    return spread_join(left, right, on, find_hot_keys(left, on), "inner")
+    return _balanced(left, right, on, "inner", hot)
 
 
 def fits_broadcast(*sides: Written) -> bool:
-    """Whether the measured tables together are within the session's limit on broadcasts."""
-    limit = sides[0].table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = limit.lower().rstrip("b")
-    units = {"k": 2**10, "m": 2**20, "g": 2**30}
-    most = int(limit[:-1]) * units[limit[-1]] if limit[-1] in units else int(limit)
-    return sum(side.bytes for side in sides) <= most
+    """Whether the written tables together are within the session's limit on broadcasts."""
+    return sum(side.bytes for side in sides) <= broadcast_limit(sides[0].table.sparkSession)
 
 
 def lookup_join(
@@ -138,12 +163,15 @@ def lookup_join(
     return spread_join(left, side.table, on, hot, how)
 
 
-def fold_left(base: DataFrame, sides: Sequence[DataFrame], on: str) -> DataFrame:
+def fold_left(
+    base: DataFrame, sides: Sequence[DataFrame], on: str, check: Sequence[DataFrame] = ()
+) -> DataFrame:
     """Chain of left equi-joins onto a table that is unique on ``on``.
 
-    Each side must be unique on ``on`` too. All joins share the key, so every side is shuffled at
-    most once and the running result not again.
+    Each side must be unique on ``on`` too; a side among ``check`` that repeats a key is an error
+    (A10). All joins share the key, so every side is shuffled at most once and the running result
+    not again.
     """
+    for side in check:
+        require(expect_unique(side, on))
     return reduce(lambda joined, side: joined.join(side, on, "left"), sides, base)
-
-

@@ -50,9 +50,11 @@ def target_table(
     """Genes with the orthologue criteria, the family criteria and the family roll-up.
 
     ``genes`` is a gene list, ``orthologues`` raw orthologue rows, ``families`` the result of
-    :func:`family_criteria`.
+    :func:`family_criteria`; it is written once, and an error when it repeats a gene.
     """
-    folded = fold_left(genes, [human_orthologue(orthologues), families], fixed.GENE)
+    families = written(families, "families").table
+    sides = [human_orthologue(orthologues), families]
+    folded = fold_left(genes, sides, fixed.GENE, check=[families])
     return family_rollup(folded, flags)
 
 
@@ -112,9 +114,9 @@ def tables_from_mart(
         ),
         "families",
     ).table
-    overall = in_gene_order(
-        family_rollup(fold_left(genes, [orthologues, families], fixed.GENE))
-    )
+    families = written(families.orderBy(fixed.GENE), "sorted").table
+    overall = family_rollup(fold_left(genes, [orthologues, families], fixed.GENE))
+    overall = written(in_gene_order(overall), "overall").table
     by_flag = {
         flag: families.select(fixed.GENE, f"{flag}_evidence", flag).orderBy(fixed.GENE)
         for flag in fixed.FAMILY_FLAGS

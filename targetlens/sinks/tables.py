@@ -22,7 +22,10 @@ from targetlens.operators.shape import export_keys
 def write_csv(
     df: DataFrame, path: str, separator: str = ",", mode: str = "errorifexists"
 ) -> None:
-    """K1: delimited text with a header; flags are spelled True and False, nulls are empty."""
+    """K1: delimited text with a header; flags are spelled True and False, nulls are empty.
+
+    White space at the ends of a cell stays.
+    """
 
     def cell(field: T.StructField) -> Column:
         column = quoted(field.name)
@@ -31,7 +34,9 @@ def write_csv(
         return column.alias(field.name)
 
     cells = df.select(*[cell(field) for field in df.schema.fields])
-    cells.write.options(header=True, sep=separator, escape='"', emptyValue="").csv(path, mode)
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    options |= {"header": True, "sep": separator, "escape": '"', "emptyValue": ""}
+    cells.write.options(**options).csv(path, mode)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

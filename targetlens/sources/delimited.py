@@ -24,11 +24,15 @@ def read_delimited(
     separator: str = "\t",
     missing: Sequence[str] = fixed.MISSING_CELLS,
     file_number: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Columns by the names of the header line, missing cells null.
 
     ``types`` (a schema or type names) types the columns that are not text; a cell that does not
-    fit its type becomes null. Several paths must share one header; see :func:`read_stacked`.
+    fit its type becomes null. A line with another number of cells than the header, such as one
+    half of a quoted cell with a line break, is an error. ``multi_line`` reads such cells; a file is
+    then one task. Several paths must share one header, else reading fails; see
+    :func:`read_stacked`.
     With ``file_number`` the :data:`ORDER_COLUMNS` are added, so that "first in the file" has a
     meaning after a shuffle.
     """
@@ -36,6 +40,10 @@ def read_delimited(
         spark.read.option("sep", separator)
         .option("header", True)
         .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .csv(path if isinstance(path, str) else list(path))
     )
     rows = raw
@@ -59,10 +67,13 @@ def read_delimited(
 
 
 def read_csv(
-    spark: SparkSession, path: str, types: StructType | Mapping[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    types: StructType | Mapping[str, str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Comma-separated, otherwise as :func:`read_delimited`."""
-    return read_delimited(spark, path, types, separator=",")
+    return read_delimited(spark, path, types, separator=",", multi_line=multi_line)
 
 
 def read_stacked(

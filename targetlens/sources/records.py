@@ -15,17 +15,31 @@ def _checked(text: Column, good: Column) -> Column:
 
 
 def read_json_array(
-    spark: SparkSession, path: str, schema: T.StructType | str, indent: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    indent: int | None = None,
+    whole_file: bool = False,
 ) -> DataFrame:
     """Records of files that each hold one JSON array of flat records.
 
-    Given the ``indent`` the files were written with, they are cut at the line that closes a
-    record, so one large file is read by many tasks; a raw line break cannot occur inside a JSON
-    text, so the cut is exact. Without it, a file is one task. Reading a file with another root
-    fails. Partition columns of the path stay.
+    Files are cut between records, so one large file is read by many tasks; a raw line break
+    cannot occur inside a JSON text, so the cut is exact. Where to cut follows from ``indent``, or
+    else from the first lines: records of several lines, or one record per line as the chunked
+    export writes them. Only files that show neither, or all with ``whole_file``, are one task
+    each. Reading a file with another root fails. Partition columns of the path stay.
     """
-    if indent is None:
+    if whole_file:
         return _read_whole(spark, path, schema)
+    if indent is None:
+        first = [row["value"].rstrip() for row in spark.read.text(path).head(2)]
+        opening, record = (first + ["", ""])[:2]
+        if opening.strip() == "[" and record.strip() == "{":
+            indent = len(record) - len(record.lstrip(" "))
+        elif opening.strip() == "[" and record.startswith("{") and record.endswith(("}", "},")):
+            return _read_lines(spark, path, schema)
+        else:
+            return _read_whole(spark, path, schema)
     margin = " " * indent
     pieces = spark.read.option("lineSep", f"\n{margin}}},\n").text(path)
     value = F.col("value")
@@ -39,6 +53,15 @@ def read_json_array(
     return _parsed(pieces.where(~empty & (value != "")), F.from_json(text, schema, _STRICT))
 
 
+def _read_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Records that have a line each, between lines that open and close the array."""
+    lines = spark.read.text(path)
+    value = F.btrim(F.col("value"))
+    lines = lines.where(~value.isin("[", "]", "", "[]"))
+    text = _checked(F.regexp_replace(value, ",$", ""), value.rlike(r"^\{.*\},?$"))
+    return _parsed(lines, F.from_json(text, schema, _STRICT))
+
+
 def _read_whole(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     files = spark.read.text(path, wholetext=True)
     text = _checked(F.col("value"), F.col("value").rlike(r"^\s*\["))

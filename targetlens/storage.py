@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-import queue
 import tempfile
-import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
-from targetlens.functions.flags import quoted
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-LONGEST_WAIT = 30.0
+_own_folder: ContextVar[str | None] = ContextVar("own_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only in unset local mode."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    """The checkpoint folder that the caller set, else the one of ``spark.checkpoint.dir``.
+
+    One of our own only in local mode where neither is set.
+    """
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
@@ -31,49 +32,53 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/targetlens/{label}-{uuid.uuid4().hex}"
+    folder = _own_folder.get() or f"{shared_folder(spark)}/targetlens"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside are removed at the end, whatever happens.
+
+    Results made from them have to be written or collected inside.
+    """
+    folder = f"{shared_folder(spark)}/targetlens/run-{uuid.uuid4().hex}"
+    token = _own_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _own_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The size that Spark's own statistics give to a table, as its planner sees it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 @dataclass(frozen=True)
 class Written:
-    """A table in the shared folder with its number of rows and the size of its values."""
+    """A table in the shared folder; measured when asked, from what Parquet and Spark know of it."""
 
     table: DataFrame
     path: str
-    rows: int
-    bytes: int
-
 
-def written(df: DataFrame, label: str) -> Written:
-    """``df`` as a Parquet table: computed once, lineage cut, measured while it is written.
+    @cached_property
+    def rows(self) -> int:
+        """Read from the files' footers: no column is scanned."""
+        return self.table.count()
 
-    On a busy cluster Spark may drop the event that brings the measure; then the table is read
-    for it.
-    """
-    width = reduce(
-        lambda total, name: total
-        + F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0))
-        + F.lit(16),
-        df.columns,
-        F.lit(0),
-    )
-    measures = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
-    seen = Observation()
-    path = fresh_path(df.sparkSession, label)
-    df.observe(seen, *measures).write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
-    size = _arrived(seen, LONGEST_WAIT) or table.agg(*measures).first().asDict()
-    return Written(table, path, size["rows"], size["bytes"])
+    @cached_property
+    def bytes(self) -> int:
+        return plan_bytes(self.table)
 
 
-def _arrived(seen: Observation, seconds: float) -> dict | None:
-    """The observed measures, or None when they do not come in time."""
-    answers: queue.Queue = queue.Queue()
-    threading.Thread(target=lambda: answers.put(seen.get), daemon=True).start()
-    try:
-        return answers.get(timeout=seconds)
-    except queue.Empty:
-        return None
+def written(df: DataFrame, label: str) -> Written:
+    """``df`` as a Parquet table: computed once, lineage cut."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return Written(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
 def read_together(parts: list[Written]) -> DataFrame:

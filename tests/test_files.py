@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from targetlens import fixed_values as fixed
+from targetlens.operators.chunks import chunk_numbers
 from targetlens.operators.reduce import keep_first
 from targetlens.sinks import tables as sinks
 from targetlens.sources import delimited, mart, ontology, records, schemas
@@ -335,3 +336,61 @@ def test_landed_mart_reads_only_the_wanted_genomes(spark, tmp_path):
     assert "PartitionFilters: [species_id_1010" in plan
     files = list((tmp_path / "mart").glob("*/*.parquet"))
     assert len(files) == len({file.parent for file in files}) == 7
+
+
+def _text_file(folder, name, text):
+    path = folder / name
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = _text_file(tmp_path, "breaks.tsv", 'a\tb\n1\t"two\nlines"\n2\ty\n')
+    rows = delimited.read_delimited(spark, path, multi_line=True).collect()
+    assert [tuple(row) for row in rows] == [("1", "two\nlines"), ("2", "y")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        delimited.read_delimited(spark, path).select("a").collect()
+
+
+def test_files_of_one_scan_must_share_their_header(spark, tmp_path):
+    paths = [
+        _text_file(tmp_path, "one.tsv", "a\tb\nx\t1\n"),
+        _text_file(tmp_path, "two.tsv", "b\ta\n3\tz\n"),
+    ]
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_delimited(spark, paths).collect()
+    stacked = delimited.read_stacked(spark, paths).select("a", "b").collect()
+    assert sorted(map(tuple, stacked)) == [("x", "1"), ("z", "3")]
+
+
+@pytest.mark.parametrize("indent", [0, 2, 4])
+def test_json_arrays_are_split_by_default(spark, tmp_path, indent):
+    records_in = [{"a": i, "b": "x}, {y" * 20} for i in range(3_000)]
+    path = _text_file(tmp_path, "array.json", json.dumps(records_in, indent=indent or None))
+    if not indent:
+        lines = ",\n".join(json.dumps(r) for r in records_in)
+        path = _text_file(tmp_path, "lines.json", f"[\n{lines}\n]")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        found = records.read_json_array(spark, path, "a int, b string")
+        assert found.rdd.getNumPartitions() > 1
+        assert sorted(row.a for row in found.collect()) == list(range(3_000))
+        assert {row.b for row in found.collect()} == {records_in[0]["b"]}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = records.read_json_array(spark, path, "a int, b string", whole_file=True)
+    assert whole.count() == 3_000
+
+
+def test_chunk_numbers_compute_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).mapInArrow(counted, "id long")
+    assert chunk_numbers(df, ["id"], 100).select("chunk").distinct().count() == 5
+    assert seen.value == 500

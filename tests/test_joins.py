@@ -1,12 +1,12 @@
+import os
 import random
-import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from targetlens import storage
 from targetlens.operators import criteria, filters, joins, reduce
-from targetlens.storage import shared_folder, written
+from targetlens.operators.joins import fits_broadcast
+from targetlens.storage import shared_folder, temporary_tables, written
 
 
 @pytest.fixture
@@ -113,26 +113,9 @@ def test_fold_left_shuffles_the_base_once(spark, no_broadcast):
     assert folded.where("g = 9").first().asDict() == {"g": 9, "v1": 9, "v2": 18, "v3": 27}
 
 
-def test_written_without_the_observed_measure(spark, skewed, monkeypatch):
-    _, right = skewed
-    observed = written(right, "test")
-    monkeypatch.setattr(storage, "_arrived", lambda seen, seconds: None)
-    read = written(right, "test")
-    assert (read.rows, read.bytes) == (observed.rows, observed.bytes)
-
-
-def test_a_measure_that_never_arrives():
-    class Lost:
-        @property
-        def get(self):
-            threading.Event().wait(5)
-
-    assert storage._arrived(Lost(), 0.05) is None
-
-
 def test_written_empty_table(spark):
     side = written(spark.createDataFrame([], "a string, b int"), "test")
-    assert (side.rows, side.bytes) == (0, 0)
+    assert side.rows == 0 and fits_broadcast(side)
     assert side.table.columns == ["a", "b"]
 
 
@@ -154,8 +137,42 @@ class _Session:
 
 
 def test_shared_folder(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_folder(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session("yarn"))
     local = _Session("local[2]")
     assert shared_folder(local) == shared_folder(local) == local.folder
+
+
+def test_temporary_tables_are_removed(spark):
+    with temporary_tables(spark) as folder:
+        side = written(spark.range(5), "kept")
+        assert side.path.startswith(folder) and side.table.count() == 5
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert not written(spark.range(1), "later").path.startswith(folder)
+
+
+def test_no_key_scan_where_the_right_side_is_broadcast(spark, skewed, monkeypatch):
+    left, right = skewed[0], written(skewed[1], "right").table
+    monkeypatch.setattr(joins, "find_hot_keys", lambda *_: pytest.fail("scanned"))
+    assert joins.left_join(left, right, "k").count() == left.count()
+
+
+def test_every_partition_may_have_a_hot_key(spark):
+    rows = spark.range(400).selectExpr("id % 4 AS k")
+    assert len(joins.find_hot_keys(rows, "k", fewest_rows=1).pieces) <= 4
+    spark.conf.set(joins.FEWEST_ROWS_SETTING, "10")
+    try:
+        skewed = rows.selectExpr("CASE WHEN k < 3 THEN 0 ELSE k END AS k")
+        assert [key for key, _ in joins.find_hot_keys(skewed, "k").pieces] == [0]
+    finally:
+        spark.conf.unset(joins.FEWEST_ROWS_SETTING)
+
+
+def test_fold_left_refuses_a_side_that_repeats_a_key(spark):
+    base = spark.createDataFrame([(1,), (2,)], "g int")
+    good = spark.createDataFrame([(1, "a")], "g int, x string")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "g int, y string")
+    assert joins.fold_left(base, [good], "g", check=[good]).count() == 2
+    with pytest.raises(AssertionError, match="unique g"):
+        joins.fold_left(base, [good, twice], "g", check=[twice])

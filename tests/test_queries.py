@@ -42,3 +42,18 @@ def test_query_when_nothing_is_broadcast_and_keys_are_hot(
 ):
     count, problems = differences(spark, database, name, SMOKE_DIR)
     assert not problems and count
+
+
+def test_family_flags_have_both_values(spark):
+    flags = queries()["family_flags"](spark, SMOKE_DIR)
+    names = flags.columns[1:]
+    assert len(names) == 5
+    for name in names:
+        assert {row[0] for row in flags.select(name).distinct().collect()} == {True, False}
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_hot_key_join_is_split(spark):
+    plan = queries()["hot_key_join"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan()
+    assert "_spread" in plan.toString()
