@@ -26,14 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.functions.flags import quoted
-from targetlens.llm.common import MOST_CACHED, columns, pieces, saved
+from targetlens.llm.common import MOST_CACHED, columns, let, pieces, saved
 
 # Bounds of the training sample (labelled rows of each label, as an expectation) and of the model.
 ROWS_PER_LABEL = 5_000
-LANDMARKS = 300
-NEGATIVES = 12_000
+LANDMARKS = 512
+NEGATIVES = 6_000
 ROUNDS = 3
-LEAST_SENTENCES = 3
+LEAST_CONTEXTS = 3
 CHANCE = 1e-5
 RATIO = 10.0
 
@@ -225,14 +225,13 @@ def _train(toxic: list[str], clean: list[str]) -> Model:
 
     After each round the clean words it finds hardest become negatives, and some landmarks.
     """
-    toxic_landmarks = toxic[: LANDMARKS // 2]
+    marks = toxic[: LANDMARKS * 3 // 4]
     chosen = clean[:: max(1, len(clean) // NEGATIVES)]
     hard = chosen
     for _ in range(ROUNDS):
-        landmarks = Landmarks(toxic_landmarks + hard[: LANDMARKS - len(toxic_landmarks)])
-        root = _inverse_root(
-            landmarks.kernel(toxic_landmarks + hard[: LANDMARKS - len(toxic_landmarks)]).astype(float)
-        )
+        held = marks + hard[: LANDMARKS - len(marks)]
+        landmarks = Landmarks(held)
+        root = _inverse_root(landmarks.kernel(held).astype(float))
         words = toxic + chosen
         x = landmarks.kernel(words) @ root
         y = np.array([1.0] * len(toxic) + [-1.0] * len(chosen))
@@ -240,7 +239,7 @@ def _train(toxic: list[str], clean: list[str]) -> Model:
         w, bias = _svm(x, y, weight)
         model = Model(landmarks.weights(root @ w), bias)
         margins = model.words(clean)
-        hard = [clean[i] for i in np.argsort(-margins, kind="stable")[: NEGATIVES // 4]]
+        hard = [clean[i] for i in np.argsort(-margins, kind="stable")[: NEGATIVES // 2]]
         chosen = list(dict.fromkeys(hard + chosen))
     return model
 
@@ -284,26 +283,32 @@ def fit(
 def _labelled_words(sample: DataFrame) -> tuple[list[str], list[str]]:
     """Words of toxic sentences that clean ones lack, and words of clean sentences, by frequency.
 
-    Each distinct sentence counts once, so a passage that is copied often says no more than once
-    what is toxic.
+    What counts is after how many different words a word stands in sentences of either label, so a
+    passage that is copied often, even with changes, says no more than once what is toxic.
     """
     sentences = sample.select(
         "toxic", F.explode(F.split(F.lower("text"), SENTENCE_END)).alias("sentence")
     ).distinct()
-    words = F.array_distinct(F.regexp_extract_all("sentence", F.lit(r"[\p{L}]+"), F.lit(0)))
-    words = sentences.select("toxic", F.explode(words).alias("word"))
-    counts = words.groupBy("word").agg(
+    words = F.regexp_extract_all("sentence", F.lit(r"[\p{L}]+"), F.lit(0))
+    contexts = let(
+        words,
+        lambda w: F.zip_with(
+            F.concat(F.array(F.lit("")), w), w, lambda x, y: F.struct(x.alias("x"), y.alias("word"))
+        ),
+    )
+    contexts = sentences.select("toxic", F.inline(contexts)).where("word is not null").distinct()
+    counts = contexts.groupBy("word").agg(
         F.count_if("toxic").alias("in_toxic"), F.count_if(~F.col("toxic")).alias("in_clean")
     )
-    number = sentences.agg(
+    number = contexts.agg(
         F.count_if("toxic").alias("toxic"), F.count_if(~F.col("toxic")).alias("clean")
     ).first()
     lift = F.col("in_toxic") / max(number["toxic"], 1)
     base = (F.col("in_clean") + 0.5) / max(number["clean"], 1)
     usable = counts.where(F.char_length("word").between(3, LONGEST))
-    # As many sentences as chance hardly makes all toxic, at the share of toxic ones.
+    # In as many contexts as chance hardly makes all toxic, at the share of toxic ones.
     share = (number["toxic"] + 1) / (number["toxic"] + number["clean"] + 2)
-    least = max(LEAST_SENTENCES, math.ceil(math.log(CHANCE) / math.log(share)))
+    least = max(LEAST_CONTEXTS, math.ceil(math.log(CHANCE) / math.log(share)))
     toxic = usable.where((F.col("in_toxic") >= least) & (lift >= RATIO * base))
     toxic = toxic.orderBy(F.desc("in_toxic"), "word").select("word")
     clean = usable.where("in_clean > 0").where(~(lift >= RATIO * base))

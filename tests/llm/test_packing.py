@@ -43,9 +43,10 @@ def test_ids_are_the_library_s(encoder, parts):
     assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == library_ids(text)
 
 
-def test_bounds_on_what_is_remembered_change_nothing(encoder, monkeypatch):
+def test_bounds_on_what_is_remembered_change_nothing(monkeypatch):
     monkeypatch.setattr("targetlens.llm.tokenizer.MOST_CHUNKS", 3)
     monkeypatch.setattr("targetlens.llm.tokenizer.MOST_WORDS", 2)
+    encoder = Encoder(PATH, whole_tokens(PATH))
     for _, text in TEXTS * 2:
         ids = encoder.ids([text or ""])[0]
         assert np.frombuffer(ids, "<u4").tolist() == library_ids(text)
