@@ -47,7 +47,7 @@ def descendants(
     while True:
         below = below.where("root <> child").select("root", F.col("child").alias("term"))
         frontier = written(_new_pairs(below, found), "descendants")
-        if not frontier.rows:
+        if frontier.table.isEmpty():
             break
         found.append(frontier)
         lookup = frontier.table.withColumnRenamed("term", "parent")
