@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from targetlens.storage import fresh_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-MOST_CACHED = 400_000
+MOST_HASHES = 150_000
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -57,7 +57,7 @@ class WordHashes(dict):
     """64-bit hashes of words, remembered; what is remembered is bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MOST_CACHED:
+        if len(self) >= MOST_HASHES:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -66,7 +66,28 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def pieces(batches: Iterable[pa.RecordBatch], most_bytes: int = 16_000_000) -> Iterable:
+class Recent:
+    """Values of the keys used last: a full generation is kept until the next one is full too."""
+
+    def __init__(self, most: int, always: dict | None = None):
+        self.most, self.always = most, always or {}
+        self.known, self.before = dict(self.always), {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys without a value; those with one from the generation before keep it."""
+        if len(self.known) > self.most + len(self.always):
+            self.known, self.before = dict(self.always), self.known
+        known, before, left = self.known, self.before, []
+        for key in keys.difference(known):
+            value = before.get(key)
+            if value is None:
+                left.append(key)
+            else:
+                known[key] = value
+        return left
+
+
+def pieces(batches: Iterable[pa.RecordBatch], most_bytes: int = 4_000_000) -> Iterable:
     """Arrow batches with a column ``text``, cut so that the texts of one stay within a size.
 
     A longer text is a piece of its own. Gives each piece and its texts.

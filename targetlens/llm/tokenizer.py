@@ -17,8 +17,10 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 500_000
-MOST_WORDS = 300_000
+from targetlens.llm.common import Recent
+
+MOST_CHUNKS = 300_000
+MOST_WORDS = 200_000
 AT_ONCE = 2_000
 
 # Letters that normalisation leaves alone but for simple lower-casing.
@@ -72,53 +74,52 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 2, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.whole = {word: packed([i]) for word, i in whole.items()}
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks = Recent(MOST_CHUNKS)
+        self.words = Recent(MOST_WORDS, {word: packed([i]) for word, i in whole.items()})
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, one after the other."""
         split = [chunks_of(text) for text in texts]
-        wanted: set[str] = set()
-        for chunks in split:
-            wanted.update(chunks)
-        if len(self.chunks) + len(wanted) > MOST_CHUNKS:
-            self.chunks.clear()
-        self._learn([chunk for chunk in wanted if chunk not in self.chunks])
-        known = self.chunks.__getitem__
+        self._learn(self.chunks.missing(set().union(*split)))
+        known = self.chunks.known.__getitem__
         return [b"".join(map(known, chunks)) for chunks in split]
 
     def _learn(self, chunks: list[str]) -> None:
-        split: dict[str, list[str]] = {}
+        known, single, split = self.chunks.known, [], {}
         for chunk in chunks:
-            if PLAIN.fullmatch(chunk) and "<|" not in chunk:
-                split[chunk] = PRE_TOKENS.findall(chunk.lower())
+            if not PLAIN.fullmatch(chunk) or "<|" in chunk:
+                known[chunk] = self._alone(chunk)
+                continue
+            parts = PRE_TOKENS.findall(chunk.lower())
+            if len(parts) == 1:
+                single.append((chunk, parts[0]))
             else:
-                self.chunks[chunk] = self._alone(chunk)
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
-        rest = {w for words in split.values() for w in words if w not in self.whole}
-        self._merge([word for word in rest if word not in self.words])
-        whole, words = self.whole, self.words
-        for chunk, parts in split.items():
-            self.chunks[chunk] = b"".join([whole.get(w) or words[w] for w in parts])
+                split[chunk] = parts
+        wanted = {word for _, word in single}
+        for parts in split.values():
+            wanted.update(parts)
+        self._merge(self.words.missing(wanted))
+        words = self.words.known
+        known.update([(chunk, words[word]) for chunk, word in single])
+        known.update([(chunk, b"".join([words[w] for w in parts])) for chunk, parts in split.items()])
 
     def _alone(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _merge(self, words: list[str]) -> None:
         """Ids of pre-tokens, many in one call: a token that ends a word ends its pre-token."""
+        known = self.words.known
         for start in range(0, len(words), AT_ONCE):
             some = words[start : start + AT_ONCE]
             ids = self.library.encode(" ".join(some), add_special_tokens=False).ids
             ids = np.array(ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(some) or (len(ids) and stops[-1] != len(ids)):
-                self.words.update((word, self._alone(word)) for word in some)
+                self.words.known.update((word, self._alone(word)) for word in some)
                 continue
             first = 0
             for word, stop in zip(some, stops.tolist(), strict=True):
-                self.words[word] = ids[first:stop].tobytes()
+                known[word] = ids[first:stop].tobytes()
                 first = stop
 
 
