@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from targetlens.functions.flags import quoted
-from targetlens.llm.common import MOST_CACHED, columns, pieces, saved
+from targetlens.llm.common import Recent, columns, pieces, saved
 
 # Bounds of the model: labelled rows per language (as an expectation), the smallest counts of a
 # word and of an n-gram, the longest n-gram.
@@ -28,6 +28,7 @@ UNKNOWN = "und"
 EDGE = "_"
 WORD = re.compile(r"[^\W\d_]+")
 PIECE_BYTES = 4_000_000
+MOST_CHUNKS = 200_000
 
 
 @dataclass
@@ -57,43 +58,41 @@ class Model:
 class Scorer:
     """Scores of chunks between white space, remembered within a bound."""
 
+    @classmethod
+    def of(cls, model: Model) -> Scorer:
+        """The model's scorer, which a reused worker keeps for its later tasks."""
+        if not hasattr(model, "scorer"):
+            model.scorer = cls(model)
+        return model.scorer
+
     def __init__(self, model: Model):
         self.model = model
-        self._forget()
-
-    def _forget(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.table = np.zeros((1_024, len(self.model.languages) + 1), np.float32)
+        # A chunk's scores over its words, and their number, as bytes.
+        self.recent = Recent(MOST_CHUNKS)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score of each text; both are ``und`` and 0 without letters or languages."""
         split = [text.lower().split() for text in texts]
-        wanted: set[str] = set()
-        for chunks in split:
-            wanted.update(chunks)
-        if len(self.rows) + len(wanted) > MOST_CACHED:
-            self._forget()
-        self._learn([chunk for chunk in wanted if chunk not in self.rows])
+        self._learn(self.recent.missing(set().union(*split)))
         found = [self._best(chunks) for chunks in split]
         return [language for language, _ in found], [score for _, score in found]
 
     def _learn(self, chunks: list[str]) -> None:
-        needed = len(self.rows) + len(chunks)
-        if needed > len(self.table):
-            grown = np.zeros((max(needed, 2 * len(self.table)), self.table.shape[1]), np.float32)
-            grown[: len(self.table)] = self.table
-            self.table = grown
+        known, score = self.recent.known, self.model.word_score
+        none = np.zeros(len(self.model.languages) + 1, np.float32)
         for chunk in chunks:
-            row = self.rows[chunk] = len(self.rows)
+            row = none.copy()
             for word in WORD.findall(chunk):
-                self.table[row, :-1] += self.model.word_score(word)
-                self.table[row, -1] += 1
+                row[:-1] += score(word)
+                row[-1] += 1
+            known[chunk] = row.tobytes()
 
     def _best(self, chunks: list[str]) -> tuple[str, float]:
         if not chunks or not self.model.languages:
             return UNKNOWN, 0.0
-        rows = np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
-        total = self.table[rows].sum(axis=0, dtype=np.float64)
+        rows = b"".join(map(self.recent.known.__getitem__, chunks))
+        rows = np.frombuffer(rows, np.float32).reshape(len(chunks), -1)
+        total = rows.sum(axis=0, dtype=np.float64)
         words = total[-1]
         if not words:
             return UNKNOWN, 0.0
@@ -202,7 +201,7 @@ def identified(docs: DataFrame, model: Model, text_column: str = "text") -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer.of(shared.value)
         for piece, texts in pieces(batches, PIECE_BYTES):
             languages, scores = scorer.predict([text or "" for text in texts])
             yield columns(

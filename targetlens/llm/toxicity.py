@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.functions.flags import quoted
-from targetlens.llm.common import MOST_CACHED, columns, let, pieces, saved
+from targetlens.llm.common import Recent, columns, let, pieces, saved
 
 # Bounds of the training sample (labelled rows of each label, as an expectation) and of the model.
 ROWS_PER_LABEL = 5_000
@@ -46,6 +46,7 @@ PULL = 0.01
 CLIPPED = (-3.0, 3.0)
 MARGINS = ("first", "second")
 PIECE_BYTES = 4_000_000
+MOST_CHUNKS = 200_000
 
 # The letters told apart (any other letter is one more), and digits and signs that
 # stand in for letters.
@@ -179,21 +180,23 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, float] = {}
+        self.recent = Recent(MOST_CHUNKS)
+
+    @classmethod
+    def of(cls, model: Model) -> Scorer:
+        """The model's scorer, which a reused worker keeps for its later tasks."""
+        if not hasattr(model, "scorer"):
+            model.scorer = cls(model)
+        return model.scorer
 
     def margins(self, texts: list[str]) -> np.ndarray:
         split = [chunks_of(text) for text in texts]
-        wanted: set[str] = set()
-        for chunks in split:
-            wanted.update(chunks)
-        if len(self.known) + len(wanted) > MOST_CACHED:
-            self.known.clear()
-        new = [chunk for chunk in wanted if chunk not in self.known]
+        new = self.recent.missing(set().union(*split))
         words = [letters_of(chunk) for chunk in new]
         distinct = list(dict.fromkeys(words))
         values = dict(zip(distinct, self.model.words(distinct).tolist(), strict=True))
-        self.known.update((chunk, values[word]) for chunk, word in zip(new, words, strict=True))
-        margin = self.known.__getitem__
+        self.recent.known.update((chunk, values[word]) for chunk, word in zip(new, words, strict=True))
+        margin = self.recent.known.__getitem__
         none = [self.model.bias] * 2
         best = [nlargest(2, [*map(margin, chunks), *none]) for chunks in split]
         return np.array(best, float).reshape(-1, 2)
@@ -348,7 +351,7 @@ def _margins(narrow: DataFrame, model: Model) -> DataFrame:
     shared = narrow.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer.of(shared.value)
         for piece, texts in pieces(batches, PIECE_BYTES):
             margins = scorer.margins([text or "" for text in texts])
             first, second = (pa.array(margins[:, i], pa.float64()) for i in (0, 1))
