@@ -29,12 +29,10 @@ from targetlens.functions.flags import quoted
 from targetlens.llm.common import WordHashes, ascii_words, columns, pieces
 from targetlens.storage import fresh_path
 
-# Bits of a pair's first and second word, and of a word, that make its bucket. Bound of a bucket:
-# raise them so that a bucket holds some millions of pairs at most.
-FIRST_BITS = 3
-SECOND_BITS = 5
-WORD_BITS = FIRST_BITS + SECOND_BITS
-FLUSH_TOKENS = 4_000_000
+# A bucket is for about so many bytes of training text; the bounds of its number of bits.
+BUCKET_BYTES = 4_000_000
+FEWEST_BITS, MOST_BITS = 5, 16
+FLUSH_TOKENS = 3_000_000
 PIECE_BYTES = 8_000_000
 
 # Words never hold blanks, so these cannot be words.
@@ -47,8 +45,17 @@ def _top(values: np.ndarray, bits: int) -> np.ndarray:
     return (values >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def pair_buckets(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return (_top(first, FIRST_BITS) << SECOND_BITS) | _top(second, SECOND_BITS)
+def pair_buckets(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """Buckets of pairs: more bits of the second word, so that a frequent first one is spread."""
+    of_first = 3 * bits // 8
+    of_second = bits - of_first
+    return (_top(first, of_first) << of_second) | _top(second, of_second)
+
+
+def bucket_bits(texts: DataFrame) -> int:
+    """Enough bits for buckets of a bounded size, by the bytes of the texts."""
+    total = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    return min(max((total // BUCKET_BYTES).bit_length(), FEWEST_BITS), MOST_BITS)
 
 
 def _joined(*arrays: np.ndarray) -> bytes:
@@ -126,28 +133,34 @@ def _pairs_of(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.n
     return words, places, np.cumsum(lengths) - lengths
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, held, size = WordHashes(), [], 0
-    for _, texts in pieces(batches, PIECE_BYTES):
-        sequences = _sequences(texts, words)
-        held += sequences
-        size += sum(map(len, sequences))
-        if size >= FLUSH_TOKENS:
-            yield _flushed(held)
-            held, size = [], 0
-    if held:
-        yield _flushed(held)
+def _counter(bits: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, held, size = WordHashes(), [], 0
+        for _, texts in pieces(batches, PIECE_BYTES):
+            sequences = _sequences(texts, words)
+            held += sequences
+            size += sum(map(len, sequences))
+            if size >= FLUSH_TOKENS:
+                yield _flushed(held, bits)
+                held, size = [], 0
+        if held:
+            yield _flushed(held, bits)
+
+    return count
 
 
-def _flushed(sequences: list[np.ndarray]) -> pa.RecordBatch:
-    """The counted pairs of some texts, a row per bucket."""
+def _flushed(sequences: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    """The counted pairs of some texts, a row per bucket. The list is emptied on the way."""
     words, places, starts = _pairs_of(sequences)
+    sequences.clear()
     pairs = places[:-1] * len(words) + places[1:]
-    keep = np.ones(len(pairs), bool)
-    keep[starts[1:] - 1] = False  # from one text's end to the next one's start
-    pairs, counts = np.unique(pairs[keep], return_counts=True)
-    first, second = words[pairs // len(words)], words[pairs % len(words)]
-    return _by_bucket(pair_buckets(first, second), first, second, counts)
+    del places
+    # Not from one text's end to the next one's start.
+    pairs, counts = np.unique(np.delete(pairs, starts[1:] - 1), return_counts=True)
+    first = words[pairs // len(words)]
+    second = words[pairs % len(words)]
+    del pairs
+    return _by_bucket(pair_buckets(first, second, bits), first, second, counts)
 
 
 def _by_bucket(buckets: np.ndarray, first, second, counts) -> pa.RecordBatch:
@@ -177,28 +190,36 @@ def _one_row(table: pa.Table, data: bytes) -> pa.Table:
     )
 
 
-def _word_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_counter(bits: int):
     """What each file of pairs says about words, a row per bucket of words."""
-    for batch in batches:
-        for content in batch["content"]:
-            words, stops, second, counts = unpack_pairs(content.as_buffer())
-            stops = stops.astype(np.int64)
-            starts = stops[:-1]
-            of_first = np.zeros((len(words), 5), np.int64)
-            if len(words):
-                of_first[:, 0] = np.add.reduceat(counts.astype(np.int64), starts)
-                for column, held in ((1, counts == 1), (2, counts == 2), (3, counts >= 3)):
-                    of_first[:, column] = np.add.reduceat(held.astype(np.int64), starts)
-            after, times = np.unique(second, return_counts=True)
-            of_second = np.zeros((len(after), 5), np.int64)
-            of_second[:, 4] = times
-            keys = np.concatenate([words, after])
-            (keys,), stats = _summed([keys], np.concatenate([of_first, of_second]))
-            buckets = _top(keys, WORD_BITS)
-            names, starts = np.unique(buckets, return_index=True)
-            ends = np.append(starts[1:], len(keys))
-            data = [pack_words(keys[a:b], stats[a:b]) for a, b in zip(starts, ends, strict=True)]
-            yield columns(bucket=pa.array(names, pa.int32()), data=pa.array(data, pa.binary()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch["content"]:
+                keys, stats = _words_of_pairs(*unpack_pairs(content.as_buffer()))
+                names, starts = np.unique(_top(keys, bits), return_index=True)
+                ends = np.append(starts[1:], len(keys))
+                parts = zip(starts, ends, strict=True)
+                data = [pack_words(keys[a:b], stats[a:b]) for a, b in parts]
+                yield columns(bucket=pa.array(names, pa.int32()), data=pa.array(data, pa.binary()))
+
+    return count
+
+
+def _words_of_pairs(words, stops, second, counts) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted words of a file of pairs and their five numbers in it."""
+    starts = stops[:-1].astype(np.int64)
+    of_first = np.zeros((len(words), 5), np.int64)
+    if len(words):
+        of_first[:, 0] = np.add.reduceat(counts.astype(np.int64), starts)
+        for column, held in ((1, counts == 1), (2, counts == 2), (3, counts >= 3)):
+            of_first[:, column] = np.add.reduceat(held.astype(np.int64), starts)
+    after, times = np.unique(second, return_counts=True)
+    of_second = np.zeros((len(after), 5), np.int64)
+    of_second[:, 4] = times
+    keys = np.concatenate([words, after])
+    (keys,), stats = _summed([keys], np.concatenate([of_first, of_second]))
+    return keys, stats
 
 
 def pack_words(words: np.ndarray, stats: np.ndarray) -> bytes:
@@ -249,6 +270,7 @@ class Model:
 
     path: str
     local: bool
+    bits: int
     pair_discounts: tuple[float, ...]
     word_discounts: tuple[float, ...]
     word_times: tuple[int, ...]
@@ -276,9 +298,12 @@ def fit(
     path = path or fresh_path(spark, "bigrams")
     rows = docs if training is None else docs.where(training)
     texts = rows.select(quoted(text_column).cast("string").alias("text"))
-    parts = texts.mapInArrow(_count, "bucket int, data binary")
+    bits = bucket_bits(texts)
+    parts = texts.mapInArrow(_counter(bits), "bucket int, data binary")
     _written(parts, _merge_pairs, f"{path}/pairs")
-    parts = _files(spark, f"{path}/pairs").mapInArrow(_word_parts, "bucket int, data binary")
+    parts = _files(spark, f"{path}/pairs").mapInArrow(
+        _word_counter(bits), "bucket int, data binary"
+    )
     _written(parts, _merge_words, f"{path}/words")
     pairs, words = _totals(spark, f"{path}/pairs"), _totals(spark, f"{path}/words")
     local = urlparse(path).scheme in ("", "file")
@@ -287,6 +312,7 @@ def fit(
     return Model(
         path,
         local,
+        bits,
         tuple(_discounts(pairs[2:6])),
         tuple(_discounts(words[2:6])),
         (words[2], words[3], words[1] - words[2] - words[3]),
@@ -330,10 +356,10 @@ def _mapped(model: Model) -> tuple[dict, dict]:
     return maps[0], maps[1]
 
 
-def _word_stats(files: dict, words: np.ndarray) -> np.ndarray:
+def _word_stats(files: dict, words: np.ndarray, bits: int) -> np.ndarray:
     """Five numbers for each of the sorted ``words``, zeros for unknown ones."""
     stats = np.zeros((5, len(words)), np.int64)
-    buckets = _top(words, WORD_BITS)
+    buckets = _top(words, bits)
     for bucket, some in _runs(buckets):
         if bucket in files:
             known, columns_of = files[bucket]
@@ -352,10 +378,10 @@ def _runs(sorted_values: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield name, slice(start, stop)
 
 
-def _pair_counts(files: dict, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def _pair_counts(files: dict, first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
     """Counts of pairs, zeros for unknown ones."""
     counts = np.zeros(len(first), np.int64)
-    buckets = pair_buckets(first, second).astype(np.uint16)
+    buckets = pair_buckets(first, second, bits).astype(np.uint16)
     order = np.argsort(buckets, kind="stable")
     for bucket, some in _runs(buckets[order]):
         if bucket not in files:
@@ -389,7 +415,7 @@ def text_scores(model: Model, texts: list[str | None], words: WordHashes) -> dic
     pair_files, word_files = _mapped(model)
     sequences = _sequences(texts, words)
     known, places, starts = _pairs_of(sequences)
-    stats = _word_stats(word_files, known)
+    stats = _word_stats(word_files, known, model.bits)
     # The end of a text is never a first word; it occurs as often as the start.
     as_token = stats[0].copy()
     as_token[np.searchsorted(known, END)] = stats[0][np.searchsorted(known, START)]
@@ -397,7 +423,7 @@ def text_scores(model: Model, texts: list[str | None], words: WordHashes) -> dic
     pairs = places[:-1] * len(known) + places[1:]
     pairs, of = np.unique(pairs, return_inverse=True)
     first, second = pairs // len(known), pairs % len(known)
-    seen = _pair_counts(pair_files, known[first], known[second])
+    seen = _pair_counts(pair_files, known[first], known[second], model.bits)
     unseen_share = 1.0
     lower = np.zeros(len(known))
     if model.pairs:
