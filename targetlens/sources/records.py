@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _NO_ARRAY = "no JSON array at the root of the file"
+_NOT_WHOLE = "text behind the end of the JSON array"
 _STRICT = {"mode": "FAILFAST"}
 
 
-def _checked(text: Column, good: Column) -> Column:
-    return F.when(good, text).otherwise(F.raise_error(F.lit(_NO_ARRAY)).cast("string"))
+def _checked(text: Column, good: Column, error: str = _NO_ARRAY) -> Column:
+    return F.when(good, text).otherwise(F.raise_error(F.lit(error)))
 
 
 def read_json_array(
@@ -24,55 +25,57 @@ def read_json_array(
     """Records of files that each hold one JSON array of flat records.
 
     Files are cut between records, so one large file is read by many tasks; a raw line break
-    cannot occur inside a JSON text, so the cut is exact. Where to cut follows from ``indent``, or
-    else from the first lines: records of several lines, or one record per line as the chunked
-    export writes them. Only files that show neither, or all with ``whole_file``, are one task
-    each. Reading a file with another root fails. Partition columns of the path stay.
+    cannot occur inside a JSON text, so the cut is exact. It is where a line ends with a comma and
+    the next one opens a record with the margin, and after the line end, that the first lines show;
+    ``indent`` gives the margin instead. Files that separate their records otherwise are one piece,
+    and all are with ``whole_file``. Every piece is parsed as an array to its end, so all its
+    records count however they are separated, and text that is no record fails. Reading a file
+    with another root fails. A file that is cut off just behind a record is noticed only where it
+    is one piece. Partition columns of the path stay.
     """
-    if whole_file:
-        return _read_whole(spark, path, schema)
-    if indent is None:
-        first = [row["value"].rstrip() for row in spark.read.text(path).head(2)]
-        opening, record = (first + ["", ""])[:2]
-        if opening.strip() == "[" and record.strip() == "{":
-            indent = len(record) - len(record.lstrip(" "))
-        elif opening.strip() == "[" and record.startswith("{") and record.endswith(("}", "},")):
-            return _read_lines(spark, path, schema)
-        else:
-            return _read_whole(spark, path, schema)
-    margin = " " * indent
-    pieces = spark.read.option("lineSep", f"\n{margin}}},\n").text(path)
+    cut = None if whole_file else _separator(spark, path, indent)
     value = F.col("value")
-    opening, closing = r"^\s*\[\s*\n", rf"\n{margin}\}}\s*\]\s*$"
-    empty = value.rlike(r"^\s*\[\s*\]\s*$")
-    record = F.regexp_replace(value, opening, "")
-    whole = F.when(
-        value.rlike(closing), F.regexp_replace(record, r"\]\s*$", "")
-    ).otherwise(F.concat(record, F.lit("}")))
-    text = _checked(whole, record.rlike(rf"^{margin}\{{"))
-    return _parsed(pieces.where(~empty & (value != "")), F.from_json(text, schema, _STRICT))
-
-
-def _read_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Records that have a line each, between lines that open and close the array."""
-    lines = spark.read.text(path)
-    value = F.btrim(F.col("value"))
-    lines = lines.where(~value.isin("[", "]", "", "[]"))
-    text = _checked(F.regexp_replace(value, ",$", ""), value.rlike(r"^\{.*\},?$"))
-    return _parsed(lines, F.from_json(text, schema, _STRICT))
-
-
-def _read_whole(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    files = spark.read.text(path, wholetext=True)
-    text = _checked(F.col("value"), F.col("value").rlike(r"^\s*\["))
-    kind = schema.simpleString() if isinstance(schema, T.StructType) else f"struct<{schema}>"
-    records = F.from_json(text, f"array<{kind}>", _STRICT)
-    return _parsed(files, F.explode(records))
-
-
-def _parsed(pieces: DataFrame, record: Column) -> DataFrame:
+    if cut is None:
+        pieces = spark.read.text(path, wholetext=True)
+        array = _checked(value, value.rlike(r"^\s*\["))
+    else:
+        # Behind the cut, which takes the opening brace, a name or the closing brace follows; only
+        # the first piece has the array's opening bracket, only the last one its closing bracket.
+        pieces = spark.read.option("lineSep", cut).text(path)
+        array = F.concat(
+            F.when(value.rlike(r"^\s*\["), "").otherwise("[{"),
+            value,
+            F.when(value.rlike(r"\]\s*$"), "").otherwise("]"),
+        )
+        array = _checked(array, value.rlike(r'^\s*[\["}]') & value.rlike(r"[}\]]\s*$"))
+    return _parsed(pieces, array, schema)
+
+
+def _separator(spark: SparkSession, path: str, indent: int | None) -> str | None:
+    """What stands between two records where the first lines show that each begins a line."""
+    value = F.col("value")
+    lines = spark.read.option("lineSep", "\n").text(path)
+    first = [row[0] for row in lines.select(F.substring(value, 1, 1_000)).head(2)]
+    opening, record = (first + ["", ""])[:2]
+    margin = record[: len(record) - len(record.lstrip())]
+    if indent is not None:
+        margin = " " * indent
+    elif opening.strip() != "[" or not record.lstrip().startswith("{"):
+        return None
+    return f",{'\r' if opening.endswith('\r') else ''}\n{margin}{{"
+
+
+def _parsed(pieces: DataFrame, array: Column, schema: T.StructType | str) -> DataFrame:
+    """The records of each piece; ``from_json`` stops at the end of a value, so a mark follows it."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    kind = T.StructType().add("records", T.ArrayType(schema)).add("whole", T.BooleanType())
+    text = F.concat(F.lit('{"records":'), array, F.lit(',"whole":true}'))
     partitions = [name for name in pieces.columns if name != "value"]
-    return pieces.select(record.alias("_record"), *partitions).select("_record.*", *partitions)
+    pieces = pieces.select(F.from_json(text, kind, _STRICT).alias("_piece"), *partitions)
+    whole = F.coalesce(F.col("_piece.whole"), F.lit(False))
+    found = F.explode(_checked(F.col("_piece.records"), whole, _NOT_WHOLE))
+    return pieces.select(found.alias("_record"), *partitions).select("_record.*", *partitions)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -394,3 +394,79 @@ def test_chunk_numbers_compute_their_input_once(spark):
     df = spark.range(500).mapInArrow(counted, "id long")
     assert chunk_numbers(df, ["id"], 100).select("chunk").distinct().count() == 5
     assert seen.value == 500
+
+
+PRETTY = json.dumps([{"a": i, "b": f"x }},\n{{ {i}"} for i in range(3)], indent=4)
+STYLES = {
+    "crlf": PRETTY.replace("\n", "\r\n"),
+    "crlf lines": '[\r\n{"a": 0},\r\n{"a": 1},\r\n{"a": 2}\r\n]\r\n',
+    "brace on one line": PRETTY.replace("},\n    {", "}, {"),
+    "some on one line": PRETTY.replace("},\n    {", "}, {", 1),
+    "tabs": PRETTY.replace("    ", "\t"),
+    "comma first": PRETTY.replace("},\n", "}\n,"),
+    "several on a line": '[\n{"a": 0}, {"a": 1},\n{"a": 2}\n]',
+    "no lines": json.dumps([{"a": 0}, {"a": 1}, {"a": 2}]),
+    "nested": json.dumps([{"a": i, "c": [{"x": 1}, {"x": [{"y": 2}]}]} for i in range(3)], indent=2),
+    "nested lines": '[\n{"a": 0, "c": [{"x": 1}]},\n{"a": 1, "c": [{"x": 2}]},\n{"a": 2, "c": []}\n]',
+}
+
+
+@pytest.mark.parametrize("style", STYLES)
+def test_json_array_records_are_all_read_however_separated(spark, tmp_path, style):
+    path = tmp_path / "array.json"
+    path.write_bytes(STYLES[style].encode())
+    for options in ({}, {"whole_file": True}, {"indent": 4}, {"indent": 0}):
+        found = records.read_json_array(spark, str(path), "a int", **options)
+        assert sorted(row.a for row in found.collect()) == [0, 1, 2], options
+
+
+@pytest.mark.parametrize("most_bytes", [1 << 20, 64])
+def test_json_array_files_of_unlike_styles(spark, tmp_path, most_bytes):
+    lines = ",\n".join(json.dumps({"a": i}) for i in range(200))
+    texts = [
+        f"[\n{lines}\n]", "[]", PRETTY, STYLES["crlf"], STYLES["no lines"],
+        json.dumps([{"a": i} for i in range(200)], indent=0),
+    ]
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(most_bytes))
+    try:
+        for turn in range(len(texts)):
+            folder = tmp_path / str(turn)
+            folder.mkdir()
+            for number, text in enumerate(texts[turn:] + texts[:turn]):
+                # The first file is the largest, so it is the one whose lines are looked at.
+                space = " " * 5_000 * (len(texts) - number)
+                (folder / f"{number}.json").write_bytes((text + space).encode())
+            found = records.read_json_array(spark, str(folder), "a int").collect()
+            assert sorted(row.a for row in found) == sorted([*range(200), *[0, 1, 2] * 3, *range(200)])
+    finally:
+        spark.conf.set(setting, before)
+
+
+@pytest.mark.parametrize("text", [
+    PRETTY + PRETTY, PRETTY + "{}", PRETTY + "]", PRETTY.replace("},", "} x,", 1),
+    PRETTY[:-1] + "}", '[\n{"a": 0}\n{"a": 1}\n]', '{"a": 0}\n{"a": 1}', PRETTY[:-6],
+])
+@pytest.mark.parametrize("whole_file", [False, True])
+def test_text_that_is_no_record_of_the_array_fails(spark, tmp_path, text, whole_file):
+    path = _text_file(tmp_path, "array.json", text)
+    with pytest.raises(Exception):
+        records.read_json_array(spark, path, "a int", whole_file=whole_file).collect()
+
+
+def test_json_array_with_crlf_is_split(spark, tmp_path):
+    path = tmp_path / "array.json"
+    text = json.dumps([{"a": i, "b": "y" * 30} for i in range(3_000)], indent=2)
+    path.write_bytes(text.replace("\n", "\r\n").encode())
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "4001")
+    try:
+        found = records.read_json_array(spark, str(path), "a int")
+        assert found.rdd.getNumPartitions() > 10
+        rows = found.selectExpr("a", "spark_partition_id() AS task").collect()
+        assert sorted(row.a for row in rows) == list(range(3_000))
+        assert len({row.task for row in rows}) > 10
+    finally:
+        spark.conf.set(setting, before)
