@@ -1,9 +1,11 @@
 """Every registered query against its SQL, over the whole smallest tables."""
 
+import json
+
 import pytest
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
-from catalog import ORACLES, QUERIES
+from catalog import ORACLES, QUERIES, files
 from check import differences, open_tables
 
 
@@ -57,3 +59,15 @@ def test_family_flags_have_both_values(spark):
 def test_hot_key_join_is_split(spark):
     plan = queries()["hot_key_join"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan()
     assert "_spread" in plan.toString()
+
+
+def test_each_task_writes_a_json_array_of_its_own(spark, tmp_path, monkeypatch):
+    orders = files.table(spark, SMOKE_DIR, "orders")
+    monkeypatch.setattr(files, "table", lambda *_: orders.repartition(5))
+    monkeypatch.setattr(files, "fresh_path", lambda *_: str(tmp_path / "array"))
+    found = files.scan_roundtrip_json_array_split(spark, SMOKE_DIR)
+    arrays = [json.loads(p.read_text()) for p in (tmp_path / "array").glob("part-*")]
+    assert len(arrays) == 5 and all(arrays)
+    written = [tuple(record.values()) for array in arrays for record in array]
+    assert sorted(written, key=repr) == sorted(map(tuple, found.collect()), key=repr)
+    assert len(written) == orders.count()
