@@ -33,10 +33,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8): the smallest id."""
-    found = near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    """One row of each group of near duplicates (five words, similarity 0.8): that of the smallest id.
+
+    Rows are decided one by one: texts of one id are compared like those of different ids, and of
+    rows with equal id and text one stays, that with the smallest other columns. Rows without id
+    are linked with nothing and stay.
+    """
+    # Equal for equal rows only, and in the order of the ids.
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text")))
+    found = near_duplicates(docs.select(key.alias("_key"), "text"), id_column="_key")
+    found = found.where("_key is not null").groupBy("_key")
+    marks = found.agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
+    marks = saved(marks.where("not kept or times > 1"), "marks")
+    again = marks.where("kept").select("_key")
+    rows = docs.withColumn("_key", key)
+    single = rows.join(marks.select("_key"), "_key", "left_anti").select(docs.columns)
+    if again.isEmpty():
+        return single
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    again = rows.join(again, "_key", "left_semi").groupBy("doc_id", "text")
+    again = again.agg(F.min(F.struct(*others)).alias("_others"))
+    return single.unionByName(again.select("doc_id", "text", "_others.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

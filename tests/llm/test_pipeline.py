@@ -65,3 +65,44 @@ def test_run_gives_every_kept_document_whole(spark, planted):
     rows = corpus_pipeline.run(spark, planted)
     whole = rows.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("d"))
     assert whole.count() > 100 and whole.where("n <> d").count() == 0
+
+
+def test_near_dedup_decides_by_row(spark):
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    texts = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "abcdefgh"}
+    near = {name: text + " end" for name, text in texts.items()}
+    rows = [
+        # A repeated id: one text copies a smaller id, another is clean and unique.
+        (1, texts["a"], "x"), (5, texts["a"], "x"), (5, texts["b"], "x"),
+        # Its texts resemble those of two ids that have nothing in common.
+        (6, texts["c"], "x"), (7, near["c"], "x"), (7, near["d"], "x"), (8, texts["d"], "x"),
+        # Rows repeated whole, alone and with a near copy; rows that differ in another column.
+        (20, texts["e"], "x"), (20, texts["e"], "x"), (20, texts["e"], "x"), (21, near["e"], "x"),
+        (30, texts["f"], "z"), (30, texts["f"], "y"), (31, texts["g"], "x"), (31, texts["g"], "x"),
+        # One id with two spellings of one set of words, and with two near copies.
+        (40, texts["h"], "x"), (40, texts["h"].upper(), "x"), (40, near["h"], "x"),
+        (50, "", "x"), (50, "", "x"), (51, None, "x"), (52, "", "x"),
+        (None, texts["a"], "x"), (None, texts["a"], "x"),
+    ]
+    given = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], docs.schema)
+    kept = corpus_pipeline.near_dedup(spark, given, SMOKE_DIR)
+    assert kept.columns == docs.columns
+    kept = [(row.doc_id, row.text, row.source) for row in kept.collect()]
+    last = [row for row in kept if row[0] == 40]
+    assert len(last) == 1 and last[0] in rows
+    wanted = [
+        (1, texts["a"], "x"), (5, texts["b"], "x"), (6, texts["c"], "x"), (7, near["d"], "x"),
+        (20, texts["e"], "x"), (30, texts["f"], "y"), (31, texts["g"], "x"), *last,
+        (50, "", "x"), (51, None, "x"), (52, "", "x"), (None, texts["a"], "x"),
+        (None, texts["a"], "x"),
+    ]
+    assert sorted(kept, key=repr) == sorted(wanted, key=repr)
+
+
+def test_near_dedup_without_repeated_rows_or_rows(spark):
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), SMOKE_DIR).collect() == []
+    twice = docs.limit(50).union(docs.limit(50))
+    once = corpus_pipeline.near_dedup(spark, docs.limit(50), SMOKE_DIR).collect()
+    found = corpus_pipeline.near_dedup(spark, twice, SMOKE_DIR).collect()
+    assert sorted(found) == sorted(once)
