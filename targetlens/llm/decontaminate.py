@@ -74,9 +74,9 @@ def contamination(
         windows = F.broadcast(windows)
 
     # The narrow side: a hash per window of each document, without its text.
-    split = docs.select(
-        quoted(id_column).alias("_key"), words_of(quoted(text_column)).alias("words")
-    )
+    # Rows meet only with equal id and text, so the hits of one key are those of one text.
+    key = F.xxhash64(quoted(id_column), quoted(text_column))
+    split = docs.select(key.alias("_key"), words_of(quoted(text_column)).alias("words"))
 
     def hashes(length: int) -> DataFrame:
         starts = F.sequence(F.lit(0), F.size("words") - length)
@@ -96,9 +96,8 @@ def contamination(
         )
         joined = docs.withColumn("_found", found)
     else:
-        hits = hits.groupBy("_key").agg(F.collect_list("hit").alias("_found"))
-        same = quoted(id_column).eqNullSafe(F.col("_key"))
-        joined = docs.join(hits, same, "left").drop("_key")
+        hits = hits.groupBy("_key").agg(F.collect_set("hit").alias("_found"))
+        joined = docs.join(hits, key == F.col("_key"), "left").drop("_key")
     return joined.withColumn("_words", words_of(quoted(text_column))).select(
         *[quoted(name) for name in docs.columns], _measured().alias("_hits")
     )

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from targetlens.llm import decontaminate
 from targetlens.llm.decontaminate import contamination, without_documents, without_spans
@@ -83,3 +84,21 @@ def test_removal(spark):
     cut = {r.doc_id: r.text for r in without_spans(left, right).collect()}
     assert cut[1] == "before, After" and cut[2] == "clean one" and cut[3] is None
     assert cut[4].split() == ["filler"] * 300
+
+
+def test_hits_of_rows_with_one_id_do_not_meet(spark, monkeypatch):
+    seen = []
+    measured = decontaminate._measured
+
+    def watched():
+        seen.append(True)
+        return F.struct(measured().alias("hits"), F.size("_found").alias("found"))
+
+    monkeypatch.setattr(decontaminate, "_measured", watched)
+    passages = [" ".join(f"p{i}x{j}" for j in range(13)) for i in range(20)]
+    rows = [(key, text) for key in (None, 1) for text in passages for _ in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(passages)), "item_id long, text string")
+    found = contamination(docs, benchmark).select("_hits.*").collect()
+    assert seen and len(found) == len(rows)
+    assert all(row.found == 1 and row.hits.n_hit == 13 for row in found)
