@@ -9,6 +9,10 @@ document by its most toxic word; labelled sentences say which words are toxic.
 With landmarks ``l`` the machine is ``sum of b_l * K(x, l)``, and as the kernel is a sum over
 subsequences, that is one table with a weight for each of them: a word is scored by a lookup per
 subsequence, however many landmarks there are.
+
+Not judged: words of one to three letters score the bias alone, whatever the labels say, and
+letters outside the alphabet share one code, so that words of equal length in other scripts are
+not told apart.
 """
 
 from __future__ import annotations
