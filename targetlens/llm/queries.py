@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from targetlens.llm import kneser_ney, language
+from targetlens.llm import kneser_ney, language, merkle
 from targetlens.llm import toxicity as toxic_texts
 from targetlens.llm.common import fold
 from targetlens.llm.decontaminate import WINDOW, contamination, is_contaminated
+from targetlens.llm.lexical import ranked_documents
+from targetlens.llm.lines import kept_lines, kept_text, n_dropped
 from targetlens.llm.minhash import near_duplicates
 from targetlens.llm.packing import packed
 from targetlens.llm.secrets import BASE_RULES, RULES, Rule, joined_spans, secret_spans
@@ -286,3 +288,167 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+MANIFEST_SQL = """
+WITH RECURSIVE leaf AS (
+    SELECT *, sha256(concat(
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+        coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+        coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+        coalesce(strlen(text) || ':' || text, '-'))) AS h,
+        replace(text, chr(10), '') AS told,
+        list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''),
+            lambda c: ascii(c)::BIGINT)), lambda crc, c: list_reduce(
+            list_prepend(xor(crc, c), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) % 2 = 1 AS even
+    FROM documents
+), candidate AS (
+    SELECT *, CASE WHEN even THEN sha256(concat(
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+        coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+        coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+        coalesce(strlen(told) || ':' || told, '-'))) ELSE h END AS c FROM leaf
+), placed AS (
+    SELECT doc_id, source, h, c,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+        count(*) OVER (PARTITION BY source) AS n FROM candidate
+), low(source, level, i, n, h) AS (
+    SELECT source, 0, i, n, h FROM placed
+    UNION ALL
+    SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM low
+    WHERE n > 1 GROUP BY source, level, i // 3, n
+), subroot AS (
+    SELECT source, h, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS i,
+        count(*) OVER () AS n FROM low WHERE n = 1
+), high(level, i, n, h) AS (
+    SELECT 0, i, n, h FROM subroot
+    UNION ALL
+    SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM high
+    WHERE n > 1 GROUP BY level, i // 3, n
+), lower_runs AS (
+    SELECT source, level, i,
+        coalesce(string_agg(h, '') OVER (PARTITION BY source, level, i // 3 ORDER BY i
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+        coalesce(string_agg(h, '') OVER (PARTITION BY source, level, i // 3 ORDER BY i
+            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM low WHERE n > 1
+), upper_runs AS (
+    SELECT level, i,
+        coalesce(string_agg(h, '') OVER (PARTITION BY level, i // 3 ORDER BY i
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+        coalesce(string_agg(h, '') OVER (PARTITION BY level, i // 3 ORDER BY i
+            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM high WHERE n > 1
+), climb(source, leaf_i, level, i, proof, f) AS (
+    SELECT source, i, 0, i, '', c FROM placed
+    UNION ALL
+    SELECT p.source, leaf_i, p.level + 1, p.i // 3, proof || b || a, sha256(b || f || a)
+    FROM climb p JOIN lower_runs r
+        ON r.source IS NOT DISTINCT FROM p.source AND r.level = p.level AND r.i = p.i
+), under AS (
+    SELECT source, leaf_i, arg_max(proof, level) AS proof, arg_max(f, level) AS f
+    FROM climb GROUP BY source, leaf_i
+), top_climb(source, leaf_i, level, i, proof, f) AS (
+    SELECT u.source, leaf_i, 0, s.i, proof, f
+    FROM under u JOIN subroot s ON s.source IS NOT DISTINCT FROM u.source
+    UNION ALL
+    SELECT p.source, leaf_i, p.level + 1, p.i // 3, proof || b || a, sha256(b || f || a)
+    FROM top_climb p JOIN upper_runs r ON r.level = p.level AND r.i = p.i
+), over AS (
+    SELECT source, leaf_i, arg_max(proof, level) AS proof, arg_max(f, level) AS f
+    FROM top_climb GROUP BY source, leaf_i
+)
+SELECT p.doc_id, p.h AS leaf, s.h AS subroot, t.h AS root, sha256(o.proof) AS proof_sha256,
+    o.f AS folded_root, o.f = t.h AS verified
+FROM placed p JOIN subroot s ON s.source IS NOT DISTINCT FROM p.source
+JOIN over o ON o.source IS NOT DISTINCT FROM p.source AND o.leaf_i = p.i
+CROSS JOIN (SELECT h FROM high WHERE n = 1) t
+"""
+
+
+@query(MANIFEST_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's leaf with its proof, tried on a text that may have lost its line ends."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    told = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c)
+            for c in merkle.COLUMNS]
+    found = merkle.proofs(
+        merkle.manifest(docs, carry={"candidate": F.when(changed, merkle.leaf_digest(told))})
+    )
+    candidate = F.coalesce("row.candidate", "leaf")
+    found = found.withColumn("folded", merkle.folded(candidate, F.col("proof")))
+    return found.select(
+        F.col("row.id").alias("doc_id"),
+        *[merkle.spelled(F.col(name)).alias(name) for name in ("leaf", "subroot", "root")],
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.spelled(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+RANKED_DOCUMENTS_SQL = rf"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+        {LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+    SELECT item_id, row_number() OVER () AS k, unnest(list_distinct(regexp_extract_all(
+        {LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t FROM benchmark
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0
+), counts AS (
+    SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t
+), weights AS (
+    SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+    FROM counts, totals GROUP BY t, n_docs
+), scores AS (
+    SELECT k, item_id, c.r, sum(weight * ((1000000000 * tf)
+        // (1000 * tf + 8 * (10 + (90 * len(w) * n_docs) // n_terms))))::BIGINT AS score
+    FROM i JOIN counts c ON c.t = i.t JOIN weights v ON v.t = i.t JOIN d ON d.r = c.r, totals
+    GROUP BY k, item_id, c.r
+), ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (
+        PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+    FROM scores JOIN d ON d.r = scores.r WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query(RANKED_DOCUMENTS_SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return ranked_documents(docs, items)
+
+
+LINES_SQL = rf"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS l
+    FROM documents
+), lines AS (
+    SELECT r, doc_id, unnest(l) AS line, unnest(range(len(l))) AS place FROM d
+), keys AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), common AS (
+    SELECT key, max(doc_id) AS last FROM keys WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+    count(*) FILTER (WHERE last <> doc_id) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+        FILTER (WHERE last IS NULL OR last = doc_id), '')) AS kept_sha256
+FROM keys LEFT JOIN common ON common.key = keys.key GROUP BY r
+"""
+
+
+@query(LINES_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, and what is left without those that repeat across documents."""
+    found = kept_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "document.doc_id",
+        F.size("lines").cast("long").alias("n_lines"),
+        n_dropped().alias("n_dropped"),
+        F.sha2(kept_text(), 256).alias("kept_sha256"),
+    )
