@@ -80,7 +80,7 @@ def descend(
 
 @dataclass(frozen=True)
 class Tree:
-    """One tree per ``group``: its segments by tier, and the records of all tiers by digest.
+    """One tree per ``group``: its segments by tier, and the records of all tiers by digest (in hex).
 
     ``tiers[0]`` has the leaves as members, each further tier the segments of the one before.
     """
@@ -135,7 +135,7 @@ def _tree(ranked: DataFrame) -> Tree:
         schema.add("nodes", T.MapType(T.BinaryType(), T.ArrayType(T.BinaryType())))
         whole = saved(gathered.mapInArrow(_segments, schema), "merkle-segments")
         tiers.append(whole.drop("nodes"))
-        nodes = whole.select("digest", "nodes").dropDuplicates(["digest"])
+        nodes = whole.select(F.hex("digest").alias("key"), "nodes").dropDuplicates(["key"])
         records.append(saved(nodes, "merkle-records"))
         ranked = whole.where(F.col("total") > SEGMENT).select(
             "group",
@@ -220,8 +220,9 @@ def _descended(tree: Tree, tops: DataFrame) -> DataFrame:
         asked = own.join(tops, "group").select("group", "block", "path", *handed)
         if reached is not None:
             asked = asked.unionByName(reached)
-        requests = saved(tier.join(asked, ["group", "block"]), "merkle-requests")
-        found = inner_join(requests, records, "digest")
+        requests = tier.join(asked, ["group", "block"]).withColumn("key", F.hex("digest"))
+        requests = saved(requests, "merkle-requests")
+        found = inner_join(requests, records, "key")
         kinds = {name: requests.schema[name].dataType for name in handed}
         member = requests.schema["members"].dataType.elementType
         schema = T.StructType().add("group", T.StringType()).add("block", T.LongType())
@@ -288,7 +289,7 @@ def proofs(held: Manifest) -> DataFrame:
     """
     spark = held.over.tiers[0].sparkSession
     root = F.lit(held.root).cast("binary")
-    start = spark.range(1).select(F.lit("").alias("group"), F.expr(f"cast(array() as {RUNS})").alias("path"))
+    start = spark.createDataFrame([("", [])], f"group string, path {RUNS}")
     over = _descended(held.over, start)
     tops = over.select(F.col("row").alias("group"), "path", F.col("digest").alias("subroot"))
     leaves = _descended(held.groups, saved(tops, "merkle-tops"))
