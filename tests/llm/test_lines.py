@@ -1,0 +1,125 @@
+"""Line deduplication against a count of every line, and awkward rows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from targetlens.llm import lines
+from targetlens.llm.lines import dropped_bitmaps, kept_lines, kept_text, n_dropped
+from targetlens.llm.lines import without_repeated_lines
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+SCHEMA = "doc_id long, text string"
+
+
+def key_of(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+
+def brute_force(docs, least=20, documents=3):
+    holders = {}
+    for doc, text in docs:
+        for line in (text or "").split("\n"):
+            if len(key_of(line)) >= least:
+                holders.setdefault(key_of(line), set()).add(float("-inf") if doc is None else doc)
+    found = []
+    for doc, text in docs:
+        split = (text or "").split("\n")
+        own = float("-inf") if doc is None else doc
+
+        def stays(line, own=own):
+            held = holders.get(key_of(line), ())
+            return len(held) < documents or own == max(held)
+
+        kept = [line for line in split if stays(line)]
+        found.append((doc, len(split), len(split) - len(kept), "\n".join(kept)))
+    return sorted(found, key=repr)
+
+
+def result(spark, docs):
+    found = kept_lines(spark.createDataFrame(docs, SCHEMA).repartition(5))
+    found = found.select("document.doc_id", F.size("lines"), n_dropped(), kept_text())
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+def cases():
+    rng = random.Random(6)
+    common = [f"Line {i} that is long enough to count" for i in range(30)]
+    common += ["short", "exactly twenty chars", "ümläut line of twenty+ characters", "İ" * 20, ""]
+    weights = [1 / (i + 1) for i in range(len(common))]
+    docs = []
+    for key in range(300):
+        some = []
+        for line in rng.choices(common, weights, k=rng.randint(0, 12)):
+            line = line.upper() if rng.random() < 0.2 else line
+            some.append(rng.choice(["", " ", "\t\r", "\x0b\x0c"]) + line + rng.choice(["", "  ", "\r"]))
+        some += [f"only in document {key}, nowhere else"] * rng.randint(0, 2)
+        docs.append((key * 13 % 300, "\n".join(some)))
+    long = "\n".join(rng.choices(common, k=1_000)) + "\n" * 200 + common[0]
+    docs += [(500, long), (501, long), (502, None), (503, ""), (504, "\n"), (None, long)]
+    docs += [(7, docs[7][1]), (7, docs[7][1]), (8, common[1]), (None, common[2]), (None, None)]
+    docs += [(n, " padded with another blank ") for n in range(600, 604)]
+    docs += [(700, "in two documents and no more"), (701, "in two documents and no more")]
+    docs += [(702, "three times in one document\n" * 3)]
+    return docs
+
+
+@pytest.mark.parametrize("fewest", [2, 20, 10**9])
+def test_agrees_with_a_count_of_every_line(spark, monkeypatch, fewest):
+    monkeypatch.setattr(lines, "FEWEST_HOT_ROWS", fewest)
+    docs = cases()
+    assert result(spark, docs) == brute_force(docs)
+
+
+def test_large_bitmaps_meet_by_a_shuffle(spark, no_broadcast, every_key_hot):
+    docs = cases()
+    assert result(spark, docs) == brute_force(docs)
+
+
+def test_bitmaps_hold_only_words_with_dropped_lines(spark):
+    line = "this line repeats in every document"
+    texts = ["\n" * 130 + line, line + "\n" * 70 + line, line]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    found = [row.dropped for row in dropped_bitmaps(docs).collect()]
+    found = sorted(sorted((x.word, x.bits) for x in row) for row in found)
+    assert found == [[(0, 1), (1, 1 << 6)], [(2, 1 << 2)]]
+
+
+def test_the_last_of_64_lines(spark):
+    line = "this line repeats in every document"
+    docs = [(i, "\n" * 63 + line + "\nx") for i in range(4)]
+    assert result(spark, docs) == brute_force(docs)
+
+
+def test_empty_table(spark):
+    assert result(spark, []) == []
+
+
+def test_columns_come_back_as_they_were(spark):
+    names = ["row", "document", "lines", "dropped", "hash", "a.b", "place"]
+    schema = SCHEMA + "".join(f", `{name}` int" for name in names)
+    text = "a line of more than twenty\nx"
+    rows = [(i, text, *range(i, i + 7)) for i in range(3)] + [(9, None, *range(7))]
+    found = without_repeated_lines(spark.createDataFrame(rows, schema))
+    assert found.columns == ["doc_id", "text", *names]
+    wanted = [(r[0], "x" if r[0] < 2 else r[1], *r[2:]) for r in rows]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
+def test_nothing_runs_in_python(spark):
+    docs = spark.createDataFrame(cases(), SCHEMA)
+    found = kept_lines(docs).select(n_dropped(), kept_text())
+    for frame in (found, lines._streamed(lines._long_lines(
+        docs.select("doc_id", "text", F.lit("").alias("row"), F.col("doc_id").alias("id")), 20), 3)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(node in plan for node in ("Python", "Arrow", "Pandas"))
+
+
+def test_the_stream_is_dealt_once_by_range(spark):
+    docs = spark.createDataFrame(cases(), SCHEMA)
+    rows = docs.select("text", F.lit("").alias("row"), F.col("doc_id").alias("id"))
+    plan = lines._streamed(lines._long_lines(rows, 20), 3)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    assert plan.count("Window") >= 2 and plan.count("Sort ") == 1
