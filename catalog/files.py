@@ -82,6 +82,27 @@ def scan_roundtrip_stacked(spark, sf_dir):
     return kept.select("item", "label", "balance", F.col("_file_number").alias("file"))
 
 
+@query("""
+SELECT item, label, file FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY file) AS place FROM (
+    SELECT s_suppkey AS item, s_name || chr(10) || '"' || chr(9) || s_nationkey AS label, 0 AS file
+    FROM supplier
+    UNION ALL SELECT c_custkey, c_name || chr(13) || chr(10) || c_mktsegment, 1 FROM customer))
+WHERE place = 1
+""")
+def scan_roundtrip_stacked_breaks(spark, sf_dir):
+    first, second = fresh_path(spark, "stack"), fresh_path(spark, "stack")
+    label = F.concat("s_name", F.lit('\n"\t'), "s_nationkey").alias("label")
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("item"), label)
+    sinks.write_csv(rows, first, separator="\t")
+    label = F.concat("c_name", F.lit("\r\n"), "c_mktsegment").alias("label")
+    rows = table(spark, sf_dir, "customer").select(label, F.col("c_custkey").alias("item"))
+    sinks.write_csv(rows, second, separator="\t")
+    stacked = delimited.read_stacked(spark, [first, second], {"item": "bigint"}, multi_line=True)
+    kept = keep_first(stacked, "item", delimited.ORDER_COLUMNS)
+    return kept.select("item", "label", F.col("_file_number").alias("file"))
+
+
 @query(f"SELECT * FROM {PART_WITH_GAPS}")
 def scan_roundtrip_json_lines(spark, sf_dir):
     path = fresh_path(spark, "json")
@@ -154,6 +175,22 @@ def scan_roundtrip_json_array_split(spark, sf_dir):
     )
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_quantity, '}, {"' || l_returnflag || '\\' AS note
+FROM lineitem
+""")
+def scan_roundtrip_json_one_line(spark, sf_dir):
+    path = fresh_path(spark, "array")
+    note = F.concat(F.lit('}, {"'), "l_returnflag", F.lit("\\")).alias("note")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", note)
+    # A file holds the orders of a range of keys, as one line.
+    part = F.expr("l_orderkey div 20000").alias("part")
+    arrays = rows.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    schema = "l_orderkey bigint, l_linenumber int, l_quantity double, note string"
+    return records.read_json_array(spark, path, schema).drop("part")
+
+
 @query("""
 SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 2500 + 1 AS chunk FROM orders
 """)
@@ -179,6 +216,14 @@ def scan_roundtrip_ontology(spark, sf_dir):
     return ontology.ontology_terms(ontology.read_stanzas(spark, path))
 
 
+@query(f"SELECT {GO_ID} AS go_id, p_name AS name FROM part WHERE p_size NOT IN (13, 14)")
+def scan_roundtrip_ontology_crlf(spark, sf_dir):
+    path = fresh_path(spark, "ontology")
+    text = F.concat(F.replace("value", F.lit("\n"), F.lit("\r\n")), F.lit("\r\n")).alias("value")
+    _stanzas(spark, sf_dir).select(text).write.option("lineSep", "\r\n").text(path)
+    return ontology.ontology_terms(ontology.read_stanzas(spark, path))
+
+
 @query(f'SELECT domain AS "InterPro ID", go_id FROM {DOMAIN_TERMS} AS mapped')
 def scan_roundtrip_domain_map(spark, sf_dir):
     path = fresh_path(spark, "mapping")

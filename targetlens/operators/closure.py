@@ -1,4 +1,10 @@
-"""G1: descendants of ontology terms, for all roots of interest in one run."""
+"""G1: descendants of ontology terms, for all roots of interest in one run.
+
+What a term has above it is found by doubling: round k knows every root that a term reaches in fewer
+than 2^k steps, and every term it reaches in exactly 2^k. Both follow for k + 1 by one join each, so
+the number of rounds is the logarithm of the depth. The roots that a term reaches are bits of a
+number, so a term is one row for each 63 roots.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.operators.joins import find_hot_keys, fits_broadcast, spread_join
-from targetlens.storage import Written, read_together, written
+from targetlens.storage import Written, written
+
+# Bits of a positive long.
+ROOTS_PER_WORD = 63
 
 
 def descendants(
@@ -21,7 +30,11 @@ def descendants(
 
     ``edges`` holds ``(child, parent)``. ``terms`` with a ``go_id`` column, when given, must know
     every root. A root that is an alternate id (``alternates``: ``alt_id``, ``go_id``) stands for
-    its primary term: it gets that term's descendants, and itself in the term's place.
+    its primary term: it gets that term's descendants, and itself in the term's place. Loops are
+    allowed; edges with a missing end lead nowhere.
+
+    The pairs that are exactly 2^k steps apart are one table; in an ontology, where a term has few
+    terms above it, it is of the size of the edges times the terms at that distance.
     """
     spark = edges.sparkSession
     primary = {root: root for root in roots}
@@ -35,42 +48,45 @@ def descendants(
         if unknown:
             raise ValueError(f"unknown ontology terms {unknown}")
 
-    kind = edges.schema["parent"].dataType
-    starts = spark.createDataFrame(list(primary.items()), ["root", "term"]).select(
-        F.col("root").cast(kind), F.col("term").cast(kind)
-    )
-    steps = written(edges.select("parent", "child").distinct(), "edges").table
-    lookup = starts.withColumnRenamed("term", "parent")
-    below = steps.join(F.broadcast(lookup), "parent")
-    hot = None
-    found: list[Written] = []
-    while True:
-        below = below.where("root <> child").select("root", F.col("child").alias("term"))
-        frontier = written(_new_pairs(below, found), "descendants")
-        if frontier.table.isEmpty():
-            break
-        found.append(frontier)
-        lookup = frontier.table.withColumnRenamed("term", "parent")
-        if fits_broadcast(frontier):
-            below = steps.join(F.broadcast(lookup), "parent")
-        else:
-            hot = hot or find_hot_keys(steps, "parent")
-            below = spread_join(steps, lookup, "parent", hot, "inner")
-    own = spark.createDataFrame([(root, root) for root in primary], ["root", "term"]).select(
-        F.col("root").cast(kind), F.col("term").cast(kind)
-    )
-    return own.unionByName(read_together(found)) if found else own
-
-
-def _new_pairs(pairs: DataFrame, found: list[Written]) -> DataFrame:
-    """Distinct pairs that no earlier step found.
-
-    While the earlier pairs can be broadcast, they are taken out before the shuffle; later both
-    sides meet on the partitioning the distinct rows already have.
-    """
-    if not found:
-        return pairs.distinct()
-    seen = read_together(found)
-    if fits_broadcast(*found):
-        return pairs.join(F.broadcast(seen), ["root", "term"], "left_anti").distinct()
-    return pairs.distinct().join(seen, ["root", "term"], "left_anti")
+    kind = edges.schema["parent"].dataType.simpleString()
+    places = [(root, term, i // ROOTS_PER_WORD, i % ROOTS_PER_WORD)
+              for i, (root, term) in enumerate(primary.items())]
+    starts = spark.createDataFrame(places, "root string, term string, word int, bit int")
+    starts = starts.withColumns({name: F.col(name).cast(kind) for name in ("root", "term")})
+    mask = F.expr("shiftleft(1L, bit)").alias("mask")
+    reached = _summed(starts.select("term", "word", mask))
+    steps = edges.select(F.col("child").alias("term"), F.col("parent").alias("above"))
+    jumps = written(steps.where("term is not null and above is not null").distinct(), "jumps")
+    bits, more = _bits(reached), True
+    while more and not jumps.table.isEmpty():
+        further = _met(jumps, reached).select("term", "word", "mask")
+        reached = _summed(reached.table.unionByName(further))
+        # What one round does not change, no later one does.
+        before, bits = bits, _bits(reached)
+        more = bits > before
+        doubled = _met(jumps, jumps).select("term", F.col("far").alias("above"))
+        jumps = written(doubled.distinct(), "jumps")
+
+    named = F.broadcast(starts.withColumnRenamed("term", "primary"))
+    is_set = F.expr("getbit(mask, bit) = 1")
+    pairs = reached.table.join(named, "word").where(is_set)
+    own = F.when(F.col("term") == F.col("primary"), F.col("root")).otherwise(F.col("term"))
+    return pairs.select("root", own.alias("term"))
+
+
+def _summed(marks: DataFrame) -> Written:
+    """Each term's bits in one row per word."""
+    return written(marks.groupBy("term", "word").agg(F.bit_or("mask").alias("mask")), "reached")
+
+
+def _bits(reached: Written) -> int:
+    return reached.table.agg(F.sum(F.bit_count("mask"))).first()[0] or 0
+
+
+def _met(jumps: Written, side: Written) -> DataFrame:
+    """``term`` of each jump with what ``side`` has of the term it leads to."""
+    left = jumps.table.withColumnRenamed("above", "_over")
+    right = side.table.withColumnsRenamed({"term": "_over", "above": "far"})
+    if fits_broadcast(side):
+        return left.join(F.broadcast(right), "_over")
+    return spread_join(left, right, "_over", find_hot_keys(left, "_over"), "inner")

@@ -7,11 +7,22 @@ from pyspark.sql import functions as F
 
 from targetlens import fixed_values as fixed
 from targetlens.operators.joins import left_join
+from targetlens.sources import pieces
 
 
-def read_stanzas(spark: SparkSession, path: str, blank_line: str = "\n\n") -> DataFrame:
-    """OBO text cut at blank lines, one stanza per row in ``value``; large files are split."""
-    return spark.read.option("lineSep", blank_line).text(path)
+def read_stanzas(spark: SparkSession, path: str) -> DataFrame:
+    """OBO text, one stanza per row in ``value``, from its line in brackets to the next or a blank.
+
+    Files are read line by line whatever their line ends, and split; the lines of a stanza are put
+    together again, also where it lies in two blocks.
+    """
+    lines = pieces.scan(spark, path, "\n")
+    line = F.regexp_replace("value", r"\s+$", "")
+    begins = F.col("value").rlike(r"^\s*\[") | (F.col("value") == "")
+    lines = lines.withColumn("value", line).withColumn("_starts", begins)
+    # Whether a block's last stanza goes on is seen from the next block's lines alone.
+    found = pieces.assembled(lines.withColumn("_leaves", F.lit(True)), "\n", [])
+    return found.select("value").where(F.col("value") != "")
 
 
 def _live_terms(stanzas: DataFrame) -> DataFrame:

@@ -285,3 +285,32 @@ def test_single_criterion_equals_its_column_of_many(spark, edges):
     named = criteria.pattern_criterion(annotations, "absent", "named", no_pattern_text="none")
     assert {r[0]: r[1] for r in named.collect()}["g1"] == "none"
     assert named.where("named").count() == 1
+
+
+def test_descendants_of_a_deep_chain_take_few_rounds(spark, monkeypatch):
+    from targetlens.operators import closure
+
+    labels, write = [], closure.written
+    monkeypatch.setattr(
+        closure, "written", lambda df, label: labels.append(label) or write(df, label)
+    )
+    chain = [(f"n{i + 1}", f"n{i}") for i in range(1_000)]
+    edges = spark.createDataFrame(chain, "child string, parent string")
+    got = Counter(row["root"] for row in descendants(edges, ["n0", "n400", "n1000"]).collect())
+    assert got == {"n0": 1_001, "n400": 601, "n1000": 1}
+    assert labels.count("jumps") <= 11
+
+
+def test_descendants_of_more_roots_than_a_number_has_bits(spark):
+    picks = random.Random(9)
+    data = [(f"n{i}", f"n{picks.randrange(max(0, i - 9), i)}") for i in range(1, 200)]
+    data += [("n3", "n150"), ("n7", None), (None, "n7"), ("n8", "n8")]
+    edges = spark.createDataFrame(data, "child string, parent string")
+    roots = [f"n{i}" for i in range(0, 200, 2)] + ["elsewhere"]
+    got = {}
+    for row in descendants(edges, roots).collect():
+        got.setdefault(row["root"], []).append(row["term"])
+    known = [(child, parent) for child, parent in data if child and parent]
+    assert set(got) == set(roots)
+    for root in roots:
+        assert sorted(got[root]) == sorted(closure_by_hand(known, root))

@@ -445,7 +445,7 @@ def test_json_array_files_of_unlike_styles(spark, tmp_path, most_bytes):
 
 
 @pytest.mark.parametrize("text", [
-    PRETTY + PRETTY, PRETTY + "{}", PRETTY + "]", PRETTY.replace("},", "} x,", 1),
+    PRETTY + PRETTY, PRETTY + "{}", PRETTY + "]", PRETTY.replace("},\n    {", "} x,\n    {", 1),
     PRETTY[:-1] + "}", '[\n{"a": 0}\n{"a": 1}\n]', '{"a": 0}\n{"a": 1}', PRETTY[:-6],
 ])
 @pytest.mark.parametrize("whole_file", [False, True])

@@ -1,0 +1,242 @@
+"""Files split at any byte: quoted line breaks and JSON arrays against readers of whole files."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from targetlens.sources import delimited, pieces, records
+
+BLOCK_SIZE = "spark.sql.files.maxPartitionBytes"
+OPEN_COST = "spark.sql.files.openCostInBytes"
+
+
+@pytest.fixture(params=[40, 1_000, 1 << 20])
+def block_bytes(spark, request):
+    before = {name: spark.conf.get(name) for name in (BLOCK_SIZE, OPEN_COST)}
+    spark.conf.set(BLOCK_SIZE, str(request.param))
+    spark.conf.set(OPEN_COST, "0")
+    yield request.param
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def whole(spark, path, separator):
+    """Spark's own reader of quoted line breaks, a task per file."""
+    options = {"sep": separator, "escape": '"', "header": True, "multiLine": True}
+    found = spark.read.options(**options, mode="FAILFAST", columnPruning=False).csv(path)
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+def spelled(rng, cell, separator):
+    """A cell as text: quoted where it must be, else sometimes; quotes within may stand bare."""
+    must = separator in cell or "\n" in cell or "\r" in cell or cell.startswith('"')
+    if must or rng.random() < 0.4:
+        return '"' + cell.replace('"', '""') + '"' + rng.choice(["", "", " "])
+    return cell
+
+
+def table_text(rng, separator, rows, line_end="\n"):
+    alphabet = ["a", "bc", '"', '""', separator, "\n", "\r\n", " x", "é", "'", "\\"]
+    lines = [f'one{separator}"two"{separator}three']
+    for number in range(rows):
+        cells = ["".join(rng.choices(alphabet, k=rng.randint(0, 9))) for _ in range(2)]
+        lines.append(separator.join([str(number), *[spelled(rng, c, separator) for c in cells]]))
+    return line_end.join(lines) + line_end * rng.randint(0, 1)
+
+
+@pytest.mark.parametrize("separator", ["\t", ",", "|"])
+def test_random_quoting_reads_as_by_whole_files(spark, tmp_path, block_bytes, separator):
+    rng = random.Random(f"{separator}{block_bytes}")
+    for number in range(6):
+        text = table_text(rng, separator, rng.choice([0, 1, 5, 40]))
+        (tmp_path / f"{number}.txt").write_bytes(text.encode())
+    found = delimited.read_delimited(
+        spark, str(tmp_path), separator=separator, missing=(), multi_line=True
+    )
+    assert found.columns == ["one", "two", "three"]
+    assert sorted(map(tuple, found.collect()), key=repr) == whole(spark, str(tmp_path), separator)
+
+
+def test_carriage_returns_end_lines_and_stay_in_cells(spark, tmp_path, block_bytes):
+    text = 'a\tb\r\n1\t"x\r\ny"\r\n2\t"p\rq"\r\n\r\n3\t"""\n"""\r\n4\tplain'
+    (tmp_path / "crlf.tsv").write_bytes(text.encode())
+    found = delimited.read_delimited(spark, str(tmp_path), multi_line=True).collect()
+    assert sorted(map(tuple, found)) == [
+        ("1", "x\r\ny"), ("2", "p\rq"), ("3", '"\n"'), ("4", "plain"),
+    ]
+
+
+def test_one_cell_over_many_blocks(spark, tmp_path, block_bytes):
+    cell = "\n".join(f'line {i}, ""quoted""' for i in range(300))
+    (tmp_path / "one.csv").write_text(f'a,b\n1,"{cell}"\n2,x\n')
+    found = delimited.read_csv(spark, str(tmp_path), multi_line=True).collect()
+    assert sorted(map(tuple, found)) == [("1", cell.replace('""', '"')), ("2", "x")]
+
+
+def test_a_header_over_two_lines(spark, tmp_path, block_bytes):
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.csv").write_text(f'\n"a\nb",c\n{name},"1\n2"\n')
+    found = delimited.read_csv(spark, str(tmp_path), multi_line=True)
+    assert found.columns == ["a\nb", "c"]
+    assert sorted(map(tuple, found.collect())) == [("one", "1\n2"), ("two", "1\n2")]
+
+
+@pytest.mark.parametrize("text, error", [
+    ('a,b\n1,"open\n2,x\n', "not closed"),
+    ('a,b\n1,"x\ny",2\n', "(?i)malformed"),
+    ('a,b\n1\n2,"x\ny"\n', "(?i)malformed"),
+])
+def test_broken_quoting_is_an_error(spark, tmp_path, text, error):
+    (tmp_path / "bad.csv").write_text(text)
+    with pytest.raises(Exception, match=error):
+        delimited.read_csv(spark, str(tmp_path), multi_line=True).collect()
+
+
+def test_unequal_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('a,b\n1,"x\ny"\n')
+    (tmp_path / "two.csv").write_text('b,a\n1,"x\ny"\n')
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_csv(spark, str(tmp_path), multi_line=True).collect()
+
+
+def test_files_without_rows_or_breaks(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert delimited.read_csv(spark, str(tmp_path), multi_line=True).collect() == []
+    (tmp_path / "header.csv").write_text('a,"b"\n')
+    assert delimited.read_csv(spark, str(tmp_path), multi_line=True).collect() == []
+    (tmp_path / "plain.csv").write_text('a,b\n1,"x"\n')
+    found = delimited.read_csv(spark, str(tmp_path), multi_line=True)
+    assert [tuple(row) for row in found.collect()] == [("1", "x")]
+    # Without a break inside a cell nothing is shuffled.
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quoted_breaks_in_stacked_files_keep_the_order_of_the_files(spark, tmp_path, block_bytes):
+    first, second = str(tmp_path / "one.tsv"), str(tmp_path / "two.tsv")
+    rows = [f'{i % 7}\t"first\n{i}"' for i in range(60)]
+    (tmp_path / "one.tsv").write_text("k\tv\n" + "\n".join(rows))
+    (tmp_path / "two.tsv").write_text('v\tk\n"second\n0"\t3\n"second\n1"\t9\n')
+    stacked = delimited.read_stacked(spark, [first, second], multi_line=True)
+    order = F.struct(*delimited.ORDER_COLUMNS)
+    found = stacked.groupBy("k").agg(F.min_by("v", order).alias("v")).collect()
+    wanted = {str(i): f"first\n{i}" for i in range(7)} | {"9": "second\n1"}
+    assert {row.k: row.v for row in found} == wanted
+
+
+def test_partition_columns_stay_with_their_records(spark, tmp_path, block_bytes):
+    for part in ("x", "y"):
+        folder = tmp_path / f"part={part}"
+        folder.mkdir()
+        (folder / "file.csv").write_text(f'a,b\n{part},"1\n2"\n{part},3\n')
+    found = delimited.read_csv(spark, str(tmp_path), multi_line=True).collect()
+    assert sorted(map(tuple, found)) == [
+        ("x", "1\n2", "x"), ("x", "3", "x"), ("y", "1\n2", "y"), ("y", "3", "y"),
+    ]
+
+
+def test_a_large_file_with_breaks_is_read_by_many_tasks(spark, tmp_path, block_bytes):
+    if block_bytes != 1_000:
+        pytest.skip("one block size is enough")
+    rows = [f'{i},"line {i}\nand ""more"", in it"' for i in range(2_000)]
+    (tmp_path / "large.csv").write_text("a,b\n" + "\n".join(rows))
+    scanned = pieces.scan(spark, str(tmp_path), "\n")
+    assert scanned.rdd.getNumPartitions() > 20
+    found = delimited.read_csv(spark, str(tmp_path), {"a": "int"}, multi_line=True).collect()
+    assert sorted(row.a for row in found) == list(range(2_000))
+    assert {row.b for row in found} == {f'line {i}\nand "more", in it' for i in range(2_000)}
+
+
+# JSON arrays
+
+RECORD = {"a": 0, "b": 'x }, { "q\\ [', "c": [{"d": [1, 2]}, {"d": []}], "e": "]}"}
+
+
+def layouts(rows):
+    compact = json.dumps(rows, separators=(",", ":"))
+    pretty = json.dumps(rows, indent=2)
+    each = [json.dumps(row) for row in rows]
+    return {
+        "one line": compact,
+        "crlf": pretty.replace("\n", "\r\n"),
+        "braces on one line": pretty.replace("},\n  {", "}, {"),
+        "comma first": "[" + "\n, ".join(each) + "\n]\n",
+        "blanks": " \n[ " + " ,\t".join(each) + " \r\n] \n",
+        "escapes": compact.replace("\\\\", "\\u005c").replace("}", "}"),
+    }
+
+
+SCHEMA = "a int, b string, c array<struct<d: array<int>>>, e string"
+
+
+@pytest.mark.parametrize("layout", layouts([]))
+def test_every_layout_reads_as_by_a_json_parser(spark, tmp_path, block_bytes, layout):
+    rng = random.Random(layout)
+    texts = ['}', '{', '"', "\\", "[", "]", ",", "a\nb", "é", '\\"}']
+    rows = [
+        RECORD | {"a": i, "b": "".join(rng.choices(texts, k=rng.randint(0, 12)))}
+        for i in range(60)
+    ]
+    (tmp_path / "array.json").write_text(layouts(rows)[layout], newline="")
+    found = records.read_json_array(spark, str(tmp_path), SCHEMA).collect()
+    found = sorted((row.asDict(recursive=True) for row in found), key=lambda row: row["a"])
+    assert found == rows
+
+
+def test_a_long_array_on_one_line_is_read_by_many_tasks(spark, tmp_path, block_bytes):
+    if block_bytes != 1_000:
+        pytest.skip("one block size is enough")
+    rows = [RECORD | {"a": i} for i in range(1_500)]
+    path = tmp_path / "array.json"
+    path.write_text(json.dumps(rows))
+    assert pieces.scan(spark, str(path), "}").rdd.getNumPartitions() > 50
+    found = records.read_json_array(spark, str(path), SCHEMA)
+    assert sorted(row.a for row in found.collect()) == list(range(1_500))
+
+
+@pytest.mark.parametrize("style", ["one line", "crlf", "comma first"])
+def test_an_array_cut_off_anywhere_is_an_error(spark, tmp_path, style):
+    text = layouts([{"a": 1, "b": "]"}, {"a": 2, "c": [{"d": [1]}]}])[style].rstrip()
+    folders = []
+    for end in range(len(text)):
+        folder = tmp_path / str(end)
+        folder.mkdir()
+        (folder / "array.json").write_text(text[:end], newline="")
+        folders.append(str(folder))
+    every = 1 if style == "one line" else 7
+    for folder in folders[::every]:
+        with pytest.raises(Exception):
+            records.read_json_array(spark, folder, SCHEMA).collect()
+    # One file that is cut off is not lost among whole ones.
+    (tmp_path / "0" / "array.json").write_text(text, newline="")
+    (tmp_path / "0" / "other.json").write_text(text[:-1], newline="")
+    with pytest.raises(Exception):
+        records.read_json_array(spark, folders[0], SCHEMA).collect()
+
+
+@pytest.mark.parametrize("text", [
+    "", " \n", "{}", "5", '"[]"', "[5]", '["x"]', '[{"a":1},]', '[,{"a":1}]', '[{"a":1}{"a":2}]',
+    '[{"a":1}]}', '[{"a":1}][]', '[[{"a":1}]]', '{"a":[{"a":1}]}', '[{"a":1},5]', '[{"a":1},{}',
+    '[{"a":1 2}]', "[{'a':1}]", '[{"a":1}] x',
+])
+def test_what_is_no_array_of_records_is_an_error(spark, tmp_path, text):
+    (tmp_path / "array.json").write_text(text)
+    for options in ({}, {"whole_file": True}):
+        with pytest.raises(Exception):
+            records.read_json_array(spark, str(tmp_path), "a int", **options).collect()
+
+
+@pytest.mark.parametrize("text", ["[]", " [ \n] \n", "[{}]"])
+def test_arrays_without_fields(spark, tmp_path, text):
+    (tmp_path / "array.json").write_text(text)
+    found = records.read_json_array(spark, str(tmp_path), "a int").collect()
+    assert len(found) == text.count("{")
+
+
+def test_compressed_arrays_are_read(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(json.dumps([{"a": 1}, {"a": 2}]).encode()))
+    found = records.read_json_array(spark, str(tmp_path), "a int").collect()
+    assert sorted(row.a for row in found) == [1, 2]
