@@ -62,7 +62,7 @@ class Packer:
         if whole < len(ids):
             self._place(Piece(row, whole, ids[whole:], len(ids)))
         if int(self.levels.sum()) > self.most_open:
-            self.drain(last=False)
+            self.drain(self.most_open // 2)
 
     def best_level(self, size: int) -> int:
         """The level (0: a new window) whose use by ``size`` more tokens gives the smallest sum of
@@ -94,27 +94,35 @@ class Packer:
             self.open.setdefault(level, []).append(window)
             self.levels[level] += 1
 
-    def drain(self, last: bool) -> None:
-        """Fill windows with what the open ones hold, cutting where one ends.
+    def drain(self, most: int) -> None:
+        """Leave at most so many windows open: the fullest are filled up from the emptiest.
 
-        What remains stays open, or, at the end, is cut into powers of two, which need no padding.
+        What a window holds stays in it, and only the last piece it is given may be cut. Where none
+        may stay open, the rest of the last one is cut into powers of two, which need no padding.
         """
-        held = [p for level in sorted(self.open, reverse=True) for w in self.open[level] for p in w]
+        held = [[level, w] for level in sorted(self.open) for w in self.open[level]]
         self.open.clear()
         self.levels[:] = 0
-        window, free = [], self.length
-        for piece in held:
-            while len(piece.ids) >= free:
-                first, piece = piece.cut(free)
-                self.closed.append([*window, first])
-                window, free = [], self.length
-            if len(piece.ids):
-                window.append(piece)
-                free -= len(piece.ids)
-        if window and not last:
-            self._put(window, self.length - free)
-        elif window:
-            self._in_powers(window, self.length - free)
+        low, high = 0, len(held) - 1
+        while high - low + 1 > most and low < high:
+            full, giver = held[high], held[low]
+            piece = giver[1].pop()
+            if len(piece.ids) > self.length - full[0]:
+                piece, rest = piece.cut(self.length - full[0])
+                giver[1].append(rest)
+            full[1].append(piece)
+            full[0] += len(piece.ids)
+            giver[0] -= len(piece.ids)
+            if full[0] == self.length:
+                self.closed.append(full[1])
+                high -= 1
+            if not giver[0]:
+                low += 1
+        for level, window in held[low : high + 1]:
+            if most or level == self.length:
+                self._put(window, level)
+            elif level:
+                self._in_powers(window, level)
 
     def _in_powers(self, window: list[Piece], total: int) -> None:
         while total:
@@ -149,7 +157,8 @@ def packed(
 
     A null or empty text is one ``end_id``. Null and repeated ids are packed like others, equal rows
     each on their own. Extra columns are left out. An empty table gives no pieces. A task's open
-    windows are at most ``MOST_OPEN``. Sequence ids differ between tasks and stay the same when a
+    windows are at most ``MOST_OPEN``: beyond it, and at its end, the fullest are filled up with
+    what the emptiest hold. Sequence ids differ between tasks and stay the same when a
     task reads its rows in the same order again.
     """
     encoder = WorkerEncoder(docs.sparkSession, path)
@@ -168,7 +177,7 @@ def packed(
             yield _rows(packer.closed, sequence, kind_of_id)
             sequence += len(packer.closed)
             packer.closed.clear()
-        packer.drain(last=True)
+        packer.drain(0)
         yield _rows(packer.closed, sequence, kind_of_id)
 
     narrow = docs.select(

@@ -1,9 +1,10 @@
 """Token ids of a public vocabulary, as its library gives them, for very many short strings.
 
-Chunks between blanks, tabs and line ends never share a token, so each distinct chunk is encoded
-once and remembered. Chunks of ordinary letters are cut into pre-tokens here; a pre-token that is
-proved to be one token needs no library call, and the rest are merged by the library, many at a
-time. Any other chunk goes to the library as it is, special strings included.
+Pieces between blanks, tabs and line ends never share a token, so each distinct one is encoded once
+and remembered. Texts of ordinary letters are put in lower case and parted at full stops and commas
+too, where those stand alone, so that nearly all pieces are pre-tokens. A pre-token that is proved
+to be one token needs no library call, and the rest are merged by the library, many at a time. A
+piece of other letters goes to the library as it is, special strings included.
 """
 
 from __future__ import annotations
@@ -19,17 +20,21 @@ from tokenizers import Tokenizer
 
 from targetlens.llm.common import Recent
 
-MOST_CHUNKS = 300_000
-MOST_WORDS = 200_000
+MOST_CHUNKS = 350_000
 AT_ONCE = 2_000
 
 # Letters that normalisation leaves alone but for simple lower-casing.
 LETTERS = "a-zßà-öø-įĳ-ňŋ-ž"
-PLAIN = re.compile("[!-~À-ÖØ-öø-įĲ-ňŊ-ž]*")
+PLAIN_SIGNS = "!-~À-ÖØ-öø-įĲ-ňŊ-ž"
+PLAIN = re.compile(f"[{PLAIN_SIGNS}]*")
+PLAIN_TEXT = re.compile(f"[{PLAIN_SIGNS} \\n\\t\\r]*")
+# Signs that stand together are one pre-token.
+TOGETHER = re.compile("[!-/:-@[-`{-~][!-/:-@[-`{-~]")
 # Fixed value: the vocabulary's rule for pre-tokens, for plain chunks in lower case.
 PRE_TOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
+SPECIAL = "<|"
 
 
 def chunks_of(text: str) -> list[str]:
@@ -66,7 +71,7 @@ def packed(ids: Iterable[int]) -> bytes:
 
 
 class Encoder:
-    """Ids of chunks as little-endian unsigned 32-bit numbers, remembered within a bound."""
+    """Ids of texts as little-endian unsigned 32-bit numbers; pieces are remembered within a bound."""
 
     def __init__(self, path: str, whole: dict[str, int]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,48 +79,54 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 2, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.chunks = Recent(MOST_CHUNKS)
-        self.words = Recent(MOST_WORDS, {word: packed([i]) for word, i in whole.items()})
+        self.recent = Recent(MOST_CHUNKS, {word: packed([i]) for word, i in whole.items()})
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, one after the other."""
-        split = [chunks_of(text) for text in texts]
-        self._learn(self.chunks.missing(set().union(*split)))
-        known = self.chunks.known.__getitem__
+        split, unlike = [], set()
+        for text in texts:
+            if not PLAIN_TEXT.fullmatch(text) or SPECIAL in text:
+                split.append(chunks_of(text))
+                unlike.update(split[-1])
+                continue
+            text = text.lower()
+            if not TOGETHER.search(text):
+                text = text.replace(",", " , ").replace(".", " . ")
+            split.append(text.split())
+        self._learn(self.recent.missing(set().union(*split)), unlike)
+        known = self.recent.known.__getitem__
         return [b"".join(map(known, chunks)) for chunks in split]
 
-    def _learn(self, chunks: list[str]) -> None:
-        known, single, split = self.chunks.known, [], {}
+    def _learn(self, chunks: list[str], unlike: set[str]) -> None:
+        """Ids of chunks, which are plain and in lower case but for those of ``unlike`` texts."""
+        known, words, mixed = self.recent.known, [], {}
         for chunk in chunks:
-            if not PLAIN.fullmatch(chunk) or "<|" in chunk:
-                known[chunk] = self._alone(chunk)
-                continue
-            parts = PRE_TOKENS.findall(chunk.lower())
-            if len(parts) == 1:
-                single.append((chunk, parts[0]))
+            if chunk in unlike:
+                if not PLAIN.fullmatch(chunk) or SPECIAL in chunk:
+                    known[chunk] = self._alone(chunk)
+                else:
+                    mixed[chunk] = PRE_TOKENS.findall(chunk.lower())
+            elif chunk.isalpha():
+                words.append(chunk)
             else:
-                split[chunk] = parts
-        wanted = {word for _, word in single}
-        for parts in split.values():
-            wanted.update(parts)
-        self._merge(self.words.missing(wanted))
-        words = self.words.known
-        known.update([(chunk, words[word]) for chunk, word in single])
-        known.update([(chunk, b"".join([words[w] for w in parts])) for chunk, parts in split.items()])
+                mixed[chunk] = PRE_TOKENS.findall(chunk)
+        parts = set().union(*mixed.values()).difference(known)
+        self._merge([*words, *parts.difference(words)])
+        known.update([(chunk, b"".join([known[w] for w in mixed[chunk]])) for chunk in mixed])
 
     def _alone(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _merge(self, words: list[str]) -> None:
         """Ids of pre-tokens, many in one call: a token that ends a word ends its pre-token."""
-        known = self.words.known
+        known = self.recent.known
         for start in range(0, len(words), AT_ONCE):
             some = words[start : start + AT_ONCE]
             ids = self.library.encode(" ".join(some), add_special_tokens=False).ids
             ids = np.array(ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(some) or (len(ids) and stops[-1] != len(ids)):
-                self.words.known.update((word, self._alone(word)) for word in some)
+                known.update((word, self._alone(word)) for word in some)
                 continue
             first = 0
             for word, stop in zip(some, stops.tolist(), strict=True):

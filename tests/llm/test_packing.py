@@ -43,9 +43,21 @@ def test_ids_are_the_library_s(encoder, parts):
     assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == library_ids(text)
 
 
+COMMON = st.one_of(
+    st.sampled_from("abcXYZéÉßñŁ'' \n\t09..,,;<|>&"),
+    st.sampled_from(["'re", "'LL", " the ", "word. ", "Ende, ", "x.y", "it's, ", "3.5", "...", "<|"]),
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(parts=st.lists(COMMON, max_size=60))
+def test_ids_of_common_letters_are_the_library_s(encoder, parts):
+    text = "".join(parts)
+    assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == library_ids(text)
+
+
 def test_bounds_on_what_is_remembered_change_nothing(monkeypatch):
     monkeypatch.setattr("targetlens.llm.tokenizer.MOST_CHUNKS", 3)
-    monkeypatch.setattr("targetlens.llm.tokenizer.MOST_WORDS", 2)
     encoder = Encoder(PATH, whole_tokens(PATH))
     for _, text in TEXTS * 2:
         ids = encoder.ids([text or ""])[0]
@@ -120,7 +132,7 @@ def test_many_open_windows_are_drained():
     for row, ids in wanted.items():
         packer.add(row, ids)
         assert packer.levels.sum() <= 4
-    packer.drain(last=True)
+    packer.drain(0)
     held = defaultdict(dict)
     for window in packer.closed:
         size = sum(len(p.ids) for p in window)
@@ -131,6 +143,24 @@ def test_many_open_windows_are_drained():
         assert sum((held[row][s] for s in sorted(held[row])), []) == ids.tolist()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_open_windows_are_filled_up_and_not_cut_anew(seed):
+    packer = Packer()
+    rng = np.random.default_rng(seed)
+    sizes = np.minimum(rng.lognormal(6, 1, 3_000).astype(int) + 1, 4_000)
+    for row, size in enumerate(sizes):
+        packer.add(row, np.zeros(size, np.uint32))
+    opened = [{p.row for p in w} for level in packer.open.values() for w in level]
+    closed = len(packer.closed)
+    packer.drain(0)
+    cuts = sum(p.start > 0 for window in packer.closed for p in window)
+    # At most one cut for a window that is filled up, and some for the powers of two of the last.
+    assert cuts <= len(packer.closed) - closed + 12
+    kept = [{p.row for p in w} for w in packer.closed[closed:]]
+    whole = sum(any(held <= window for window in kept) for held in opened)
+    assert whole >= len(kept) - 13
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_token_counts(spark, name):
     path = public_tokenizers.path(name)
