@@ -24,6 +24,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plainly_named(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns ``c0``, ``c1`` and so on, and these names by those they had.
+
+    Operators that add columns of their own meet no clashing or awkward names in it.
+    """
+    names = {name: f"c{place}" for place, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def fold(id_column: Column, folds: int) -> Column:
     """The fold of a document: crc32 of its id as text; a null id is in fold 0."""
     return F.coalesce(F.crc32(id_column.cast("string")) % folds, F.lit(0))
@@ -87,23 +96,27 @@ class Recent:
         return left
 
 
-def pieces(batches: Iterable[pa.RecordBatch], most_bytes: int = 4_000_000) -> Iterable:
-    """Arrow batches with a column ``text``, cut so that the texts of one stay within a size.
+def pieces(
+    batches: Iterable[pa.RecordBatch],
+    most_bytes: int = 4_000_000,
+    text_of: Callable[[pa.RecordBatch], pa.Array] = lambda batch: batch.column("text"),
+) -> Iterable:
+    """Arrow batches with texts, cut so that the texts of one stay within a size.
 
     A longer text is a piece of its own. Gives each piece and its texts.
     """
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(text_of(batch)), 0).to_pylist()
         start, total = 0, 0
         for row, size in enumerate(sizes):
             if row > start and total + size > most_bytes:
                 piece = batch.slice(start, row - start)
-                yield piece, piece.column("text").to_pylist()
+                yield piece, text_of(piece).to_pylist()
                 start, total = row, 0
             total += size
         if start < len(sizes):
             piece = batch.slice(start)
-            yield piece, piece.column("text").to_pylist()
+            yield piece, text_of(piece).to_pylist()
 
 
 def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:

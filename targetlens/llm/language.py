@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from targetlens.functions.flags import quoted
-from targetlens.llm.common import Recent, columns, pieces, saved
+from targetlens.llm.common import columns, pieces, saved
 
 # Bounds of the model: labelled rows per language (as an expectation), the smallest counts of a
 # word and of an n-gram, the longest n-gram.
@@ -27,8 +27,19 @@ MOST_EVIDENCE = 30.0
 UNKNOWN = "und"
 EDGE = "_"
 WORD = re.compile(r"[^\W\d_]+")
-PIECE_BYTES = 4_000_000
-MOST_CHUNKS = 200_000
+PIECE_BYTES = 1_000_000
+MOST_CHUNKS = 100_000
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters; the pattern alone would take other numerals than digits for letters."""
+    found = []
+    for run in WORD.findall(text):
+        if run.isalpha():
+            found.append(run)
+        else:
+            found += "".join([c if c.isalpha() else " " for c in run]).split()
+    return found
 
 
 @dataclass
@@ -56,7 +67,11 @@ class Model:
 
 
 class Scorer:
-    """Scores of chunks between white space, remembered within a bound."""
+    """Scores of chunks between white space, remembered within a bound.
+
+    A chunk's scores over its words, and their number, are a row of a table. When the table is full
+    it is kept while the next one fills, so chunks in use are copied and not worked out again.
+    """
 
     @classmethod
     def of(cls, model: Model) -> Scorer:
@@ -67,32 +82,46 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        # A chunk's scores over its words, and their number, as bytes.
-        self.recent = Recent(MOST_CHUNKS)
+        self.known: dict[str, int] = {}
+        self.before: dict[str, int] = {}
+        self.table = self.old_table = np.zeros((0, len(model.languages) + 1), np.float32)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score of each text; both are ``und`` and 0 without letters or languages."""
         split = [text.lower().split() for text in texts]
-        self._learn(self.recent.missing(set().union(*split)))
+        self._learn(set().union(*split))
         found = [self._best(chunks) for chunks in split]
         return [language for language, _ in found], [score for _, score in found]
 
-    def _learn(self, chunks: list[str]) -> None:
-        known, score = self.recent.known, self.model.word_score
-        none = np.zeros(len(self.model.languages) + 1, np.float32)
-        for chunk in chunks:
-            row = none.copy()
-            for word in WORD.findall(chunk):
+    def _learn(self, chunks: set[str]) -> None:
+        """Rows for the chunks that have none."""
+        if len(self.known) > MOST_CHUNKS:
+            self.before, self.old_table = self.known, self.table[: len(self.known)]
+            self.known, self.table = {}, self.table[:0]
+        missing = list(chunks.difference(self.known))
+        first = len(self.known)
+        if first + len(missing) > len(self.table):
+            rows = max(first + len(missing), min(2 * len(self.table), MOST_CHUNKS))
+            table = np.zeros((rows, self.table.shape[1]), np.float32)
+            table[:first] = self.table[:first]
+            self.table = table
+        score = self.model.word_score
+        for number, chunk in enumerate(missing, first):
+            old = self.before.get(chunk)
+            if old is not None:
+                self.table[number] = self.old_table[old]
+                continue
+            row = self.table[number]
+            for word in words_of(chunk):
                 row[:-1] += score(word)
                 row[-1] += 1
-            known[chunk] = row.tobytes()
+        self.known.update(zip(missing, range(first, first + len(missing)), strict=True))
 
     def _best(self, chunks: list[str]) -> tuple[str, float]:
         if not chunks or not self.model.languages:
             return UNKNOWN, 0.0
-        rows = b"".join(map(self.recent.known.__getitem__, chunks))
-        rows = np.frombuffer(rows, np.float32).reshape(len(chunks), -1)
-        total = rows.sum(axis=0, dtype=np.float64)
+        rows = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        total = self.table[rows].sum(axis=0, dtype=np.float64)
         words = total[-1]
         if not words:
             return UNKNOWN, 0.0
@@ -196,13 +225,17 @@ def identified(docs: DataFrame, model: Model, text_column: str = "text") -> Data
     where the model has no language are ``und`` with score 0. ``score`` is the share of the best
     language among all, from 0 to 1. Ties go to the first language by name. One row in, one row
     out, whatever ids they have and whether they are equal; further columns stay in ``row``, so
-    that no name can clash.
+    that no name can clash. The text column is of strings.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_column)
+
+    def text_of(batch: pa.RecordBatch) -> pa.Array:
+        return batch["row"].field(place)
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer.of(shared.value)
-        for piece, texts in pieces(batches, PIECE_BYTES):
+        for piece, texts in pieces(batches, PIECE_BYTES, text_of):
             languages, scores = scorer.predict([text or "" for text in texts])
             yield columns(
                 row=piece["row"],
@@ -210,11 +243,11 @@ def identified(docs: DataFrame, model: Model, text_column: str = "text") -> Data
                 score=pa.array(scores, pa.float64()),
             )
 
+    # The text goes to the task once, within its row.
     every = F.struct(*[quoted(name) for name in docs.columns]).alias("row")
-    narrow = docs.select(every, quoted(text_column).cast("string").alias("text"))
     fields = [
         T.StructField("row", docs.schema, True),
         T.StructField("lang_pred", T.StringType(), True),
         T.StructField("score", T.DoubleType(), True),
     ]
-    return narrow.mapInArrow(identify, T.StructType(fields))
+    return docs.select(every).mapInArrow(identify, T.StructType(fields))

@@ -1,8 +1,11 @@
 """Held-out accuracy and awkward rows of language identification."""
 
+import math
 import random
+from collections import Counter
 
 import pytest
+import regex
 
 from targetlens.llm import language
 from targetlens.llm.common import fold
@@ -72,3 +75,85 @@ def test_empty_tables(spark, rows):
     found = language.identified(spark.createDataFrame(rows[:2], SCHEMA), model).collect()
     assert [(r.lang_pred, r.score) for r in found] == [("und", 0.0)] * 2
     assert language.identified(empty, model).collect() == []
+
+
+def scores_by_dictionaries(rows, texts):
+    """Language and score of each text from counts kept in dictionaries."""
+    counts, grams = Counter(), Counter()
+    for text, lang in {(text, lang) for _, text, lang in rows}:
+        counts.update((lang, word) for word in regex.findall(r"\p{L}+", text.lower()))
+    for (lang, word), number in counts.items():
+        for size in range(1, 6):
+            for i in range(len(word) + 3 - size):
+                grams[lang, f"_{word}_"[i : i + size]] += number
+    langs = sorted({lang for lang, _ in counts})
+
+    def logs(table, least, size_of):
+        totals = Counter()
+        for (_, item), number in table.items():
+            totals[item] += number
+        items = [item for item, total in totals.items() if total >= least]
+        found = {}
+        for size in set(map(size_of, items)):
+            some = [item for item in items if size_of(item) == size]
+            sums = [sum(table[lang, item] for item in some) + 0.5 * len(some) for lang in langs]
+            for item in some:
+                of = [math.log((table[g, item] + 0.5) / s) for g, s in zip(langs, sums, strict=True)]
+                found[item] = [x - sum(of) / len(of) for x in of]
+        return found
+
+    words, pieces = logs(counts, 2, lambda item: 0), logs(grams, 3, len)
+
+    def of_word(word):
+        if word in words:
+            return words[word]
+        for size in range(5, 0, -1):
+            whole = f"_{word}_" if size > 1 else word
+            known = [whole[i : i + size] for i in range(len(whole) - size + 1)]
+            known = [pieces[gram] for gram in known if gram in pieces]
+            if known:
+                return [sum(of) / len(known) for of in zip(*known, strict=True)]
+        return [0.0] * len(langs)
+
+    found = []
+    for text in texts:
+        parts = [of_word(word) for word in regex.findall(r"\p{L}+", (text or "").lower())]
+        if not parts:
+            found.append(("und", 0.0))
+            continue
+        sums = [sum(of) * min(1, 30 / len(parts)) for of in zip(*parts, strict=True)]
+        share = 1 / sum(math.exp(x - max(sums)) for x in sums)
+        found.append((langs[sums.index(max(sums))], share))
+    return found
+
+
+@pytest.mark.parametrize("most", [5, 100_000])
+def test_agrees_with_scores_by_dictionaries(spark, rows, monkeypatch, most):
+    monkeypatch.setattr(language, "MOST_CHUNKS", most)
+    rng = random.Random(7)
+    texts = [text for _, text, _ in rows[:60]]
+    texts += [" ".join(rng.sample("ba kust ñokö llbe x½ü ①ba² 12 q_ta é́ 語 Σας".split(), 6)) for _ in range(60)]
+    texts += ["½ ² ①", "", None, "12_", "ba½ku"]
+    model = language.fit(spark.createDataFrame(rows, SCHEMA))
+    wanted = scores_by_dictionaries(rows, texts)
+    scorer = language.Scorer(model)
+    for _ in range(2):
+        for start in range(0, len(texts), 10):
+            some = [text or "" for text in texts[start : start + 10]]
+            for got, want in zip(zip(*scorer.predict(some)), wanted[start : start + 10], strict=True):
+                assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=1e-4)
+
+
+def test_other_numerals_are_no_letters(spark, rows):
+    assert language.words_of("x½ü ①ba² ½²① 1_2") == ["x", "ü", "ba"]
+    model = language.fit(spark.createDataFrame(rows, SCHEMA))
+    docs = spark.createDataFrame([(1, "½ ² ①"), (2, "Ⅷ ⓐ")], "doc_id long, text string")
+    found = language.identified(docs, model).collect()
+    assert [(r.lang_pred, r.score) for r in found] == [("und", 0.0)] * 2
+
+
+def test_columns_may_clash(spark, rows):
+    model = language.fit(spark.createDataFrame(rows, SCHEMA))
+    docs = spark.createDataFrame([(1, "ba be", 2, 3)], "`a.b` long, text string, row int, score int")
+    found = language.identified(docs, model).select("row.*", "lang_pred").collect()
+    assert [tuple(r) for r in found] == [(1, "ba be", 2, 3, "aa")]
