@@ -103,6 +103,9 @@ def write_monolithic(records: DataFrame, path: str) -> None:
     raw.write.option("lineSep", END.decode()).option("compression", "gzip").text(path)
 
 
+CUT_OFF = "the archive is cut off"
+
+
 @dataclass
 class Record:
     """A record's headers by lower-case name, its body, and all its bytes with the end."""
@@ -140,16 +143,26 @@ class RecordReader:
             self.need = 0
             yield Record(headers, raw[start : stop], raw)
 
+    def close(self) -> None:
+        """A stream that ends within a record is an error."""
+        if self.held:
+            raise ValueError(CUT_OFF)
+
 
 def inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """The content of a gzip file, inflated once as a stream, whatever members it has."""
-    stream = zlib.decompressobj(MEMBER)
+    """The content of a gzip file, inflated once as a stream, whatever members it has.
+
+    A file that ends within a member is an error.
+    """
+    stream, ended = zlib.decompressobj(MEMBER), True
     for chunk in chunks:
         while chunk:
             yield stream.decompress(chunk)
-            chunk = stream.unused_data
-            if stream.eof:
+            chunk, ended = stream.unused_data, stream.eof
+            if ended:
                 stream = zlib.decompressobj(MEMBER)
+    if not ended:
+        raise ValueError(CUT_OFF)
 
 
 def _parts(content: pa.Scalar) -> Iterator[bytes]:
@@ -161,7 +174,7 @@ def _parts(content: pa.Scalar) -> Iterator[bytes]:
 def normalise(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite whole-file gzip archives so that every record is a member of its own.
 
-    Each archive is inflated once, by one task. ``target`` has a folder per archive with one file;
+    Each archive is inflated once, by one task; one that is cut off is an error. ``target`` has a folder per archive with one file;
     members are separated by empty members, which readers skip.
     """
 
@@ -175,6 +188,7 @@ def normalise(spark: SparkSession, source: str, target: str) -> None:
                         yield columns(
                             archive=pa.array([name] * len(members)), value=pa.array(members, pa.binary())
                         )
+                reader.close()
 
     rows = _archives(spark, source).mapInArrow(rewrite, "archive string, value binary")
     rows = rows.withColumn("value", F.col("value").cast("string"))
@@ -224,6 +238,9 @@ def members_of(content) -> Iterator[tuple[int, int, Record]]:
             part = data[at : at + READ_AT_ONCE]
             at += len(part)
             found += reader.feed(stream.decompress(part))
+        reader.close()
+        if not stream.eof:
+            raise ValueError(CUT_OFF)
         at -= len(stream.unused_data)
         for record in found:
             yield offset, at - offset, record

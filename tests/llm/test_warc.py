@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from targetlens.llm.warc import RecordReader, archived, inflated, member, members_of
+from targetlens.llm.warc import RecordReader, archived, inflated, member, members_of, normalise
 
 SCHEMA = "page_id long, url string, html string, archive string"
 BIG = "<p>é\r\n\r\nWARC/1.1\r\n" + "x" * 1_200
@@ -93,3 +93,28 @@ def test_streams_in_any_parts():
     assert found == records
     split = b"".join(member(r) + member(b"") for r in records)
     assert [r.raw for *_, r in members_of(split)] == records
+
+
+@pytest.mark.parametrize("kept", [0.3, 0.871, -1])
+def test_archives_that_are_cut_off_are_an_error(spark, tmp_path, kept):
+    records = [f"WARC/1.1\r\nContent-Length: {n}\r\n\r\n".encode() + b"x" * n + b"\r\n\r\n"
+               for n in range(50, 90)]
+    whole = gzip.compress(b"".join(records), mtime=0)
+    cut = whole[: int(kept * len(whole)) if kept > 0 else kept]
+    (tmp_path / "source").mkdir()
+    (tmp_path / "source" / "one.warc.gz").write_bytes(cut)
+    with pytest.raises(Exception, match="cut off"):
+        normalise(spark, str(tmp_path / "source"), str(tmp_path / "target"))
+    members = b"".join(map(member, records))
+    with pytest.raises(ValueError, match="cut off"):
+        list(members_of(members[: int(kept * len(members)) if kept > 0 else kept]))
+
+
+def test_a_record_that_is_cut_off_within_a_whole_stream_is_an_error(spark, tmp_path):
+    record = b"WARC/1.1\r\nContent-Length: 9\r\n\r\n123456789\r\n\r\n"
+    (tmp_path / "source").mkdir()
+    (tmp_path / "source" / "one.warc.gz").write_bytes(gzip.compress(record + record[:-6]))
+    with pytest.raises(Exception, match="cut off"):
+        normalise(spark, str(tmp_path / "source"), str(tmp_path / "target"))
+    with pytest.raises(ValueError, match="cut off"):
+        list(members_of(member(record) + member(record[:-6])))
