@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import glob
 import os
-from collections.abc import Iterator
+from collections import OrderedDict
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
 from urllib.parse import urlparse
@@ -34,6 +35,7 @@ BUCKET_BYTES = 4_000_000
 FEWEST_BITS, MOST_BITS = 5, 16
 FLUSH_TOKENS = 3_000_000
 PIECE_BYTES = 8_000_000
+MOST_MAPS = 128
 
 # Words never hold blanks, so these cannot be words.
 START = np.uint64(xxhash.xxh3_64_intdigest(b" start "))
@@ -277,6 +279,7 @@ class Model:
     tokens: int
     vocabulary: int
     pairs: int
+    files: tuple[int, int]
 
     def folder(self) -> str:
         """The model's folder as a path of the worker."""
@@ -319,6 +322,7 @@ def fit(
         tokens=words[7],
         vocabulary=words[1],
         pairs=words[6],
+        files=(pairs[-1], words[-1]),
     )
 
 
@@ -337,23 +341,54 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 def _totals(spark: SparkSession, path: str) -> list[int]:
     names = [f"h{i}" for i in range(HEADER)]
     heads = _files(spark, path).mapInArrow(_headers, ", ".join(f"{n} long" for n in names))
-    found = heads.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
-    return [int(found[n]) for n in names]
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
+    found = heads.agg(*sums, F.count(F.lit(1)).alias("files")).first()
+    return [int(found[n]) for n in (*names, "files")]
+
+
+class BucketFiles(Mapping):
+    """The files of a model's pairs or words by bucket, mapped into memory when asked for.
+
+    At most :data:`MOST_MAPS` are mapped at a time, those asked for last. A file that is missing is
+    an error, as where the model's folder cannot be seen from a worker.
+    """
+
+    def __init__(self, folder: str, unpack, number: int):
+        self.unpack, self.maps = unpack, OrderedDict()
+        found = glob.glob(f"{glob.escape(folder)}/bucket=*/part-*")
+        self.paths = {
+            int(path.rsplit("bucket=", 1)[1].split("/")[0]): path
+            for path in found
+            if os.path.getsize(path) >= 8 * HEADER
+        }
+        if len(self.paths) != number:
+            raise FileNotFoundError(f"{len(self.paths)} of {number} files of the model in {folder}")
+
+    def __contains__(self, bucket: object) -> bool:
+        return bucket in self.paths
+
+    def __iter__(self) -> Iterator[int]:
+        return iter(self.paths)
+
+    def __len__(self) -> int:
+        return len(self.paths)
+
+    def __getitem__(self, bucket: int):
+        if bucket in self.maps:
+            self.maps.move_to_end(bucket)
+        else:
+            while len(self.maps) >= MOST_MAPS:
+                self.maps.popitem(last=False)
+            self.maps[bucket] = self.unpack(np.memmap(self.paths[bucket], np.uint8, mode="r"))
+        return self.maps[bucket]
 
 
 @lru_cache(maxsize=2)
-def _mapped(model: Model) -> tuple[dict, dict]:
-    """The files of pairs and of words by bucket, mapped into memory."""
-    maps = []
-    for kind, unpack in (("pairs", unpack_pairs), ("words", unpack_words)):
-        found = {}
-        for folder in glob.glob(f"{glob.escape(model.folder())}/{kind}/bucket=*"):
-            for file in glob.glob(f"{glob.escape(folder)}/part-*"):
-                data = np.memmap(file, np.uint8, mode="r")
-                if len(data) >= 8 * HEADER:
-                    found[int(folder.rsplit("=", 1)[1])] = unpack(data)
-        maps.append(found)
-    return maps[0], maps[1]
+def _mapped(model: Model) -> tuple[BucketFiles, BucketFiles]:
+    return (
+        BucketFiles(f"{model.folder()}/pairs", unpack_pairs, model.files[0]),
+        BucketFiles(f"{model.folder()}/words", unpack_words, model.files[1]),
+    )
 
 
 def _word_stats(files: dict, words: np.ndarray, bits: int) -> np.ndarray:

@@ -109,3 +109,25 @@ def test_files_hold_sorted_hashes(spark):
         for a, b in zip(stops[:-1], stops[1:]):
             assert (second[a + 1 : b] > second[a : b - 1]).all()
     assert all((known[1:] > known[:-1]).all() for known, _ in words.values())
+
+
+def test_missing_files_are_an_error(spark, tmp_path):
+    docs = spark.createDataFrame([(*r, "x") for r in corpus()], SCHEMA)
+    model = kn.fit(docs, path=str(tmp_path / "model"))
+    file = sorted((tmp_path / "model").glob("pairs/bucket=*/part-*"))[3]
+    file.rename(tmp_path / "elsewhere")
+    with pytest.raises(Exception, match="files of the model"):
+        kn.scored(docs, model).collect()
+
+
+def test_few_files_are_mapped_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(*r, "x") for r in corpus()], SCHEMA)
+    model = kn.fit(docs)
+    texts = [text for _, text in corpus()]
+    wanted = kn.text_scores(model, texts, kn.WordHashes())
+    monkeypatch.setattr(kn, "MOST_MAPS", 2)
+    kn._mapped.cache_clear()
+    found = kn.text_scores(model, texts, kn.WordHashes())
+    assert all((found[name] == wanted[name]).all() for name in wanted)
+    assert max(len(files.maps) for files in kn._mapped(model)) == 2 < len(kn._mapped(model)[0])
+    kn._mapped.cache_clear()
