@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.functions.flags import quoted
-from targetlens.llm.common import lower_ascii, saved
+from targetlens.llm.common import lower_ascii, plainly_named, saved
 
 WINDOW = 13
 MOST_BROADCAST_BYTES = 64_000_000
@@ -59,7 +59,8 @@ def contamination(
     sorted ids, as text, of items with an occurring window; ``spans`` the word ranges hit, sorted.
 
     The windows' hash set is broadcast where it is known to be small, and joined by a shuffle
-    otherwise; either way each hit is verified on the words of its own row. Null or empty texts
+    otherwise; either way each hit is verified on the words of its own row. ``docs`` has no columns
+    ``_key``, ``_found``, ``_words``, ``_hits`` of its own; the functions below take any. Null or empty texts
     have no words and no hits. Rows with a null or repeated id are matched like any other. An empty
     benchmark hits nothing.
     """
@@ -145,18 +146,35 @@ def is_contaminated(percent: int = 5) -> Column:
     return (hit > 0) & (100 * hit >= percent * words)
 
 
-def without_documents(docs: DataFrame, benchmark: DataFrame, percent: int = 5, **columns):
-    """``docs`` without the contaminated ones; columns as given."""
-    found = contamination(docs, benchmark, **columns)
-    return found.where(~is_contaminated(percent)).select(*[quoted(n) for n in docs.columns])
+def without_documents(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    percent: int = 5,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    **options,
+) -> DataFrame:
+    """``docs`` without the contaminated ones; columns as given, whatever their names."""
+    plain, names = plainly_named(docs)
+    found = contamination(plain, benchmark, names[id_column], names[text_column], **options)
+    kept = found.where(~is_contaminated(percent))
+    return kept.select(*names.values()).toDF(*names)
 
 
 def without_spans(
-    docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **columns
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    **options,
 ) -> DataFrame:
-    """``docs`` with every hit word, and what stands between it and the next, cut from the text."""
-    found = contamination(docs, benchmark, text_column=text_column, **columns)
-    text, spans = quoted(text_column), F.col("_hits")["spans"]
+    """``docs`` with every hit word, and what stands between it and the next, cut from the text.
+
+    Columns are as given, whatever their names.
+    """
+    plain, names = plainly_named(docs)
+    found = contamination(plain, benchmark, names[id_column], names[text_column], **options)
+    text, spans = F.col(names[text_column]), F.col("_hits")["spans"]
     gaps = F.split(text, WORD, -1)
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     kept = F.transform(
@@ -167,4 +185,4 @@ def without_spans(
     )
     cut = F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, ""))
     cut = F.when(F.size(spans) > 0, cut).otherwise(text)
-    return found.withColumn(text_column, cut).select(*[quoted(n) for n in docs.columns])
+    return found.withColumn(names[text_column], cut).select(*names.values()).toDF(*names)

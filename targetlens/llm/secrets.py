@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from targetlens.functions.flags import quoted
-from targetlens.llm.common import let
+from targetlens.llm.common import let, plainly_named
 from targetlens.llm.trigrams import candidates, trigram_index, trigram_query
 
 BLOCK = 256
@@ -197,9 +197,12 @@ def redacted(
 ) -> DataFrame:
     """``docs`` with every secret replaced by its kind in brackets; all rows and columns stay.
 
-    Rules apply in their order, each to what the earlier ones left. Null texts stay null.
+    Rules apply in their order, each to what the earlier ones left. Null texts stay null. Columns
+    may have any names.
     """
-    marked = with_rules(docs, id_column, text_column, rules)
+    plain, names = plainly_named(docs)
+    text_column = names[text_column]
+    marked = with_rules(plain, names[id_column], text_column, rules)
 
     def rebuilt(gaps: Column, matches: Column, kind: str) -> Column:
         parts = F.zip_with(
@@ -223,4 +226,4 @@ def redacted(
     def applied(df: DataFrame, rule: Rule) -> DataFrame:
         return df.withColumn(text_column, without(quoted(text_column), rule))
 
-    return reduce(applied, rules, marked).select(*[quoted(name) for name in docs.columns])
+    return reduce(applied, rules, marked).select(*names.values()).toDF(*names)

@@ -21,7 +21,7 @@ def test_query_agrees_with_its_sql(spark, name):
 
 def test_all_are_registered():
     wanted = {*QUERIES, "pipeline"}
-    assert wanted <= set(queries()) and len(QUERIES) == 10
+    assert wanted <= set(queries()) and len(QUERIES) == 13
 
 
 @pytest.fixture(scope="module")
@@ -106,3 +106,20 @@ def test_near_dedup_without_repeated_rows_or_rows(spark):
     once = corpus_pipeline.near_dedup(spark, docs.limit(50), SMOKE_DIR).collect()
     found = corpus_pipeline.near_dedup(spark, twice, SMOKE_DIR).collect()
     assert sorted(found) == sorted(once)
+
+
+CLASHING = ["_key", "_found", "_hits", "_words", "_rules", "_row", "key", "c0", "c7", "a.b", "row", "first"]
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_keep_further_columns_whatever_their_names(spark, planted, number):
+    name, stage = corpus_pipeline.STAGES[number]
+    docs = spark.read.parquet(f"{planted}/documents.parquet")
+    docs = docs.union(docs.where("doc_id = 10001"))
+    more = docs.select("*", *[F.col("doc_id").alias(column) for column in CLASHING])
+    plain, wide = stage(spark, docs, planted), stage(spark, more, planted)
+    if name != "packing":
+        assert wide.columns == [*docs.columns, *CLASHING]
+        assert wide.where(F.col("`a.b`") != F.col("doc_id")).isEmpty()
+        wide = wide.select(docs.columns)
+    assert sorted(map(tuple, wide.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
