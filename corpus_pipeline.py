@@ -1,8 +1,8 @@
 """A training-data pipeline over ``documents``: language, near duplicates, benchmark, secrets, packing.
 
 Each stage is a function of (spark, docs, sf_dir) and works on all rows that the one before kept. All
-but the last give the columns of ``documents``. The steps between are Parquet tables in the shared
-folder.
+but the last give the columns of ``documents``, and further ones that they are given, whatever their
+names. The steps between are Parquet tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from targetlens.llm import language
-from targetlens.llm.common import saved
+from targetlens.llm.common import plainly_named, saved
 from targetlens.llm.decontaminate import without_documents
 from targetlens.llm.minhash import near_duplicates
 from targetlens.llm.packing import packed
@@ -39,21 +39,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows with equal id and text one stays, that with the smallest other columns. Rows without id
     are linked with nothing and stay.
     """
+    plain, names = plainly_named(docs)
+    doc_id, text = names["doc_id"], names["text"]
     # Equal for equal rows only, and in the order of the ids.
-    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text")))
-    found = near_duplicates(docs.select(key.alias("_key"), "text"), id_column="_key")
-    found = found.where("_key is not null").groupBy("_key")
+    row = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text"))
+    rows = plain.withColumn("key", F.when(F.col(doc_id).isNotNull(), row))
+    found = near_duplicates(rows.select("key", text), id_column="key", text_column=text)
+    found = found.where("key is not null").groupBy("key")
     marks = found.agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
     marks = saved(marks.where("not kept or times > 1"), "marks")
-    again = marks.where("kept").select("_key")
-    rows = docs.withColumn("_key", key)
-    single = rows.join(marks.select("_key"), "_key", "left_anti").select(docs.columns)
-    if again.isEmpty():
-        return single
-    others = [name for name in docs.columns if name not in ("doc_id", "text")]
-    again = rows.join(again, "_key", "left_semi").groupBy("doc_id", "text")
-    again = again.agg(F.min(F.struct(*others)).alias("_others"))
-    return single.unionByName(again.select("doc_id", "text", "_others.*"))
+    again = marks.where("kept").select("key")
+    single = rows.join(marks.select("key"), "key", "left_anti").select(*names.values())
+    if not again.isEmpty():
+        others = [name for name in names.values() if name not in (doc_id, text)]
+        again = rows.join(again, "key", "left_semi").groupBy(doc_id, text)
+        again = again.agg(F.min(F.struct(F.lit(0), *others)).alias("first"))
+        single = single.unionByName(again.select(doc_id, text, *[f"first.{n}" for n in others]))
+    return single.toDF(*names)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
