@@ -12,6 +12,7 @@ from targetlens.operators.joins import fold_left, inner_join, left_join
 from targetlens.operators.reduce import value_map
 from targetlens.operators.shape import stack_by_name
 from targetlens.sources import ontology
+from targetlens.storage import bucketed
 
 # ---------------------------------------------------------------- ontology made from part keys
 # Term k lies below terms k/2 and k/3. Some stanzas are obsolete, some are no terms.
@@ -101,23 +102,26 @@ def domain_go_sets(spark, sf_dir):
 ROOTS = ["GO:0000002", "GO:0000005", "GO:0000007", "GO:0000011"]
 
 
-def _below_sql(roots, key, source):
+def _below_sql(roots, key, source, divisors=(2, 3)):
     """Pairs of root and descendant as common table expressions, for keys of one table."""
+    steps = " UNION ".join(
+        f"SELECT {key}, {key} // {by} FROM {source} WHERE {key} >= {by}"
+        for by in divisors
+    )
     starts = ", ".join(f"('{root}', {int(root[3:])})" for root in roots)
     return f"""
-RECURSIVE steps(child, parent) AS (
-  SELECT {key}, {key} // 2 FROM {source} WHERE {key} > 0
-  UNION SELECT {key}, {key} // 3 FROM {source} WHERE {key} > 2),
+RECURSIVE steps(child, parent) AS ({steps}),
 reached(root, term) AS (
   SELECT * FROM (VALUES {starts}) AS starts(root, term)
   UNION SELECT root, child FROM reached JOIN steps ON parent = term),
 below AS (SELECT root, {numbered_sql('GO:', 'term', 7)} AS term FROM reached)"""
 
 
-def _steps(spark, sf_dir, name, key):
+def _steps(spark, sf_dir, name, key, divisors=(2, 3)):
+    """Terms for the numbers of a table; above each are its quotients."""
     number = F.col(key)
     parents = F.array_distinct(F.array(
-        F.when(number > 0, F.expr(f"{key} div 2")), F.when(number > 2, F.expr(f"{key} div 3"))
+        *[F.when(number >= by, F.expr(f"{key} div {by}")) for by in divisors]
     ))
     edges = table(spark, sf_dir, name).select(
         number.alias("number"), F.explode(F.array_compact(parents)).alias("above")
@@ -347,7 +351,7 @@ def family_rollup(spark, sf_dir):
     return criteria.family_rollup(_over_part(spark, sf_dir, FAMILY_INPUT))
 
 
-@query("""
+CRITERIA_FOLD = """
 SELECT c_custkey, c_name, orders, best_price, in_asia, balance
 FROM customer
 LEFT JOIN (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1) AS n
@@ -359,8 +363,10 @@ LEFT JOIN (SELECT c_custkey AS k, TRUE AS in_asia FROM customer
            WHERE r_name = 'ASIA') AS asia ON k = c_custkey
 LEFT JOIN (SELECT c_custkey AS b, c_acctbal AS balance FROM customer WHERE c_acctbal > 0) AS rich
   ON b = c_custkey
-""")
-def criteria_fold(spark, sf_dir):
+"""
+
+
+def _fold_inputs(spark, sf_dir):
     customers, orders, nation, region = (
         table(spark, sf_dir, name) for name in ("customer", "orders", "nation", "region")
     )
@@ -378,7 +384,20 @@ def criteria_fold(spark, sf_dir):
     )
     rich = customers.where("c_acctbal > 0").selectExpr("c_custkey", "c_acctbal AS balance")
     base = customers.select("c_custkey", "c_name")
-    return fold_left(base, [counts, best, asia, rich], "c_custkey")
+    return base, [counts, best, asia, rich]
+
+
+@query(CRITERIA_FOLD)
+def criteria_fold(spark, sf_dir):
+    return fold_left(*_fold_inputs(spark, sf_dir), "c_custkey")
+
+
+@query(CRITERIA_FOLD)
+def criteria_fold_bucketed(spark, sf_dir):
+    """Tables written once in buckets of their key, as a later run finds them."""
+    base, sides = _fold_inputs(spark, sf_dir)
+    base, *sides = [bucketed(df, "criterion", "c_custkey").table for df in (base, *sides)]
+    return fold_left(base, sides, "c_custkey", check=sides[:1])
 
 
 @query(f"""

@@ -148,6 +148,22 @@ def scan_roundtrip_array_chunks(spark, sf_dir):
     ).withColumn("chunk", F.col("chunk").cast("bigint"))
 
 
+@query("SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus, "
+       "'output_' || ((row_number() OVER (ORDER BY o_orderkey) - 1) // 9000 + 1) || '.json' AS file "
+       "FROM orders")
+def scan_roundtrip_named_chunks(spark, sf_dir):
+    path = fresh_path(spark, "named")
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "nullif(o_orderstatus, 'P') AS o_orderstatus"
+    )
+    sinks.write_array_chunks(rows, path, ["o_orderkey"], 9000, names="output_{}.json")
+    lines = spark.read.text(path).where("value not in ('[', ']')")
+    record = F.from_json(F.regexp_replace("value", ",$", ""), rows.schema, {"mode": "FAILFAST"})
+    return lines.select(record.alias("record"), F.col("_metadata.file_name").alias("file")).select(
+        "record.*", "file"
+    )
+
+
 def _array_lines(batches):
     """The lines of one JSON array of all records of a task; a task without records has none."""
     held = None
@@ -241,3 +257,13 @@ def mart_landed(spark, sf_dir):
     )
     wanted = {"c_mktsegment": "BUILDING,MACHINERY", "c_nationkey": 5}
     return mart.mart_select(landed, wanted, ["c_custkey", "c_name", "c_mktsegment"])
+
+
+@query("""
+SELECT l_returnflag, l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag IN ('A', 'R')
+""")
+def mart_landed_with_ids(spark, sf_dir):
+    columns = ["l_returnflag", "l_orderkey", "l_partkey", "l_quantity"]
+    rows, path = table(spark, sf_dir, "lineitem").select(*columns), fresh_path(spark, "mart")
+    landed = mart.land_mart(rows, path, "l_returnflag", ["l_orderkey", "l_partkey"])
+    return mart.mart_select(landed, {"l_returnflag": "A,R"}, columns)

@@ -63,28 +63,31 @@ def _family_inputs(spark, sf_dir):
     annotations = inner_join(lines, suppliers, "s_suppkey").select(
         F.col("l_partkey").cast("string").alias(fixed.GENE),
         numbered("IPR", F.col("s_suppkey"), 6).alias(fixed.DOMAIN),
-        F.expr("CASE WHEN s_suppkey % 10 <> 9 THEN s_name END").alias(fixed.DOMAIN_DESCRIPTION),
+        F.expr(DESCRIPTION).alias(fixed.DOMAIN_DESCRIPTION),
     )
     return {
         "annotations": annotations,
-        "domain_terms": domain_terms(_supplier_lines(suppliers)),
+        "domain_terms": domain_terms(supplier_lines(suppliers)),
         "below": descendants(
-            _steps(spark, sf_dir, "supplier", "s_suppkey"), list(FAMILY_ROOTS.values())
+            _steps(spark, sf_dir, "supplier", "s_suppkey", (10,)), list(FAMILY_ROOTS.values())
         ),
         "roots": FAMILY_ROOTS,
         "patterns": {"is_gpcr": GPCR},
     }
 
 
-def _supplier_lines(suppliers):
-    """A mapping line for every supplier; those with another remainder are malformed in turn."""
-    good, turn = F.expr("s_suppkey % 30 BETWEEN 5 AND 9"), F.col("s_suppkey") % 3
+MALFORMED = "s_suppkey % 50 IN (11, 27, 42)"
+
+
+def supplier_lines(suppliers):
+    """A mapping line for every supplier; six in a hundred are malformed, in three ways."""
+    bad, turn = F.expr(MALFORMED), F.col("s_suppkey") % 3
     text = F.concat(
-        F.when(~good & (turn == 0), "!").otherwise(""),
+        F.when(bad & (turn == 0), "!").otherwise(""),
         F.lit("InterPro:"),
-        F.when(~good & (turn == 1), "unknown").otherwise(numbered("IPR", F.col("s_suppkey"), 6)),
+        F.when(bad & (turn == 1), "unknown").otherwise(numbered("IPR", F.col("s_suppkey"), 6)),
         F.lit(" name"),
-        F.when(~good & (turn == 2), " > part").otherwise(""),
+        F.when(bad & (turn == 2), " > part").otherwise(""),
         F.lit(" > GO:term"), numbered(" ; GO:", F.col("s_suppkey"), 7),
     )
     return suppliers.select(text.alias("value"))
@@ -94,8 +97,8 @@ def _families(spark, sf_dir):
     return domain_criteria(**_family_inputs(spark, sf_dir))
 
 
-# Some genes meet each of these and some do not, at every scale; the domains whose number ends in 9
-# match the first root but have no description.
+# Each has about a ninth of the suppliers' numbers below it, so some genes meet it and some do not at
+# every scale; the domains whose number ends in 9 have no description.
 FAMILY_ROOTS = {
     "is_enzyme": "GO:0000004",
     "is_kinase": "GO:0000005",
@@ -110,41 +113,47 @@ def _evidence_sql(name, found, match, no_match):
          AS {name}_evidence, {found} <> '' AS {name}"""
 
 
-_HITS = ", ".join(
-    f"bool_or(root = '{root}') AS hit_{name}" for name, root in FAMILY_ROOTS.items()
-)
-_FOUND = ", ".join(
-    f"coalesce(string_agg(note, ', ' ORDER BY note) FILTER (hit_{name}), '') AS found_{name}"
-    for name in FAMILY_ROOTS
-)
-_FLAGS = ", ".join(
-    _evidence_sql(
-        name,
-        f"found_{name}",
-        f"Encodes protein with InterPro domain(s)  that are related to {root}: ",
-        f"Does not have InterPro domains related to {root}",
+def families_sql(shown, description, pattern):
+    """The criteria of all families as common table expressions; ``shown`` spells their roots."""
+    hits = ", ".join(
+        f"bool_or(root = '{root}') AS hit_{name}" for name, root in FAMILY_ROOTS.items()
     )
-    for name, root in FAMILY_ROOTS.items()
-)
-FAMILIES = f"""
-{_below_sql(list(FAMILY_ROOTS.values()), 's_suppkey', 'supplier')},
-hits AS (SELECT s_suppkey, {_HITS}
+    found = ", ".join(
+        f"coalesce(string_agg(note, ', ' ORDER BY note) FILTER (hit_{name}), '') AS found_{name}"
+        for name in FAMILY_ROOTS
+    )
+    flags = ", ".join(
+        _evidence_sql(
+            name,
+            f"found_{name}",
+            f"Encodes protein with InterPro domain(s)  that are related to {shown[name]}: ",
+            f"Does not have InterPro domains related to {shown[name]}",
+        )
+        for name in FAMILY_ROOTS
+    )
+    return f"""
+{_below_sql(list(FAMILY_ROOTS.values()), 's_suppkey', 'supplier', (10,))},
+hits AS (SELECT s_suppkey, {hits}
          FROM supplier JOIN below ON term = {numbered_sql('GO:', 's_suppkey', 7)}
-         WHERE s_suppkey % 30 BETWEEN 5 AND 9 GROUP BY s_suppkey),
+         WHERE NOT ({MALFORMED}) GROUP BY s_suppkey),
 rows AS (SELECT l_partkey::VARCHAR AS gene, s_suppkey, {numbered_sql('IPR', 's_suppkey', 6)}
-           || ' - ' || CASE WHEN s_suppkey % 10 <> 9 THEN s_name END AS note
+           || ' - ' || {description} AS note
          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
-by_term AS (SELECT gene, {_FOUND}
+by_term AS (SELECT gene, {found}
             FROM (SELECT DISTINCT * FROM rows) LEFT JOIN hits USING (s_suppkey) GROUP BY gene),
 by_name AS (SELECT gene, coalesce(string_agg(note, ', ' ORDER BY note)
-                     FILTER (regexp_matches(note, '{GPCR}')), '') AS found_is_gpcr
+                     FILTER (regexp_matches(note, '{pattern}')), '') AS found_is_gpcr
             FROM rows GROUP BY gene),
-families AS (SELECT gene, {_FLAGS}, {_evidence_sql(
+families AS (SELECT gene, {flags}, {_evidence_sql(
     'is_gpcr', 'found_is_gpcr', 'Encodes protein with InterPro domain(s): ',
     'Encodes protein that lacks InterPro GPCR domains')}
              FROM by_term JOIN by_name USING (gene))"""
 
-_FAMILY_COLUMNS = [
+
+DESCRIPTION = "CASE WHEN s_suppkey % 10 <> 9 THEN s_name END"
+FAMILIES = families_sql(FAMILY_ROOTS, DESCRIPTION, GPCR)
+
+FAMILY_COLUMNS = [
     "is_enzyme_evidence", "is_enzyme", "is_kinase_evidence", "is_kinase",
     "is_ion_channel_evidence", "is_ion_channel",
     "is_nuclear_receptor_evidence", "is_nuclear_receptor", "is_gpcr_evidence", "is_gpcr",
@@ -152,7 +161,7 @@ _FAMILY_COLUMNS = [
 
 
 @query(f"""
-WITH {FAMILIES} SELECT gene AS "Gene stable ID", {', '.join(_FAMILY_COLUMNS)} FROM families
+WITH {FAMILIES} SELECT gene AS "Gene stable ID", {', '.join(FAMILY_COLUMNS)} FROM families
 """)
 def family_criteria_table(spark, sf_dir):
     return _families(spark, sf_dir)
@@ -177,7 +186,7 @@ SELECT genes.gene AS "Gene stable ID", genome AS "Genome name",
   "lacks_WBP_human_orthologue", "lacks_WBP_human_orthologue_evidence",
   "best_WBP_human_orthologue_lt_40pct_identity",
   "best_WBP_human_orthologue_lt_40pct_identity_evidence",
-  {', '.join(_FAMILY_COLUMNS)},
+  {', '.join(FAMILY_COLUMNS)},
   {_ANY} AS is_privileged_target_family,
   CASE WHEN {_ANY} THEN 'Meets the following criteria: ' || concat_ws(', ', {_NAMES})
   ELSE 'Does not meet the following criteria:  ''is_enzyme'', ''is_kinase'', '

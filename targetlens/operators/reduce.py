@@ -102,26 +102,49 @@ def sum_copies(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
+# Bits of a positive long.
+_GROUPS_PER_WORD = 63
+
+
 def groups_per_value(
     df: DataFrame, value: str, group: str, groups: Sequence[str], name: str
 ) -> DataFrame:
     """A5: per value, the sorted distinct ``groups`` it occurs in.
 
-    The list is at most as long as ``groups``, so a hot value stays small.
+    A group is a bit of a number while rows are gathered, so a value is a row of a few numbers
+    however often it occurs; the names are spelled out at the end.
     """
-    allowed = [str(item) for item in groups]
+    allowed = list(dict.fromkeys(str(item) for item in groups))
+    words = [
+        allowed[i : i + _GROUPS_PER_WORD] for i in range(0, len(allowed), _GROUPS_PER_WORD)
+    ]
     wanted = df.where(~is_missing(df, value) & quoted(group).isin(allowed))
-    return wanted.groupBy(quoted(value)).agg(
-        F.array_sort(F.collect_set(quoted(group))).alias(name)
-    )
+    masks = [
+        F.bit_or(
+            F.coalesce(*[F.when(quoted(group) == g, F.lit(1 << bit)) for bit, g in enumerate(word)],
+                       F.lit(0)).cast("long")
+        ).alias(f"_groups{place}")
+        for place, word in enumerate(words)
+    ]
+    kind = df.schema[group].dataType
+    named = [
+        F.when(F.getbit(f"_groups{place}", F.lit(bit)) == 1, F.lit(g).cast(kind))
+        for place, word in enumerate(words)
+        for bit, g in enumerate(word)
+    ]
+    listed = F.array_sort(F.array_compact(F.array(*named))) if named else F.array().cast("array<string>")
+    counted = wanted.groupBy(quoted(value)).agg(*masks) if masks else wanted.select(quoted(value))
+    return counted.select(quoted(value), listed.alias(name))
 
 
 def value_map(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Long key/value rows as one sorted distinct list per key.
+    """Long key/value rows as one sorted distinct list per key; a missing value is in none.
 
-    For keys whose sets are small by nature; joins use the long rows themselves.
+    Pairs are made distinct first, by key and value, so the copies of a very frequent key are
+    dropped in many tasks, and the task that lists its values reads each of them once.
     """
-    return df.groupBy(quoted(key)).agg(F.array_sort(F.collect_set(quoted(value))).alias(name))
+    pairs = df.select(quoted(key), quoted(value)).distinct()
+    return pairs.groupBy(quoted(key)).agg(F.array_sort(F.collect_list(quoted(value))).alias(name))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

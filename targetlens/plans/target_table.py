@@ -22,7 +22,7 @@ from targetlens.sources.ontology import (
     ontology_edges,
     ontology_terms,
 )
-from targetlens.storage import written
+from targetlens.storage import bucketed, written
 
 
 def family_criteria(
@@ -91,7 +91,8 @@ def tables_from_mart(
     """Every table of a full run, from landed tables with mart attribute columns.
 
     ``mart`` holds the tables ``transcripts``, ``cds``, ``orthologues`` and ``domains``. Tables
-    that several results are made from are written to the shared folder once. The gene list and
+    that several results are made from are written to the shared folder once, in buckets of genes,
+    so that checking and folding them moves nothing. The gene list and
     the orthologue table must pass the quality checks. Results are sorted, the gene list and what
     is folded onto it by genome and gene, the others by gene.
     """
@@ -100,21 +101,19 @@ def tables_from_mart(
         name: mart_query(mart[name], name, genomes, headers)
         for name in fixed.PROTEIN_CODING_QUERIES
     }
-    genes = written(principal_transcripts(rows["transcripts"], rows["cds"]), "genes").table
-    orthologues = written(human_orthologue(rows["orthologues"]), "orthologues").table
+    genes = principal_transcripts(rows["transcripts"], rows["cds"])
+    genes = bucketed(genes, "genes", fixed.GENE).table
+    orthologues = bucketed(human_orthologue(rows["orthologues"]), "orthologues", fixed.GENE).table
     for table in (genes, orthologues):
         require(quality_report(table, fixed.GENE, least_genes))
-    families = written(
-        family_criteria(
-            rows["domains"],
-            domain_terms(mapping_lines),
-            ontology_edges(stanzas),
-            ontology_terms(stanzas),
-            ontology_alternates(stanzas),
-        ),
-        "families",
-    ).table
-    families = written(families.orderBy(fixed.GENE), "sorted").table
+    families = family_criteria(
+        rows["domains"],
+        domain_terms(mapping_lines),
+        ontology_edges(stanzas),
+        ontology_terms(stanzas),
+        ontology_alternates(stanzas),
+    )
+    families = bucketed(families, "families", fixed.GENE).table
     overall = family_rollup(fold_left(genes, [orthologues, families], fixed.GENE))
     overall = written(in_gene_order(overall), "overall").table
     by_flag = {

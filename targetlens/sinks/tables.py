@@ -6,6 +6,7 @@ asked for.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -121,10 +122,14 @@ def write_array_chunks(
     size: int = fixed.CHUNK_RECORDS,
     leave_out: Sequence[str] = (),
     mode: str = "errorifexists",
+    names: str | None = None,
 ) -> None:
     """K4 with one JSON array per chunk file, one record per line inside it.
 
-    ``order_by`` must identify a row; the ``leave_out`` columns are not written.
+    ``order_by`` must identify a row; the ``leave_out`` columns are not written. Chunks are folders
+    with one file each. With ``names``, such as ``output_{}.json``, the folder holds the files
+    themselves under these names, by number from 1: they take them when all are written, so a task
+    that runs again leaves none behind.
     """
     numbered = chunk_numbers(df, order_by, size)
     total = numbered.agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
@@ -135,7 +140,37 @@ def write_array_chunks(
     ends = (place % size == size - 1) | (place == total - 1)
     line = F.concat(opens, record, F.when(ends, "\n]").otherwise(","))
     lines = _written_by_chunk(numbered.select("chunk", "position", line.alias("value")))
-    lines.drop("position").write.mode(mode).partitionBy("chunk").text(path)
+    lines = lines.drop("position")
+    if names is None:
+        lines.write.mode(mode).partitionBy("chunk").text(path)
+    else:
+        _write_named(lines, path, names, mode)
+
+
+def _write_named(lines: DataFrame, path: str, names: str, mode: str) -> None:
+    """Chunk files moved to their names in ``path``, which appears with all of them or not at all."""
+    spark = lines.sparkSession
+    jvm = spark._jvm.org.apache.hadoop.fs
+    target = jvm.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError("named chunks are written with errorifexists or overwrite")
+    if mode == "errorifexists" and files.exists(target):
+        raise ValueError(f"{path} exists")
+    draft, ready = (f"{path.rstrip('/')}._{step}-{uuid.uuid4().hex}" for step in ("draft", "ready"))
+    lines.write.partitionBy("chunk").text(draft)
+    files.mkdirs(jvm.Path(ready))
+    for folder in files.globStatus(jvm.Path(f"{draft}/chunk=*")) or ():
+        number = folder.getPath().getName().removeprefix("chunk=")
+        (part,) = files.globStatus(jvm.Path(folder.getPath(), "part-*"))
+        moved = files.rename(part.getPath(), jvm.Path(ready, names.format(number)))
+        if not moved:
+            raise OSError(f"chunk {number} could not be moved to {path}")
+    if files.exists(target):
+        files.delete(target, True)
+    if not files.rename(jvm.Path(ready), target):
+        raise OSError(f"{path} could not be written")
+    files.delete(jvm.Path(draft), True)
 
 
 def write_chunks(

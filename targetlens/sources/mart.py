@@ -53,11 +53,26 @@ def mart_query(
     return mart_select(df, filters, fixed.MART_QUERIES[name], headers=headers)
 
 
-def land_mart(df: DataFrame, path: str, genome: str = fixed.SPECIES_FILTER) -> DataFrame:
+def land_mart(
+    df: DataFrame,
+    path: str,
+    genome: str = fixed.SPECIES_FILTER,
+    ids: Sequence[str] = (),
+    row_group_bytes: int | None = None,
+) -> DataFrame:
     """The table as Parquet, one folder per genome, so that a genome filter reads only its own.
 
     Files are evened out on the way: a genome with many rows gets many files, and small ones are
-    not scattered over all tasks.
+    not scattered over all tasks. With ``ids`` files are sorted by the first of these columns and
+    have a bloom filter for each, so that a filter on one id reads few row groups of a genome: by
+    the first column's bounds, by the filters for the others. ``row_group_bytes`` is the size of a
+    row group, by default Parquet's.
     """
-    df.hint("rebalance", genome).write.partitionBy(genome).parquet(path)
+    landed = df.hint("rebalance", genome)
+    options = {f"parquet.bloom.filter.enabled#{name}": "true" for name in ids}
+    if row_group_bytes is not None:
+        options["parquet.block.size"] = str(row_group_bytes)
+    if ids:
+        landed = landed.sortWithinPartitions(quoted(genome), quoted(ids[0]))
+    landed.write.options(**options).partitionBy(genome).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

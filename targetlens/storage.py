@@ -81,6 +81,25 @@ def written(df: DataFrame, label: str) -> Written:
     return Written(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
+def bucketed(df: DataFrame, label: str, key: str, buckets: int | None = None) -> Written:
+    """``df`` as a Parquet table in buckets of ``key``: rows of a key lie in one file of known number.
+
+    Tables with the same number of buckets (by default the session's shuffle partitions) are joined
+    and grouped on their keys without moving rows again. Columns may have any names.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = [f"c{place}" for place in range(len(df.columns))]
+    by = plain[df.columns.index(key)]
+    name = f"spark_catalog.default.targetlens_{uuid.uuid4().hex}"
+    rows = df.toDF(*plain).repartition(buckets, by)
+    rows.write.bucketBy(buckets, by).sortBy(by).option("path", path).saveAsTable(name)
+    table = spark.table(name).toDF(*df.columns)
+    # The files stay, and what was read of the table's layout is kept with the plan.
+    spark.sql(f"DROP TABLE {name}")
+    return Written(table, path)
+
+
 def read_together(parts: list[Written]) -> DataFrame:
     """Written tables of one schema as one scan."""
     first = parts[0].table

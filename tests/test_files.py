@@ -470,3 +470,54 @@ def test_json_array_with_crlf_is_split(spark, tmp_path):
         assert len({row.task for row in rows}) > 10
     finally:
         spark.conf.set(setting, before)
+
+
+@pytest.mark.parametrize("count", [1, 20, 25])
+def test_chunk_files_with_names_of_their_own(spark, tmp_path, count):
+    df = spark.range(count).selectExpr("id", "nullif(id % 3, 0) AS v").repartition(3)
+    out = tmp_path / "out"
+    sinks.write_array_chunks(df, str(out), ["id"], 10, names="output_{}.json")
+    found = {p.name: json.loads(p.read_text()) for p in out.iterdir() if p.name[0] != "."}
+    wanted = [{"id": i, "v": i % 3 or None} for i in range(count)]
+    assert found == {
+        f"output_{n + 1}.json": wanted[10 * n : 10 * n + 10] for n in range(-(-count // 10))
+    }
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    with pytest.raises(ValueError, match="exists"):
+        sinks.write_array_chunks(df, str(out), ["id"], 10, names="output_{}.json")
+    sinks.write_array_chunks(df, str(out), ["id"], 50, names="x{}", mode="overwrite")
+    assert [p.name for p in out.iterdir() if p.name[0] != "."] == ["x1"]
+
+
+def test_a_failed_run_leaves_no_named_chunks(spark, tmp_path):
+    df = spark.range(30).selectExpr("id", "IF(id = 25, raise_error('broken'), 'x') AS v")
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_array_chunks(df, str(tmp_path / "out"), ["id"], 10, names="output_{}.json")
+    assert not (tmp_path / "out").exists()
+
+
+def scanned_rows(df):
+    """Rows that the scans of a query gave out, by their own metric."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    leaves = plan.collectLeaves()
+    for place in range(leaves.size()):
+        total += leaves.apply(place).metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_landed_ids_skip_row_groups(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr(
+        "CAST(id % 2 AS STRING) AS genome", "concat('g', id div 3) AS gene",
+        "concat('IPR', (id * 7919) % 30000 * 2) AS domain", "repeat(uuid(), 3) AS text",
+    ).coalesce(1)
+    landed = mart.land_mart(rows, str(tmp_path / "mart"), "genome", ["gene", "domain"], 200_000)
+    whole = landed.where("genome = '1'").count()
+    by_gene = mart.mart_select(landed, {"genome": "1", "gene": "g777"}, ["gene", "domain"], headers={})
+    assert by_gene.count() > 0 and scanned_rows(by_gene) < whole / 5
+    some = landed.where("genome = '1'").first().domain
+    by_domain = mart.mart_select(landed, {"genome": "1", "domain": some}, ["gene"], headers={})
+    assert by_domain.count() > 0 and scanned_rows(by_domain) < whole / 2
+    # Within the bounds of every row group, so only the filters can tell.
+    absent = mart.mart_select(landed, {"genome": "1", "domain": "IPR30001"}, ["gene"], headers={})
+    assert absent.count() == 0 and scanned_rows(absent) < whole / 2

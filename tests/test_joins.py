@@ -1,12 +1,13 @@
 import os
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from targetlens.operators import criteria, filters, joins, reduce
 from targetlens.operators.joins import fits_broadcast
-from targetlens.storage import shared_folder, temporary_tables, written
+from targetlens.storage import bucketed, shared_folder, temporary_tables, written
 
 
 @pytest.fixture
@@ -113,6 +114,32 @@ def test_fold_left_shuffles_the_base_once(spark, no_broadcast):
     assert folded.where("g = 9").first().asDict() == {"g": 9, "v1": 9, "v2": 18, "v3": 27}
 
 
+def test_bucketed_tables_are_folded_without_moving_rows(spark, no_broadcast):
+    base = spark.range(100).selectExpr("id AS `a gene.id`", "id % 7 AS v")
+    sides = [
+        spark.range(0, 90, n).selectExpr("id AS `a gene.id`", f"id * {n} AS `v {n}`")
+        for n in (1, 2, 3)
+    ]
+    tables = [bucketed(df, "test", "a gene.id", buckets=5) for df in (base, *sides)]
+    folded = joins.fold_left(tables[0].table, [t.table for t in tables[1:]], "a gene.id")
+    counted = folded.groupBy("`a gene.id`").count()
+    for frame in (folded, counted):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    wanted = joins.fold_left(base, sides, "a gene.id")
+    assert sorted(map(repr, folded.collect())) == sorted(map(repr, wanted.collect()))
+    assert counted.count() == 100 and folded.columns == wanted.columns
+    # No more than a file for each bucket, and nothing left in the catalog.
+    assert len(list(Path(tables[0].path.removeprefix("file:")).glob("*.parquet"))) <= 5
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("targetlens_")]
+
+
+def test_bucketed_tables_of_unequal_numbers_or_no_rows(spark, no_broadcast):
+    one = bucketed(spark.range(50).selectExpr("id AS g", "id AS a"), "test", "g", buckets=3)
+    two = bucketed(spark.range(0).selectExpr("id AS g", "id AS b"), "test", "g", buckets=4)
+    found = joins.fold_left(one.table, [two.table], "g").collect()
+    assert len(found) == 50 and all(row.b is None for row in found)
+
+
 def test_written_empty_table(spark):
     side = written(spark.createDataFrame([], "a string, b int"), "test")
     assert side.rows == 0 and fits_broadcast(side)

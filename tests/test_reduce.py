@@ -178,3 +178,33 @@ def test_value_map_and_groups(spark):
     assert rows(reduce.value_map(df, "k", "v", "vs")) == [("k1", ["a", "b"]), ("k2", ["a", "b"])]
     groups = reduce.groups_per_value(df, "v", "k", ["k2", "k9"], "ks")
     assert rows(groups) == [("a", ["k2"]), ("b", ["k2"])]
+
+
+def test_groups_of_a_value_are_bits_until_they_are_listed(spark):
+    groups = [f"g{i}" for i in range(150)]
+    data = [(v, f"g{i}") for v in range(5) for i in range(160) if i % 5 == v or i % 31 == 0]
+    data += data[:40] + [(None, "g1"), (7, None), (8, "elsewhere")]
+    df = spark.createDataFrame(data, "v int, `a.g` string").repartition(3)
+    found = reduce.groups_per_value(df, "v", "a.g", [*groups, "g1"], "found")
+    wanted = {}
+    for value, group in data:
+        if value is not None and group in groups:
+            wanted.setdefault(value, set()).add(group)
+    assert {r.v: r.found for r in found.collect()} == {v: sorted(g) for v, g in wanted.items()}
+    assert "ObjectHashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert reduce.groups_per_value(df, "v", "a.g", [], "found").collect() == []
+
+
+def test_groups_that_are_numbers_stay_numbers(spark):
+    df = spark.createDataFrame([("a", 10), ("a", 9), ("b", 3)], "v string, g int")
+    found = reduce.groups_per_value(df, "v", "g", [9, 10], "found")
+    assert [tuple(r) for r in found.collect()] == [("a", [9, 10])]
+
+
+def test_value_map_reads_each_pair_of_a_hot_key_once(spark):
+    data = [("hot", i % 40) for i in range(4_000)] + [("k", 1), ("k", None), ("none", None)]
+    df = spark.createDataFrame(data, "k string, v int").repartition(6)
+    found = reduce.value_map(df, "k", "v", "vs")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert {r.k: r.vs for r in found.collect()} == {"hot": list(range(40)), "k": [1], "none": []}
