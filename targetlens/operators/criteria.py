@@ -27,14 +27,14 @@ from targetlens.operators.joins import fits_broadcast, lookup_join
 from targetlens.operators.reduce import (
     COPIES,
     argmax_row,
+    gathered_texts,
     groups_per_value,
-    spelled_out,
+    hot_texts,
     sum_copies,
 )
 from targetlens.storage import written
 
 _ANNOTATION = "_annotation"
-_MATCHES = "_matches"
 
 
 def assigned_strict(
@@ -264,7 +264,8 @@ def domain_criteria(
     Per gene and criterion: ``<name>_evidence`` and ``<name>``. ``roots`` maps a name to an
     ontology term, met by domains with a term at or below it; repeated annotation rows count
     once. ``patterns`` maps a name to a regular expression over ``id - description``; there
-    repeated rows repeat in the evidence. A domain without a description gives no evidence, and
+    repeated rows repeat in the evidence. The matches of a hot gene are put together in several
+    tasks. A domain without a description gives no evidence, and
     without evidence the flag is false.
     """
     roots, patterns = roots or {}, patterns or {}
@@ -276,17 +277,14 @@ def domain_criteria(
         quoted(COPIES).alias("copies"),
         F.struct(*[quoted(name) for name in [*roots, *patterns]]).alias("met"),
     )
-    matches = matched.groupBy(quoted(gene)).agg(
-        F.sort_array(
-            F.collect_list(F.when(quoted(_ANNOTATION).isNotNull(), entry))
-        ).alias(_MATCHES)
-    )
 
-    def found(name: str) -> Column:
-        met = F.filter(quoted(_MATCHES), lambda match: match["met"][name])
-        return spelled_out(met, repeat=name in patterns).alias(name)
+    def met(name: str):
+        return lambda entries: F.filter(entries, lambda match: match["met"][name])
 
-    evidence = matches.select(quoted(gene), *[found(name) for name in [*roots, *patterns]])
+    texts = {name: (met(name), name in patterns) for name in [*roots, *patterns]}
+    evidence = gathered_texts(
+        matched, gene, _ANNOTATION, entry, texts, ", ", hot_texts(annotations, gene)
+    )
     columns = [quoted(gene)]
     for name, root in roots.items():
         match = F.lit(f"{fixed.TERM_MATCH_TEXT}{root}: ")

@@ -55,6 +55,16 @@ class HotKeys:
         same = quoted(self.column).eqNullSafe(F.col(_HOT_KEY))
         return df.join(self._frame(df.sparkSession), same, "left").drop(_HOT_KEY)
 
+    def only(self, df: DataFrame) -> DataFrame:
+        """Rows of the hot keys."""
+        same = quoted(self.column).eqNullSafe(F.col(_HOT_KEY))
+        return df.join(self._frame(df.sparkSession), same, "left_semi")
+
+    def without(self, df: DataFrame) -> DataFrame:
+        """Rows of all other keys."""
+        same = quoted(self.column).eqNullSafe(F.col(_HOT_KEY))
+        return df.join(self._frame(df.sparkSession), same, "left_anti")
+
     def spread(self, left: DataFrame) -> DataFrame:
         """Left rows with the piece each one belongs to."""
         pieces = F.coalesce(F.col(_PIECES), F.lit(1))

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from targetlens.functions.flags import is_missing, quoted
+from targetlens.operators import joins
+from targetlens.operators.joins import HotKeys
+from targetlens.storage import plan_bytes, written
 
 _RANK = "_rank"
+_RUN = "_run"
+_ENTRIES = "_entries"
 COPIES = "_copies"
+# A table of fewer bytes has no key whose texts are worth putting together in several tasks.
+SMALLEST_HOT_BYTES = 64_000_000
 
 
 def max_per_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -66,23 +74,103 @@ def joined_texts(
 
     Null texts are ignored; a key with none gets ``''``. Equal rows are counted before the key's
     shuffle, so what is gathered per key is its distinct texts, and repeats are written out only
-    in the finished text.
+    in the finished text. Hot keys are gathered as in :func:`gathered_texts`.
     """
     named = df.select(
         quoted(key), *[text.alias(name) for name, text in texts.items()], F.lit(1).alias(COPIES)
     )
     counted = sum_copies(named, [key, *texts])
-
-    def gathered(name: str) -> Column:
-        entry = F.struct(quoted(name).alias("text"), F.col(COPIES).alias("copies"))
-        return F.sort_array(F.collect_list(F.when(quoted(name).isNotNull(), entry)))
-
-    lists = counted.groupBy(quoted(key)).agg(*[gathered(name).alias(name) for name in texts])
+    hot = hot_texts(df, key)
+    if len(texts) == 1 or not hot.pieces:
+        return _joined(counted, key, list(texts), separator, hot)
+    # The runs of a hot key are of one text each.
+    parts = [_joined(hot.without(counted), key, list(texts), separator, None)]
+    for name in texts:
+        alone = _joined(hot.only(counted), key, [name], separator, hot)
+        others = [F.lit(None).cast("string").alias(other) for other in texts if other != name]
+        parts.append(alone.select("*", *others))
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole.groupBy(quoted(key)).agg(*[F.max(quoted(name)).alias(name) for name in texts])
+
+
+def _joined(
+    counted: DataFrame, key: str, names: Sequence[str], separator: str, hot: HotKeys | None
+) -> DataFrame:
+    def entry(name: str) -> Column:
+        return F.struct(quoted(name).alias("text"), F.col(COPIES).alias("copies"))
+
+    if hot is not None and hot.pieces:
+        name = names[0]
+        every = {name: (lambda entries: entries, True)}
+        return gathered_texts(counted, key, name, entry(name), every, separator, hot)
+    lists = counted.groupBy(quoted(key)).agg(
+        *[
+            F.sort_array(F.collect_list(F.when(quoted(name).isNotNull(), entry(name)))).alias(name)
+            for name in names
+        ]
+    )
     return lists.select(
-        quoted(key), *[spelled_out(quoted(name), separator).alias(name) for name in texts]
+        quoted(key), *[spelled_out(quoted(name), separator).alias(name) for name in names]
     )
 
 
+def hot_texts(df: DataFrame, key: str) -> HotKeys:
+    """Keys with so many rows that their texts are put together by several tasks.
+
+    A table that one task could hold has none, and is not scanned for them.
+    """
+    if plan_bytes(df) < SMALLEST_HOT_BYTES:
+        return HotKeys(key, df.schema[key].dataType, ())
+    return joins.find_hot_keys(df, key)
+
+
+def gathered_texts(
+    rows: DataFrame,
+    key: str,
+    text: str,
+    entry: Column,
+    texts: Mapping[str, tuple[Callable[[Column], Column], bool]],
+    separator: str,
+    hot: HotKeys,
+) -> DataFrame:
+    """Per key, the texts of its sorted entries, joined; ``entry`` begins with ``text``.
+
+    ``texts`` names the joined texts, with which of the entries each takes and whether it repeats
+    them. The rows of hot keys are dealt by range of the text. Each task sorts and spells the run of a key
+    that it has, so what meets in the end is one piece of text from each task, in order. Rows
+    without a text add nothing but their key.
+    """
+
+    def listed(df: DataFrame, *by: str) -> DataFrame:
+        entries = F.sort_array(F.collect_list(F.when(quoted(text).isNotNull(), entry)))
+        return df.groupBy(*map(quoted, by)).agg(entries.alias(_ENTRIES))
+
+    def spelled(name: str) -> Column:
+        some, repeat = texts[name]
+        return spelled_out(some(F.col(_ENTRIES)), separator, repeat)
+
+    def run(name: str) -> Column:
+        some, _ = texts[name]
+        return F.when(F.size(some(F.col(_ENTRIES))) > 0, spelled(name)).alias(name)
+
+    def whole(name: str) -> Column:
+        part = F.struct(_RUN, quoted(name).alias("text"))
+        parts = F.array_sort(F.collect_list(F.when(quoted(name).isNotNull(), part)))
+        return F.array_join(F.transform(parts, lambda x: x["text"]), separator).alias(name)
+
+    if hot.pieces:
+        rows = written(rows, "texts").table
+    others = listed(hot.without(rows) if hot.pieces else rows, key)
+    others = others.select(quoted(key), *[spelled(name).alias(name) for name in texts])
+    if not hot.pieces:
+        return others
+    count = 1 + sum(number for _, number in hot.pieces)
+    dealt = hot.only(rows).repartitionByRange(count, quoted(key), quoted(text))
+    runs = listed(dealt.withColumn(_RUN, F.spark_partition_id()), key, _RUN)
+    runs = runs.select(quoted(key), _RUN, *map(run, texts))
+    return others.unionByName(runs.groupBy(quoted(key)).agg(*map(whole, texts)))
+
+
 def spelled_out(entries: Column, separator: str = ", ", repeat: bool = True) -> Column:
     """Joined ``text`` of a list of entries, each ``copies`` times, or once without ``repeat``."""
 

@@ -46,6 +46,18 @@ def test_query_when_nothing_is_broadcast_and_keys_are_hot(
     assert not problems and count
 
 
+GATHERED = ["ontology_criterion", "annotation_regex", "family_criteria_table", "string_join_repeats"]
+
+
+@pytest.mark.parametrize("name", GATHERED)
+def test_query_when_texts_are_put_together_from_runs(
+    spark, database, name, every_key_hot, monkeypatch
+):
+    monkeypatch.setattr("targetlens.operators.reduce.SMALLEST_HOT_BYTES", 0)
+    count, problems = differences(spark, database, name, SMOKE_DIR)
+    assert not problems and count
+
+
 def test_family_flags_have_both_values(spark):
     flags = queries()["family_flags"](spark, SMOKE_DIR)
     names = flags.columns[1:]

@@ -208,3 +208,50 @@ def test_value_map_reads_each_pair_of_a_hot_key_once(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert {r.k: r.vs for r in found.collect()} == {"hot": list(range(40)), "k": [1], "none": []}
+
+
+@pytest.fixture
+def every_text_hot(every_key_hot, monkeypatch):
+    monkeypatch.setattr(reduce, "SMALLEST_HOT_BYTES", 0)
+
+
+def texts_of(spark):
+    data = [("hot", f"t{i * 37 % 900:04}" if i % 50 else None, f"u{i % 3}") for i in range(1_500)]
+    data += [("hot", "t0001", "")] * 5 + [(None, "n", "n"), (None, "m", None), ("none", None, None)]
+    data += [("k", "", ""), ("k", "", "z"), ("empty", "", None)]
+    return data, spark.createDataFrame(data, "k string, t string, u string").repartition(5)
+
+
+@pytest.mark.parametrize("names", [["t"], ["t", "u"]])
+def test_texts_of_hot_keys_are_put_together_from_runs(spark, every_text_hot, names):
+    data, df = texts_of(spark)
+    found = reduce.joined_texts(df, "k", {name: F.col(name) for name in names}, "; ")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan
+    wanted = {}
+    for key, *texts in data:
+        held = wanted.setdefault(key, [[] for _ in names])
+        for place, text in enumerate(texts[: len(names)]):
+            if text is not None:
+                held[place].append(text)
+    wanted = {key: tuple("; ".join(sorted(texts)) for texts in held) for key, held in wanted.items()}
+    assert {row.k: tuple(row[name] for name in names) for row in found.collect()} == wanted
+
+
+def test_a_run_of_a_hot_key_is_a_part_of_its_rows(spark, every_text_hot, monkeypatch):
+    _, df = texts_of(spark)
+    sizes = []
+    deal = type(df).repartitionByRange
+
+    def watched(self, *args):
+        out = deal(self, *args)
+        sizes.extend(row["count"] for row in out.groupBy(F.spark_partition_id()).count().collect())
+        return out
+
+    monkeypatch.setattr(type(df), "repartitionByRange", watched)
+    reduce.joined_texts(df, "k", {"t": F.col("t")}).collect()
+    assert len(sizes) > 3 and max(sizes) < 0.6 * sum(sizes)
+
+
+def test_small_tables_are_not_scanned_for_hot_texts(spark, every_key_hot):
+    assert reduce.hot_texts(spark.range(9), "id").pieces == ()
