@@ -83,7 +83,7 @@ def check(spark, rows, schema=SCHEMA):
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
 
 
-@pytest.mark.parametrize("count", [1, 2, 3, 4, 10, 200])
+@pytest.mark.parametrize("count", [1, 3, 200])
 def test_agrees_with_a_tree_built_by_levels(spark, count):
     check(spark, rows_of(random.Random(count), count, ["a", "B", "", "é", None]))
 
