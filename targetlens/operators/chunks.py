@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from targetlens.functions.flags import quoted
 from targetlens.operators.joins import fits_broadcast
 from targetlens.operators.quality import expect_unique, require
-from targetlens.storage import fresh_path, written
+from targetlens.storage import fresh_path, is_plain_scan, written
 
 
 def row_positions(df: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
     """Rows with their 0-based place in the order of ``order_by``, which must identify a row.
 
-    The table is computed and written once, checked, and range-sorted into files. A row's place is
-    its index in its file plus the rows of the files before, which are summed in Spark: one row per
+    The table is computed and written once, unless it only has to be read, checked, and range-sorted
+    into files. A row's place is its index in its file plus the rows of the files before, which are summed in Spark: one row per
     sorted file, and files are as large as the tasks that sort.
     """
     spark = df.sparkSession
-    df = written(df, "unsorted").table
+    if not is_plain_scan(df):
+        df = written(df, "unsorted").table
     require(expect_unique(df, *order_by))
     path = fresh_path(spark, "sorted")
     df.orderBy(*[quoted(column).asc_nulls_first() for column in order_by]).write.parquet(path)

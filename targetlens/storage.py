@@ -57,6 +57,15 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether a table is read from its files with nothing dearer than choosing and naming columns."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    same = plan.deterministic()
+    while plan.nodeName() == "Project":
+        plan = plan.child()
+    return same and plan.nodeName().startswith(("LogicalRelation", "Relation"))
+
+
 @dataclass(frozen=True)
 class Written:
     """A table in the shared folder; measured when asked, from what Parquet and Spark know of it."""

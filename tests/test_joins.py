@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from targetlens.operators import criteria, filters, joins, reduce
 from targetlens.operators.joins import fits_broadcast
-from targetlens.storage import bucketed, shared_folder, temporary_tables, written
+from targetlens.storage import bucketed, is_plain_scan, shared_folder, temporary_tables, written
 
 
 @pytest.fixture
@@ -203,3 +203,15 @@ def test_fold_left_refuses_a_side_that_repeats_a_key(spark):
     assert joins.fold_left(base, [good], "g", check=[good]).count() == 2
     with pytest.raises(AssertionError, match="unique g"):
         joins.fold_left(base, [good, twice], "g", check=[twice])
+
+
+def test_only_tables_that_are_merely_read_are_plain(spark, tmp_path):
+    spark.range(9).selectExpr("id", "id % 2 AS v").write.parquet(f"{tmp_path}/t")
+    read = spark.read.parquet(f"{tmp_path}/t")
+    assert is_plain_scan(read) and is_plain_scan(read.select(F.col("id").alias("x"), "v"))
+    for other in (
+        read.withColumn("n", F.monotonically_increasing_id()), read.distinct(),
+        read.groupBy("v").count(), read.mapInArrow(lambda batches: batches, read.schema),
+        read.join(read.select("id"), "id"), read.withColumn("r", F.rand()),
+    ):
+        assert not is_plain_scan(other)
