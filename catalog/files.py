@@ -164,17 +164,25 @@ def scan_roundtrip_named_chunks(spark, sf_dir):
     )
 
 
-def _array_lines(batches):
-    """The lines of one JSON array of all records of a task; a task without records has none."""
-    held = None
-    for batch in batches:
-        lines = []
-        for record in batch.column("value").to_pylist():
-            lines.append("[" if held is None else f"{held},")
-            held = record
-        yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
-    if held is not None:
-        yield pa.RecordBatch.from_pydict({"value": [held, "]"]})
+def _array_lines():
+    """Writes the lines of one JSON array of all records of a task; without records an empty one.
+
+    The function is a local one, so it goes to the tasks itself: their Python need not know this
+    repository.
+    """
+
+    def lines_of(batches):
+        held = None
+        for batch in batches:
+            lines = []
+            for record in batch.column("value").to_pylist():
+                lines.append("[" if held is None else f"{held},")
+                held = record
+            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        last = ["["] if held is None else [held]
+        yield pa.RecordBatch.from_pydict({"value": [*last, "]"]})
+
+    return lines_of
 
 
 @query("SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders")
@@ -185,7 +193,7 @@ def scan_roundtrip_json_array_split(spark, sf_dir):
     )
     record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false", "pretty": "true"})
     rows = rows.select(F.regexp_replace(record, "(?m)^", "    ").alias("value"))
-    rows.mapInArrow(_array_lines, "value string").write.text(path)
+    rows.mapInArrow(_array_lines(), "value string").write.text(path)
     return records.read_json_array(
         spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
     )

@@ -32,15 +32,15 @@ def read_json_array(
 ) -> DataFrame:
     """Records of files that each hold one JSON array of objects.
 
-    A large file is read by many tasks, whatever its layout. Where the first lines show that each
-    record begins a line behind a comma, files are cut there: a raw line break cannot occur inside a
-    JSON text, so the cut is exact, and nothing is shuffled. ``indent`` gives the margin of those
-    lines instead. Every piece is parsed as an array to its end, so all its records count however
-    they are separated. Files of any other layout, one line included, are cut at every closing
-    brace; whether a cut lies inside a string, and how deep, follows from the quotes and brackets
-    before it, which are summed up per block and carried from block to block. Cuts outside strings
-    at depth one end a record. ``whole_file`` reads each file by one task, and so are compressed
-    ones of the latter kind.
+    A large file is read by many tasks, whatever its layout. Where the first lines of the largest
+    show that each record begins a line behind a comma, files are cut there: a raw line break cannot
+    occur inside a JSON text, so the cut is exact, and nothing is shuffled. ``indent`` gives the
+    margin of those lines instead. Every piece is parsed as an array to its end, so all its records
+    count however they are separated. Files of any other layout, one line included, are cut at every
+    closing brace; whether a cut lies inside a string, and how deep, follows from the quotes and
+    brackets before it, which are summed up per block and carried from block to block. Cuts outside
+    strings at depth one end a record. ``whole_file`` reads each file by one task, and so are
+    compressed ones of the latter kind.
 
     A file must be an array from its first to its last byte: one that is cut off anywhere, that has
     another root or an element that is no object, or that goes on behind the array, is an error, as
@@ -54,7 +54,7 @@ def read_json_array(
     files = files.select("_metadata.file_path", "_metadata.file_size")
     if files.count() < listed:
         raise ValueError(f"{_NO_ARRAY}: an empty file in {path}")
-    cut = None if whole_file else _separator(spark, path, indent)
+    cut = None if whole_file else _separator(spark, path, files, indent)
     if cut is not None:
         return _of_lines(spark, path, cut, schema)
     if whole_file or not files.where(F.col("file_path").rlike(_COMPRESSED)).isEmpty():
@@ -63,9 +63,18 @@ def read_json_array(
     return _of_blocks(spark, path, files, schema)
 
 
-def _separator(spark: SparkSession, path: str, indent: int | None) -> str | None:
-    """What stands between two records where the first lines show that each begins a line."""
+def _separator(
+    spark: SparkSession, path: str, files: DataFrame, indent: int | None
+) -> str | None:
+    """What stands between two records where the first lines show that each begins a line.
+
+    They are those of the largest file: others may hold an empty array, which shows nothing.
+    """
+    largest = files.orderBy(F.desc("file_size"), "file_path").first()
+    if largest is None:
+        return None
     lines = spark.read.option("lineSep", "\n").text(path)
+    lines = lines.where(F.col("_metadata.file_path") == largest["file_path"])
     first = [row[0] for row in lines.select(F.substring("value", 1, 1_000)).head(2)]
     opening, record = (first + ["", ""])[:2]
     margin = record[: len(record) - len(record.lstrip())]

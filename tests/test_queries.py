@@ -1,8 +1,12 @@
 """Every registered query against its SQL, over the whole smallest tables."""
 
 import json
+import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
 from catalog import ORACLES, QUERIES, files
@@ -83,3 +87,42 @@ def test_each_task_writes_a_json_array_of_its_own(spark, tmp_path, monkeypatch):
     written = [tuple(record.values()) for array in arrays for record in array]
     assert sorted(written, key=repr) == sorted(map(tuple, found.collect()), key=repr)
     assert len(written) == orders.count()
+
+
+def test_a_task_without_records_writes_an_empty_json_array(spark, tmp_path, monkeypatch):
+    # The file's one row group lies in one of its splits; Spark lets the first task write always.
+    files.table(spark, SMOKE_DIR, "orders").coalesce(1).write.parquet(str(tmp_path / "orders"))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    monkeypatch.setattr(files, "table", lambda *_: orders)
+    monkeypatch.setattr(files, "fresh_path", lambda *_: str(tmp_path / "array"))
+    size = sum(p.stat().st_size for p in (tmp_path / "orders").glob("part-*"))
+    settings = {"maxPartitionBytes": str(size // 5), "openCostInBytes": "0"}
+    before = {name: spark.conf.get(f"spark.sql.files.{name}") for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(f"spark.sql.files.{name}", value)
+    try:
+        found = files.scan_roundtrip_json_array_split(spark, SMOKE_DIR)
+        assert found.count() == orders.count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"spark.sql.files.{name}", value)
+    arrays = [json.loads(p.read_text()) for p in (tmp_path / "array").glob("part-*")]
+    assert [] in arrays and sum(map(len, arrays)) == orders.count()
+    # The empty array does not hide that records begin lines: nothing is shuffled.
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_empty_table_is_an_empty_json_array(spark, tmp_path, monkeypatch):
+    none = files.table(spark, SMOKE_DIR, "orders").where("o_orderkey < 0")
+    none.write.parquet(str(tmp_path / "orders"))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    monkeypatch.setattr(files, "table", lambda *_: orders)
+    monkeypatch.setattr(files, "fresh_path", lambda *_: str(tmp_path / "array"))
+    assert files.scan_roundtrip_json_array_split(spark, SMOKE_DIR).count() == 0
+
+
+def test_json_array_lines_need_no_module_of_this_repository_in_the_tasks():
+    code = cloudpickle.dumps(files._array_lines())
+    program = "import sys; from pyspark import cloudpickle; cloudpickle.load(sys.stdin.buffer)"
+    known = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", program], input=code, env=known, cwd="/", check=True)
