@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.criteria import DOMAIN_TERMS, GO_ID, _mapping_lines, _stanzas
@@ -207,10 +208,15 @@ def scan_roundtrip_json_one_line(spark, sf_dir):
     path = fresh_path(spark, "array")
     note = F.concat(F.lit('}, {"'), "l_returnflag", F.lit("\\")).alias("note")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", note)
-    # A file holds the orders of a range of keys, as one line.
-    part = F.expr("l_orderkey div 20000").alias("part")
-    arrays = rows.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
-    arrays.write.partitionBy("part").text(path)
+    # A file holds the orders of a range of keys, as one line. It is written record by record, a
+    # blank behind each, so no row holds a file, whatever number of orders share a range.
+    rows = rows.withColumn("part", F.expr("l_orderkey div 20000"))
+    place = Window.partitionBy("part").orderBy("l_orderkey", "l_linenumber")
+    opens = F.when(F.row_number().over(place) == 1, "[").otherwise(",")
+    closes = F.when(F.lead(F.lit(1)).over(place).isNull(), "]").otherwise("")
+    record = F.to_json(F.struct("l_orderkey", "l_linenumber", "l_quantity", "note"))
+    lines = rows.select("part", F.concat(opens, record, closes).alias("value"))
+    lines.write.partitionBy("part").option("lineSep", " ").text(path)
     schema = "l_orderkey bigint, l_linenumber int, l_quantity double, note string"
     return records.read_json_array(spark, path, schema).drop("part")
 

@@ -89,6 +89,7 @@ def _records(spark: SparkSession, paths: str | Sequence[str], separator: str) ->
     """
     reader = _reader(spark, separator, True)
     lines = _marked(pieces.scan(spark, paths, "\n"), separator)
+    lines = pieces.dealt(spark, paths, lines)
     kept = pieces.carried(lines.columns)
     names = [n for n in reader.option("header", True).csv(paths).columns if n not in kept]
     if not names:

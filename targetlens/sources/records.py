@@ -93,12 +93,19 @@ def _of_lines(spark: SparkSession, path: str, cut: str, schema: T.StructType) ->
     found = pieces.scan(spark, path, cut)
     value = F.col("value")
     opens, closes = value.rlike(_OPENS), value.rlike(_CLOSES)
-    place = F.struct("_block", "_order")
-    proof = found.groupBy("_file").agg(
-        (F.count_if(opens) == 1).alias("_opened"),
-        (F.count_if(closes) == 1).alias("_closed"),
-        F.min_by(opens, place).alias("_first"),
-        F.max_by(closes, place).alias("_last"),
+    # By block first, where the order is a number: no task sorts its pieces for it.
+    blocks = found.groupBy(*pieces.BLOCK).agg(
+        F.count_if(opens).alias("_opened"),
+        F.count_if(closes).alias("_closed"),
+        F.min_by(opens, "_order").alias("_first"),
+        F.max_by(closes, "_order").alias("_last"),
+    )
+    place = F.struct("_block", "_run")
+    proof = blocks.groupBy("_file").agg(
+        (F.sum("_opened") == 1).alias("_opened"),
+        (F.sum("_closed") == 1).alias("_closed"),
+        F.min_by("_first", place).alias("_first"),
+        F.max_by("_last", place).alias("_last"),
     )
     wrong = proof.where("not (_opened and _closed and _first and _last)").first()
     if wrong is not None:
@@ -183,7 +190,7 @@ def _blocks(measured: DataFrame) -> DataFrame:
 def _of_blocks(
     spark: SparkSession, path: str, files: DataFrame, schema: T.StructType
 ) -> DataFrame:
-    measured = _measured(pieces.scan(spark, path, "}"))
+    measured = pieces.dealt(spark, path, _measured(pieces.scan(spark, path, "}")))
     blocks = written(_blocks(measured), "json-blocks").table
     # The last piece has no brace behind it, so the pieces with one each are a byte longer.
     read = blocks.groupBy("_file").agg(F.sum("_bytes").alias("_bytes"))

@@ -240,3 +240,68 @@ def test_compressed_arrays_are_read(spark, tmp_path):
     (tmp_path / "a.json.gz").write_bytes(gzip.compress(json.dumps([{"a": 1}, {"a": 2}]).encode()))
     found = records.read_json_array(spark, str(tmp_path), "a int").collect()
     assert sorted(row.a for row in found) == [1, 2]
+
+
+# Bounds of a task
+
+
+@pytest.fixture
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(pieces, "RUN_PIECES", 3, raising=False)
+    monkeypatch.setattr(pieces, "TASK_BYTES", 2_000, raising=False)
+
+
+def test_many_arrays_on_one_line_are_judged_by_as_many_tasks_as_their_bytes_ask_for(
+    spark, tmp_path, small_tasks
+):
+    rows = [RECORD | {"a": i} for i in range(600)]
+    for start in range(0, 600, 20):
+        (tmp_path / f"{start}.json").write_text(json.dumps(rows[start : start + 20]))
+    found = records.read_json_array(spark, str(tmp_path), SCHEMA)
+    assert found.rdd.getNumPartitions() > 20
+    found = sorted((row.asDict(recursive=True) for row in found.collect()), key=lambda r: r["a"])
+    assert found == rows
+
+
+def test_quoted_breaks_are_judged_by_as_many_tasks_as_their_bytes_ask_for(
+    spark, tmp_path, small_tasks
+):
+    rng = random.Random("tasks")
+    for number in range(8):
+        text = table_text(rng, "|", 400)
+        (tmp_path / f"{number}.txt").write_bytes(text.encode())
+    found = delimited.read_delimited(
+        spark, str(tmp_path), separator="|", missing=(), multi_line=True
+    )
+    assert found.rdd.getNumPartitions() > 20
+    assert sorted(map(tuple, found.collect()), key=repr) == whole(spark, str(tmp_path), "|")
+
+
+def test_a_record_over_many_runs_of_pieces(spark, tmp_path, small_tasks):
+    rows = [{"a": i, "b": "}" * i, "c": [{"d": [i]}] * i, "e": '"}'} for i in range(40)]
+    (tmp_path / "array.json").write_text(json.dumps(rows))
+    found = records.read_json_array(spark, str(tmp_path), SCHEMA).collect()
+    assert sorted((r.asDict(recursive=True) for r in found), key=lambda r: r["a"]) == rows
+
+
+def test_an_array_file_is_one_line_of_records_in_order(spark, tmp_path, monkeypatch):
+    from catalog import files
+
+    lines = spark.sql("""
+        SELECT CASE WHEN id < 3 THEN NULL ELSE (id * 9001) % 50000 END AS l_orderkey,
+               CAST(id % 7 AS INT) AS l_linenumber, CAST(id AS DOUBLE) AS l_quantity,
+               IF(id % 5 = 0, NULL, 'R') AS l_returnflag
+        FROM range(200) UNION ALL SELECT 1L, 1, 1D, 'A' FROM range(9)""")
+    monkeypatch.setattr(files, "table", lambda *_: lines)
+    monkeypatch.setattr(files, "fresh_path", lambda *_: str(tmp_path / "array"))
+    found = files.scan_roundtrip_json_one_line(spark, "")
+    note = F.concat(F.lit('}, {"'), "l_returnflag", F.lit("\\"))
+    wanted = lines.select("l_orderkey", "l_linenumber", "l_quantity", note.alias("note"))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        map(tuple, wanted.collect()), key=repr
+    )
+    written = [p.read_text() for p in (tmp_path / "array").glob("part=*/part-*")]
+    assert len(written) == 4 and not any("\n" in text for text in written)
+    for text in written:
+        keys = [record.get("l_orderkey", -1) for record in json.loads(text)]
+        assert keys == sorted(keys)
