@@ -34,6 +34,7 @@ PERMUTATIONS = 64
 ROWS = 8
 BANDS = 80
 ROWS_AT_ONCE = 8_192
+CARRIED = 8
 NONE = np.empty(0, np.int64)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -261,7 +262,7 @@ def _pairs(
 
     Not those of one component, or of too different sizes, or that share too little: at most what
     either shares with the bucket's first member, and what their rests have in common. A pair
-    comes from one of its buckets.
+    comes from its first bucket, and from a further one only if both carry no earlier one.
     """
     active = active.join(_keys(active), "id").join(rests, ["id", "first"], "left")
     pivots = pivots.join(_keys(pivots), "id").join(rests, ["id", "first"], "left")
@@ -271,18 +272,24 @@ def _pairs(
     most = F.least("shared", "pivot_shared") + F.size(F.array_intersect("rest", "pivot_rest"))
     most = F.when(F.col("rest").isNotNull() & F.col("pivot_rest").isNotNull(), most)
     most = F.coalesce(most, small)
+    before = F.array_min(F.array_intersect("keys", "pivot_keys")) < F.col("key")
     pairs = active.join(pivots, "key").where(
         (F.col("component") != F.col("pivot_component"))
         & (100 * small >= percent * large)
-        & (F.col("key") == F.array_min(F.array_intersect("keys", "pivot_keys")))
+        & ~F.coalesce(before, F.lit(False))
         & (100 * most >= percent * (small + large - most))
     )
     return _ordered(pairs).distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def _keys(members: DataFrame) -> DataFrame:
-    """The buckets of each id, at most one per band."""
-    return members.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    """The smallest ``CARRIED`` buckets of each id.
+
+    All of them, at every bucket, would be most of what a join of buckets moves. Members that share
+    many buckets nearly always share the first of these among them.
+    """
+    keys = F.slice(F.sort_array(F.collect_set("key")), 1, CARRIED)
+    return members.groupBy("id").agg(keys.alias("keys"))
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int, keep: bool = False) -> DataFrame:

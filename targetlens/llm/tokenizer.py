@@ -57,13 +57,20 @@ def has_word_ends(path: str) -> bool:
 def whole_tokens(path: str) -> dict[str, int]:
     """Vocabulary strings proved to encode alone as one token, with its id.
 
-    Bounded by the vocabulary; each string is tried with the library itself.
+    Bounded by the vocabulary; each string is tried with the library itself, once for a file.
     """
+    state = os.stat(path)
+    return dict(_proved(path, state.st_mtime_ns, state.st_size))
+
+
+@lru_cache(maxsize=2)
+def _proved(path: str, changed: int, size: int) -> tuple:
+    # One string at a time: what the library makes of many at once stays in the driver's memory.
     library = Tokenizer.from_file(path)
     ends = [t[: -len(WORD_END)] for t in library.get_vocab() if t.endswith(WORD_END)]
     plain = [w for w in ends if PLAIN.fullmatch(w) and PRE_TOKENS.fullmatch(w)]
-    tried = library.encode_batch(plain, add_special_tokens=False)
-    return {w: e.ids[0] for w, e in zip(plain, tried, strict=True) if len(e.ids) == 1}
+    tried = ((w, library.encode(w, add_special_tokens=False).ids) for w in plain)
+    return tuple((w, ids[0]) for w, ids in tried if len(ids) == 1)
 
 
 def packed(ids: Iterable[int]) -> bytes:

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from targetlens.llm.components import components
-from targetlens.llm.minhash import near_duplicates
+from targetlens.llm.minhash import _keys, _pairs, near_duplicates
 
 
 def brute_force(rows, size=5, percent=80):
@@ -94,3 +94,17 @@ def test_components_of_a_path_and_a_star(spark):
     df = spark.createDataFrame(links, "a long, b long")
     result = {r.node: r.component for r in components(df).collect()}
     assert result == {**{i: 0 for i in range(41)}, 100: 100, **{200 + i: 100 for i in range(40)}}
+
+
+def test_pairs_of_members_that_carry_few_of_their_buckets(spark):
+    # All share bucket 50, which is not among the first ones of 1 and 2; 3 and 4 share all theirs.
+    keys = {1: [*range(10), 50], 2: [*range(20, 30), 50], 3: range(40, 60), 4: range(40, 60)}
+    rows = [(key, i, 10, i, 9) for i, of in keys.items() for key in of]
+    active = spark.createDataFrame(rows, "key long, id long, n_shingles long, component long, first long")
+    assert {r.id: sorted(r.keys) for r in _keys(active).collect()} == {
+        i: sorted(of)[:8] for i, of in keys.items()
+    }
+    rests = spark.createDataFrame([], "id long, first long, shared int, rest array<long>")
+    tested = spark.createDataFrame([(1, 3)], "a long, b long")
+    pairs = _pairs(active, active, rests, tested, 80).collect()
+    assert sorted((r.a, r.b) for r in pairs) == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4)]

@@ -1,5 +1,7 @@
 """Packing as an exact round trip, the level rule against all levels, token counts."""
 
+import os
+import shutil
 from collections import defaultdict
 
 import numpy as np
@@ -70,6 +72,29 @@ def test_whole_tokens_are_proved():
     assert all(library_ids(word) == [whole[word]] for word in list(whole)[::997])
 
 
+def test_whole_tokens_are_proved_one_by_one_and_once_for_a_file(tmp_path, monkeypatch):
+    loaded = []
+
+    class Library:
+        def __init__(self, path):
+            loaded.append(path)
+            self.whole = Tokenizer.from_file(path)
+
+        from_file = classmethod(lambda cls, path: cls(path))
+        get_vocab = lambda self: dict(sorted(self.whole.get_vocab().items())[-500:])
+
+        def encode(self, text, add_special_tokens):
+            return self.whole.encode(text, add_special_tokens=add_special_tokens)
+
+    copy = str(shutil.copy(PATH, tmp_path / "vocabulary.json"))
+    monkeypatch.setattr("targetlens.llm.tokenizer.Tokenizer", Library)
+    first = whole_tokens(copy)
+    assert first and whole_tokens(copy) == first and loaded == [copy]
+    assert all(library_ids(word) == [token] for word, token in first.items())
+    os.utime(copy, (1, 1))
+    assert whole_tokens(copy) == first and loaded == [copy, copy]
+
+
 def rebuilt(rows):
     documents, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
